@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cinelake import params as P
-from cinelake.plans import batch
-from cinelake.session import tune
+from cinelake.plans import batch, prep
+from cinelake.session import fresh_path, tune
 from cinelake.sources import fixtures as fx
+from cinelake.sources import schemas, zones
+from cinelake.streaming import messages, replay, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,5 +56,69 @@ BATCH: dict[str, Query] = {
 }
 
 
+def _landed_raw_movies(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    paths = zones.land({"movies": fx.raw_movies(spark, d)}, fresh_path(spark, "raw"), "csv")
+    return zones.read_table(spark, paths["movies"], "csv", schemas.RAW_MOVIES)
+
+
+def _conformed(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return prep.conform_movies(fx.raw_movies(spark, d), fx.mapper(spark, d), fx.imdb(spark, d))
+
+
+def _flat(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return prep.flatten_stream_input(fx.ratings(spark, d), fx.links(spark, d), fx.stream_movies(spark, d))
+
+
+def _replayed(spark: SparkSession, d: str) -> DataFrame:
+    known = prep.known_film_reviews(_flat(spark, d), fx.movies(spark, d))
+    decoded = messages.decode(messages.encode(known), keep_key=True)
+    return decoded.withColumn("timestamp", decoded["timestamp"].cast("timestamp_ntz"))
+
+
+ETL: dict[str, Query] = {
+    "e01_land_raw_movies": _landed_raw_movies,
+    "e02_reviews_clean": lambda s, d: prep.clean_reviews((tune(s), fx.raw_reviews(s, d))[1]),
+    "e03_movies_conformed": _conformed,
+    "e04_id_coverage": lambda s, d: prep.id_coverage(_conformed(s, d)),
+    "e05_stream_flat": _flat,
+    "e06_replay_messages": _replayed,
+}
+
+
+def _stream(build, name: str) -> Query:
+    def run(spark, d):
+        tune(spark)
+        return replay.run_windowed(spark, d, build, name)
+    return run
+
+
+def _late(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    first, second = replay.halves(spark, d)
+    return replay.run_windowed(spark, d, lambda ev, mv: windows.film_counts(ev), "t07",
+                               slices=(first, second, first))
+
+
+def _upserted(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    first, second = replay.halves(spark, d)
+    return replay.run_upserted(spark, d, windows.director_counts, "director_name", "t06",
+                               slices=(first, second))
+
+
+STREAM: dict[str, Query] = {
+    "t01_film_counts": _stream(lambda ev, mv: windows.film_counts(ev), "t01"),
+    "t02_genre_language_rating": _stream(windows.genre_language_rating, "t02"),
+    "t03_director_counts": _stream(windows.director_counts, "t03"),
+    "t04_writer_ratings": _stream(windows.writer_ratings, "t04"),
+    "t05_rating_vs_audience": _stream(windows.rating_vs_audience, "t05"),
+    "t06_latest_by_doc": _upserted,
+    "t07_late_rows_dropped": _late,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return dict(BATCH)
+    return {**BATCH, **ETL, **STREAM}

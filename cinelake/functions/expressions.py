@@ -49,9 +49,9 @@ def split_list(c, mode: str = "regex") -> Column:
     if mode == "comma_space":
         return F.split(c, ", ")
     if mode == "comma_trim":
-        return F.transform(F.split(c, ","), F.trim)
+        return F.transform(F.split(c, ","), lambda x: F.trim(x))
     if mode == "clean":
-        parts = F.transform(F.split(F.regexp_replace(c, LIST_SEPARATOR_PATTERN, ","), ","), F.trim)
+        parts = F.transform(F.split(F.regexp_replace(c, LIST_SEPARATOR_PATTERN, ","), ","), lambda x: F.trim(x))
         return F.filter(parts, lambda x: x != F.lit(""))
     raise ValueError(f"unknown split mode {mode!r}; expected one of {SPLIT_MODES}")
 

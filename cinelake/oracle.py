@@ -205,5 +205,166 @@ SELECT release_year_bucket, positive_reviews, total_reviews,
 FROM agg ORDER BY positive_percentage DESC"""
 
 
+# ETL ------------------------------------------------------------------------
+
+RAW_MOVIES = """
+raw_movies AS (
+  SELECT p_partkey AS id, 'Title ' || CAST(p_partkey AS VARCHAR) AS title,
+    '$' || CAST(p_size AS VARCHAR) || '.5'
+      || CASE p_partkey % 4 WHEN 0 THEN 'K' WHEN 1 THEN 'M' WHEN 2 THEN 'B' END AS boxOffice
+  FROM part
+)"""
+
+RAW_REVIEWS = """
+raw_reviews AS (
+  SELECT l_partkey AS id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS reviewId,
+    CAST(o_orderdate AS DATE) AS creationDate,
+    CASE WHEN l_linenumber <> 7 THEN l_linestatus = 'F' END AS isTopCritic,
+    CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)"""
+
+ID_LISTS = """
+mapper AS (
+  SELECT 'Title ' || CAST(p_partkey AS VARCHAR) AS title, 100000 + p_partkey AS movie_id FROM part WHERE p_partkey % 3 = 0
+  UNION ALL
+  SELECT 'Title ' || CAST(p_partkey AS VARCHAR), 200000 + p_partkey FROM part WHERE p_partkey % 30 = 0
+),
+imdb AS (
+  SELECT 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS id, 'Title ' || CAST(p_partkey AS VARCHAR) AS name
+  FROM part WHERE p_partkey % 4 <> 0
+)"""
+
+CONFORMED = """
+conformed AS (
+  SELECT r.id AS movie_id, r.title,
+    coalesce(CAST(substr(r.boxOffice, 2, length(r.boxOffice) - 2) AS DOUBLE)
+      * CASE right(r.boxOffice, 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0.0) AS boxOffice,
+    mp.movie_id AS tmdb_id, TRY_CAST(substr(i.id, 3, 10) AS INT) AS imdb_id
+  FROM raw_movies r LEFT JOIN mapper mp ON r.title = mp.title LEFT JOIN imdb i ON r.title = i.name
+)"""
+
+STREAM_INPUT = """
+ratings AS (
+  SELECT CAST(user_id AS INT) AS userId, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS movieId,
+    CASE WHEN event_type <> 'error' THEN CAST(event_id % 11 AS DOUBLE) / 2 END AS rating, ts AS rated_at
+  FROM events
+),
+links AS (
+  SELECT CAST(p_partkey AS INT) AS movieId, CAST(100000 + p_partkey AS INT) AS tmdbId,
+    CAST(p_partkey AS INT) AS imdbId FROM part WHERE p_partkey % 11 <> 0
+),
+stream_movies AS (
+  SELECT CAST(p_partkey AS INT) AS movieId, p_name AS title, replace(p_name, ' ', '|') AS genres FROM part
+),
+flat AS (
+  SELECT r.userId, r.movieId, r.rating, m.title, m.genres, l.tmdbId, l.imdbId, r.rated_at AS timestamp
+  FROM ratings r JOIN links l ON r.movieId = l.movieId JOIN stream_movies m ON r.movieId = m.movieId
+)"""
+
+_SCORES = ", ".join(f"{v:.1f}" for v in [i / 2 for i in range(11)])
+
+ETL = {
+    "e01_land_raw_movies": _with(RAW_MOVIES) + "SELECT * FROM raw_movies",
+    "e02_reviews_clean": _with(RAW_REVIEWS) + f"""
+SELECT id AS movie_id, reviewId, CAST(year(creationDate) AS INT) AS creationDate, isTopCritic,
+  CASE WHEN scoreSentiment IN ('POSITIVE', 'NEGATIVE') THEN scoreSentiment
+       ELSE ['POSITIVE', 'NEGATIVE'][CAST('0x' || substr(md5('sentiment:' || reviewId), 1, 8) AS BIGINT) % 2 + 1]
+  END AS scoreSentiment,
+  CAST([{_SCORES}][CAST('0x' || substr(md5('score:' || reviewId), 1, 8) AS BIGINT) % 11 + 1] AS FLOAT)
+    AS originalScore
+FROM raw_reviews""",
+    "e03_movies_conformed": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + "SELECT * FROM conformed",
+    "e04_id_coverage": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + """
+SELECT count(*) FILTER (WHERE imdb_id IS NOT NULL OR tmdb_id IS NOT NULL) AS films_with_id,
+  count(*) AS total_films FROM conformed""",
+    "e05_stream_flat": _with(STREAM_INPUT) + "SELECT * FROM flat",
+    "e06_replay_messages": _with(MOVIES, STREAM_INPUT) + """
+SELECT CAST(userId AS VARCHAR) || '_' || CAST(movieId AS VARCHAR) || '_'
+    || strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS key,
+  userId, movieId, CAST(rating AS FLOAT) AS rating, title, genres, tmdbId, imdbId,
+  date_trunc('second', timestamp) AS timestamp
+FROM flat f WHERE EXISTS (SELECT 1 FROM movies m WHERE m.imdb_id IS NOT DISTINCT FROM f.imdbId)""",
+}
+
+# Streams --------------------------------------------------------------------
+# Event time travels as whole seconds. Windows align to the epoch; a sliding
+# window of size s and slide d starts at bucket(d) - k*d for k < s/d. Append
+# output holds windows with end <= max(event time) - delay.
+
+EVENTS = """
+ev AS (
+  SELECT date_trunc('second', ts) AS t,
+    CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS movieId,
+    CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS imdbId,
+    'Film ' || regexp_extract(props, '[0-9]+', 0) AS title,
+    CAST(CASE WHEN event_type <> 'error' THEN CAST(event_id % 11 AS DOUBLE) / 2 END AS FLOAT) AS rating
+  FROM events
+)"""
+
+
+def _bucket(width: str, t: str = "ev.t") -> str:
+    return f"time_bucket(INTERVAL '{width}', {t}, TIMESTAMP '1970-01-01')"
+
+
+def _closed(size: str, delay: str) -> str:
+    return f"ws + INTERVAL '{size}' <= (SELECT max(t) FROM ev) - INTERVAL '{delay}'"
+
+
+def _window_cols(size: str) -> str:
+    return f"ws AS window_start, ws + INTERVAL '{size}' AS window_end"
+
+
+T01 = _with(EVENTS, f"""
+s AS (SELECT movieId, title, {_bucket('30 seconds')} AS b, unnest([0, 1]) AS k FROM ev),
+w AS (SELECT movieId, title, b - to_seconds(30 * k) AS ws FROM s)""") + f"""
+SELECT {_window_cols('1 minute')}, movieId, title, count(*) AS count FROM w
+WHERE {_closed('1 minute', '1 minute')} GROUP BY ws, movieId, title"""
+
+STREAM = {
+    "t01_film_counts": T01,
+    "t02_genre_language_rating": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('3 minutes')} AS ws,
+        unnest(list_transform(string_split(m.genre, ','), lambda x: trim(x))) AS genre,
+        CASE WHEN m.originalLanguage = 'English' THEN 'English' ELSE 'Non-English' END AS language,
+        ev.rating
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id)""") + f"""
+SELECT {_window_cols('3 minutes')}, genre, language, avg(rating) AS rating FROM j
+WHERE rating IS NOT NULL AND {_closed('3 minutes', '3 minutes')} GROUP BY ws, genre, language""",
+    "t03_director_counts": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('1 minute')} AS ws, unnest(string_split(m.director, ',')) AS director_name
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id)""") + f"""
+SELECT {_window_cols('1 minute')}, director_name, count(*) AS count FROM j
+WHERE {_closed('1 minute', '1 minute')} GROUP BY ws, director_name""",
+    "t04_writer_ratings": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('2 minutes')} AS ws, unnest(string_split(m.writer, ',')) AS writer_name, ev.rating
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id)""") + f"""
+SELECT {_window_cols('2 minutes')}, writer_name, count(rating) AS review_count,
+  round(avg(rating), 2) AS avg_rating FROM j
+WHERE {_closed('2 minutes', '2 minutes')} GROUP BY ws, writer_name""",
+    "t05_rating_vs_audience": _with(MOVIES, EVENTS, f"""
+s AS (SELECT ev.title, ev.rating AS imdb_rating,
+        CAST(m.audienceScore AS DOUBLE) / 20.0 AS rotten_tomatoes_rating,
+        {_bucket('30 seconds')} AS b, unnest([0, 1, 2, 3]) AS k
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+w AS (SELECT b - to_seconds(30 * k) AS ws, title, imdb_rating, rotten_tomatoes_rating FROM s
+      WHERE imdb_rating IS NOT NULL AND rotten_tomatoes_rating IS NOT NULL)""") + f"""
+SELECT {_window_cols('2 minutes')}, title,
+  round(avg(imdb_rating), 2) AS avg_imdb_rating,
+  round(avg(rotten_tomatoes_rating), 2) AS avg_rotten_tomatoes_rating
+FROM w WHERE {_closed('2 minutes', '2 minutes')} GROUP BY ws, title""",
+    # Update mode keeps every window; the newest window per director wins.
+    "t06_latest_by_doc": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('1 minute')} AS ws, unnest(string_split(m.director, ',')) AS director_name
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+c AS (SELECT ws, director_name, count(*) AS count FROM j GROUP BY ws, director_name),
+r AS (SELECT *, row_number() OVER (PARTITION BY director_name ORDER BY ws DESC) AS rn FROM c)""") + f"""
+SELECT director_name AS doc_id, {_window_cols('1 minute')}, director_name, count FROM r WHERE rn = 1""",
+    # Replaying the first half again after the second: every replayed row is
+    # behind the watermark and dropped, so the result equals T1.
+    "t07_late_rows_dropped": T01,
+}
+
+
 def all_sql() -> dict[str, str]:
-    return dict(BATCH)
+    return {**BATCH, **ETL, **STREAM}
