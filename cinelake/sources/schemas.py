@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     BinaryType,
+    TimestampNTZType,
     BooleanType,
     DateType,
     DoubleType,
@@ -19,6 +20,20 @@ def _schema(*fields) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
+# Driver tables (the columns we read). Declared so a scan needs no footer
+# inference pass; extra columns in the files are simply not read.
+
+DRIVER = {
+    "part": _schema(("p_partkey", LongType()), ("p_name", StringType()), ("p_brand", StringType()),
+                    ("p_type", StringType()), ("p_size", IntegerType())),
+    "lineitem": _schema(("l_orderkey", LongType()), ("l_partkey", LongType()),
+                        ("l_linenumber", IntegerType()), ("l_returnflag", StringType()),
+                        ("l_linestatus", StringType())),
+    "orders": _schema(("o_orderkey", LongType()), ("o_orderdate", TimestampNTZType())),
+    "events": _schema(("event_id", LongType()), ("ts", TimestampNTZType()), ("user_id", LongType()),
+                      ("event_type", StringType()), ("props", StringType())),
+}
+
 # Raw zone -------------------------------------------------------------------
 
 RAW_MOVIES = _schema(
