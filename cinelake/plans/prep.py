@@ -65,6 +65,16 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     return movies.join(names, movies.title == names.__name, "left").drop("__name")
 
 
+def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet") -> DataFrame:
+    """Raw movies + id lists -> transform-zone movies; returns the coverage
+    report (E4) computed from the written table, not a second pass."""
+    raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES)
+    mapper = zones.read_table(spark, f"{raw_root}/mapper", "csv", schemas.MAPPER)
+    imdb = zones.read_table(spark, f"{raw_root}/movies_imdb", "csv", schemas.IMDB)
+    zones.write_table(conform_movies(raw, mapper, imdb), out_path, fmt)
+    return id_coverage(zones.read_table(spark, out_path, fmt))
+
+
 # E4 -------------------------------------------------------------------------
 def id_coverage(movies: DataFrame) -> DataFrame:
     """Films with at least one external id vs all films, one pass."""
@@ -87,6 +97,15 @@ def flatten_stream_input(ratings: DataFrame, links: DataFrame, movies: DataFrame
                          F.col("rated_at").alias("timestamp"))
 
 
+def run_flatten_stream_input(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "csv") -> None:
+    """Raw ratings, links and stream movies -> the replay file (E5)."""
+    flat = flatten_stream_input(
+        zones.read_table(spark, f"{raw_root}/streaming/ratings", "csv", schemas.RATINGS),
+        zones.read_table(spark, f"{raw_root}/links", "csv", schemas.LINKS),
+        zones.read_table(spark, f"{raw_root}/streaming/movies", "csv", schemas.STREAM_MOVIES))
+    zones.write_table(flat, out_path, fmt)
+
+
 # ST15 -----------------------------------------------------------------------
 def known_film_reviews(flat: DataFrame, movies: DataFrame) -> DataFrame:
     """Keep replay rows whose imdbId is a known film (J9), null-safe like the

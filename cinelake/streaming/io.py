@@ -85,6 +85,14 @@ def upsert_batches(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int]
     return write
 
 
+def append_batches(df: DataFrame, path: str, checkpoint: str,
+                   trigger: Mapping | None = None) -> StreamingQuery:
+    """Closed windows appended without document ids (S13): same per-batch
+    partition writer, so a replayed batch replaces its own rows."""
+    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .foreachBatch(upsert_batches(path)).trigger(**(trigger or {"availableNow": True})).start())
+
+
 def upsert(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
            trigger: Mapping | None = None) -> StreamingQuery:
     """Keyed upsert sink: ``df`` must carry ``doc_id``."""
@@ -101,6 +109,24 @@ def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("
     return latest_by_key(history, key, list(order))
 
 
+def save_all(df: DataFrame, root: str, doc_id_df: DataFrame | None = None, preview: bool = False,
+             trigger: Mapping | None = None) -> list[StreamingQuery]:
+    """The reference's three sinks on one result (ST14): optional console
+    preview (update), keyed upsert of running values when ``doc_id_df`` (the
+    result with a ``doc_id`` column) is given, else idempotent append of
+    closed windows, and the Parquet history (append). One checkpoint each."""
+    started = []
+    if preview:
+        started.append(console(df, "update", trigger, f"{root}/checkpoints/console"))
+    if doc_id_df is not None:
+        started.append(upsert(doc_id_df, f"{root}/documents", f"{root}/checkpoints/documents",
+                              trigger=trigger))
+    else:
+        started.append(append_batches(df, f"{root}/documents", f"{root}/checkpoints/documents", trigger))
+    started.append(append_files(df, f"{root}/history", f"{root}/checkpoints/history", trigger=trigger))
+    return started
+
+
 def run_all(queries: list[StreamingQuery]) -> None:
     """Wait for every query (ST14); re-raises the first failure."""
     for q in queries:

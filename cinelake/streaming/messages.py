@@ -21,9 +21,13 @@ PAYLOAD_FIELDS = ("userId", "movieId", "rating", "title", "genres", "tmdbId", "i
 
 
 def encode(df: DataFrame, time_col: str = "timestamp", fields: Sequence[str] = PAYLOAD_FIELDS,
-           key_fields: Sequence[str] = KEY_FIELDS) -> DataFrame:
-    """Rows -> (key, value) binary pairs, ready for a broker or a file topic."""
-    wire_time = F.date_format(F.col(time_col), WIRE_TIME_FORMAT)
+           key_fields: Sequence[str] = KEY_FIELDS, stamp_send_time: bool = False) -> DataFrame:
+    """Rows -> (key, value) binary pairs, ready for a broker or a file topic.
+
+    ``stamp_send_time`` replaces the event time by the send time, as the
+    reference's producer does (F18); replays for tests keep the event time."""
+    when = F.current_timestamp() if stamp_send_time else F.col(time_col)
+    wire_time = F.date_format(when, WIRE_TIME_FORMAT)
     present = [f for f in fields if f in df.columns]
     payload = F.struct(*[(wire_time if f == time_col else F.col(f)).alias(f) for f in present])
     key = F.concat_ws("_", *[(wire_time if f == time_col else F.col(f).cast("string")) for f in key_fields])

@@ -102,3 +102,20 @@ def test_unrated_group_counts_zero(spark):
 def test_doc_ids(spark):
     df = spark.createDataFrame([("Drama", "English")], "genre string, language string")
     assert windows.with_doc_id(df, "genre_language").first().doc_id == "Drama_English"
+
+
+def test_save_all_three_sinks(spark, tmp_path):
+    r = replay.Replay(spark, SF, "sinks")
+    r.publish()
+    result = windows.director_counts(r.events(), r.movies)
+    root = str(tmp_path / "t3")
+    io.run_all(io.save_all(result, root, doc_id_df=windows.with_doc_id(result, "director_name")))
+    history = spark.read.parquet(f"{root}/history").count()
+    docs = io.latest_documents(spark, f"{root}/documents").count()
+    assert history > 0 and 0 < docs <= history
+
+
+def test_send_time_stamp(spark):
+    events = fx.stream_reviews(spark, SF).limit(3)
+    stamped = messages.decode(messages.encode(events, stamp_send_time=True))
+    assert all(r.timestamp.year >= 2025 for r in stamped.collect())

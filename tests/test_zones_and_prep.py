@@ -60,3 +60,24 @@ def test_known_film_filter_is_null_safe(spark):
     flat = spark.createDataFrame([(1, 10), (2, None), (3, 30)], "userId int, imdbId int")
     movies = spark.createDataFrame([(10,), (None,)], "imdb_id int")
     assert sorted(r.userId for r in prep.known_film_reviews(flat, movies).collect()) == [1, 2]
+
+
+def test_conform_job_and_curated_output(spark, tmp_path):
+    from cinelake.plans import curated
+    raw = str(tmp_path / "raw")
+    zones.land({"movies": fx.raw_movies(spark, SF), "mapper": fx.mapper(spark, SF),
+                "movies_imdb": fx.imdb(spark, SF)}, raw)
+    coverage = prep.run_conform_movies(spark, raw, str(tmp_path / "movies")).first()
+    assert 0 < coverage.films_with_id < coverage.total_films
+    curated.publish_result(spark.read.parquet(str(tmp_path / "movies")), "q", str(tmp_path / "cur"))
+    assert spark.read.json(str(tmp_path / "cur" / "q")).count() == coverage.total_films
+
+
+def test_flatten_job(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    zones.land({"streaming/ratings": fx.ratings(spark, SF), "links": fx.links(spark, SF),
+                "streaming/movies": fx.stream_movies(spark, SF)}, raw)
+    prep.run_flatten_stream_input(spark, raw, str(tmp_path / "flat"))
+    flat = zones.read_table(spark, str(tmp_path / "flat"), "csv")
+    want = prep.flatten_stream_input(fx.ratings(spark, SF), fx.links(spark, SF), fx.stream_movies(spark, SF))
+    assert flat.count() == want.count()
