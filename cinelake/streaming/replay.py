@@ -51,7 +51,8 @@ class Replay:
 
     def publish(self, where: Column | None = None) -> None:
         events = fx.stream_reviews(self.spark, self.sf_dir)
-        io.publish(encode(events if where is None else events.filter(where)), self.topic)
+        rows = events if where is None else events.filter(where)
+        io.publish(encode(rows, partitions=self.topic.partition_count(self.spark)), self.topic)
 
     def events(self) -> DataFrame:
         return decode(io.subscribe(self.spark, self.topic))
