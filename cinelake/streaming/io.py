@@ -28,11 +28,11 @@ class Topic:
     path: str | None = None
     fmt: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-    partitions: int | None = None  # file topic: partitions (files) per publish
+    partitions: int | None = None  # file topic: minimum files per publish
 
     def partition_count(self, spark: SparkSession) -> int | None:
-        """Key-hash partitions a publisher should produce: for a file topic
-        its configured count or the cluster's parallelism; none for a broker."""
+        """Minimum files a publish to a file topic should produce (its
+        configured count or the cluster's parallelism); none for a broker."""
         if self.fmt != "parquet":
             return None
         return self.partitions or spark.sparkContext.defaultParallelism
@@ -40,8 +40,8 @@ class Topic:
 
 def publish(messages: DataFrame, topic: Topic) -> None:
     """Batch-append (key, value) rows to the topic (S16). Messages encoded
-    with ``partitions=topic.partition_count(spark)`` land as one file per
-    key-hash partition, and stream reads scan them in parallel."""
+    with ``partitions=topic.partition_count(spark)`` land as at least that
+    many files, so stream reads scan them in parallel."""
     if topic.fmt == "parquet":
         messages.write.mode("append").parquet(topic.path)
         return

@@ -27,10 +27,12 @@ def encode(df: DataFrame, time_col: str = "timestamp", fields: Sequence[str] = P
 
     ``stamp_send_time`` replaces the event time by the send time, as the
     reference's producer does (F18); replays for tests keep the event time.
-    ``partitions`` hash-partitions messages on their key, as a broker assigns
-    keyed messages to topic partitions (for file topics; a broker sink
-    partitions by itself). Only the key is computed before that shuffle, the
-    JSON encoding runs after it, in parallel."""
+    ``partitions`` is the minimum number of topic files a file-topic publish
+    should produce. Input that already has that many partitions (any large
+    table) is encoded where it lies, with no shuffle; a narrower input is
+    spread round-robin first, so the JSON encoding runs in parallel and no
+    key, however hot, can make one file large. A broker sink partitions by
+    itself and passes ``None``."""
     when = F.current_timestamp() if stamp_send_time else F.col(time_col)
     present = [f for f in fields if f in df.columns]
     staged = df.select(F.date_format(when, WIRE_TIME_FORMAT).alias("__wire_time"),
@@ -38,8 +40,8 @@ def encode(df: DataFrame, time_col: str = "timestamp", fields: Sequence[str] = P
     wire = {f: (F.col("__wire_time") if f == time_col else F.col(f)) for f in set(present) | set(key_fields)}
     key = F.concat_ws("_", *[wire[f].cast("string") for f in key_fields])
     staged = staged.withColumn("__key", key)
-    if partitions:
-        staged = staged.repartition(partitions, "__key")
+    if partitions and staged.rdd.getNumPartitions() < partitions:
+        staged = staged.repartition(partitions)
     payload = F.struct(*[wire[f].alias(f) for f in present])
     return staged.select(F.encode(F.col("__key"), "UTF-8").alias("key"),
                          F.encode(F.to_json(payload), "UTF-8").alias("value"))
