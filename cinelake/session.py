@@ -64,15 +64,34 @@ def work_dir(spark: SparkSession) -> str:
     our own is created and registered so later calls agree.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not folder and context is not None:
+        folder = context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="cinelake-")
-        spark.sparkContext.setCheckpointDir(folder)
+        if context is not None:
+            context.setCheckpointDir(folder)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None over Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cluster task slots (default parallelism), or the shuffle partition
+    count when the context is not reachable (Spark Connect)."""
+    context = _context(spark)
+    if context is not None:
+        return context.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the work folder (one per run)."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

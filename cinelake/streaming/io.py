@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinelake.operators.relational import latest_by_key
+from cinelake.session import parallelism
 from cinelake.sources.schemas import MESSAGE
 
 
@@ -35,7 +36,7 @@ class Topic:
         configured count or the cluster's parallelism); none for a broker."""
         if self.fmt != "parquet":
             return None
-        return self.partitions or spark.sparkContext.defaultParallelism
+        return self.partitions or parallelism(spark)
 
 
 def publish(messages: DataFrame, topic: Topic) -> None:

@@ -40,13 +40,22 @@ def encode(df: DataFrame, time_col: str = "timestamp", fields: Sequence[str] = P
     wire = {f: (F.col("__wire_time") if f == time_col else F.col(f)) for f in set(present) | set(key_fields)}
     key = F.concat_ws("_", *[wire[f].cast("string") for f in key_fields])
     staged = staged.withColumn("__key", key)
-    if partitions and staged.rdd.getNumPartitions() < partitions:
+    if partitions and _input_partitions(staged) < partitions:
         staged = staged.repartition(partitions)
     payload = F.struct(*[wire[f].alias(f) for f in present])
     return staged.select(F.encode(F.col("__key"), "UTF-8").alias("key"),
                          F.encode(F.to_json(payload), "UTF-8").alias("value"))
 
 
+def _input_partitions(df: DataFrame) -> int:
+    """Partitions the frame is planned with (0 when not inspectable, as over
+    Spark Connect, which then spreads the rows)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return 0
+
+
 def decode(messages: DataFrame, schema: StructType = REVIEW_EVENT, keep_key: bool = False) -> DataFrame:
     """(key, value) -> one column per schema field. Malformed JSON gives an
     all-null row, a bad field a null field (from_json PERMISSIVE)."""
