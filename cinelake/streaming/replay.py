@@ -18,7 +18,7 @@ from cinelake.session import fresh_path
 from cinelake.sources import fixtures as fx
 from cinelake.streaming import io
 from cinelake.streaming.messages import decode, encode
-from cinelake.streaming.windows import EVENT_TIME, flatten_window
+from cinelake.streaming.windows import EVENT_TIME, flatten_window, with_doc_id
 
 Builder = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -59,7 +59,6 @@ class Replay:
 
     def drain(self, build: Builder, sink: str = "append", doc_id: str | None = None) -> None:
         """Run the question over everything new in the topic, then stop."""
-        from cinelake.streaming.windows import with_doc_id
         result = build(self.events(), self.movies)
         if sink == "append":
             q = io.append_files(result, self.out, self.checkpoint)
