@@ -95,6 +95,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
         topic = io.Topic(path=args.topic)
     events = messages.decode(io.subscribe(spark, topic))
     movies = zones.read_table(spark, args.movies, args.format, schemas.MOVIES if args.format == "csv" else None)
+    if args.dimension_partitions:
+        movies = windows.prepare_movies(movies, args.dimension_partitions)
     build, doc_kind = STREAM[args.question]
     result = build(events, movies)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
@@ -140,6 +142,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--once", action="store_true")
     s.add_argument("--every", default="30 seconds")
     s.add_argument("--show", action="store_true")
+    s.add_argument("--dimension-partitions", type=int,
+                   help="pre-partition a film dimension too large to broadcast")
     return p
 
 

@@ -63,3 +63,27 @@ def test_no_python_in_batch_plans(spark):
     for key in [k for k in E.queries() if k.startswith(("b", "e"))]:
         plan = _plan(spark, key)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+
+
+def test_prepared_dimension_is_not_reshuffled(spark):
+    from cinelake.sources import fixtures as fx
+    from cinelake.streaming import messages, replay, windows
+    events = messages.decode(replay.review_messages(spark, SF))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dim = windows.prepare_movies(fx.movies(spark, SF), n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as inside a micro-batch
+    try:
+        plan = windows.director_counts(events, dim)._jdf.queryExecution().executedPlan().toString()
+        joined = windows.director_counts(events, fx.movies(spark, SF))._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        dim.unpersist()
+    assert "SortMergeJoin" in plan and "InMemoryTableScan" in plan
+    # Exchanges the query adds: the aggregate's and, for the join, only the
+    # events side; unprepared, the dimension side is shuffled too.
+    assert plan.count("ENSURE_REQUIREMENTS") == 2
+    assert joined.count("ENSURE_REQUIREMENTS") == 3
