@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.session import fresh_path
+from cinelake.session import fresh_path, work_dir
 from cinelake.sources import fixtures as fx
 from cinelake.streaming import io
 from cinelake.streaming.messages import decode, encode
@@ -38,21 +38,39 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     return ts < F.lit(mid), ts >= F.lit(mid)
 
 
+# Whole replays already published in this process: (work folder, input) ->
+# topic folder. Like the reference's single producer and topic, several stream
+# questions consume one published replay, each with its own checkpoint.
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
 class Replay:
-    """One topic, one checkpoint, one output folder under the work folder."""
+    """One topic, one checkpoint, one output folder under the work folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, name: str):
+    ``shared=True`` reuses the whole replay of ``sf_dir`` if this process has
+    already published it; sliced replays (late data, restarts) always get a
+    topic of their own."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, shared: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         base = fresh_path(spark, name)
-        self.topic = io.Topic(f"{base}/topic")
+        self.shared_key = (work_dir(spark), sf_dir.rstrip("/")) if shared else None
+        topic_path = _PUBLISHED.get(self.shared_key) if shared else None
+        self.topic = io.Topic(topic_path or f"{base}/topic")
+        self.published = topic_path is not None
         self.out, self.checkpoint = f"{base}/out", f"{base}/checkpoint"
         self.movies = fx.movies(spark, sf_dir)
         self.progress: list[dict] = []
 
     def publish(self, where: Column | None = None) -> None:
+        if self.published and where is None:
+            return
         events = fx.stream_reviews(self.spark, self.sf_dir)
         rows = events if where is None else events.filter(where)
         io.publish(encode(rows, partitions=self.topic.partition_count(self.spark)), self.topic)
+        if self.shared_key and where is None:
+            _PUBLISHED[self.shared_key] = self.topic.path
+            self.published = True
 
     def events(self) -> DataFrame:
         return decode(io.subscribe(self.spark, self.topic))
@@ -76,7 +94,7 @@ def run_windowed(spark: SparkSession, sf_dir: str, build: Builder, name: str,
                  slices: Sequence[Column | None] = (None,)) -> DataFrame:
     """Publish each slice and drain it into an append parquet sink; return
     the closed windows written, window flattened to start/end columns."""
-    replay = Replay(spark, sf_dir, name)
+    replay = Replay(spark, sf_dir, name, shared=len(slices) == 1 and slices[0] is None)
     for where in slices:
         replay.publish(where)
         replay.drain(build)
