@@ -119,3 +119,29 @@ def test_send_time_stamp(spark):
     events = fx.stream_reviews(spark, SF).limit(3)
     stamped = messages.decode(messages.encode(events, stamp_send_time=True))
     assert all(r.timestamp.year >= 2025 for r in stamped.collect())
+
+
+def test_event_inside_the_delay_is_kept(spark, tmp_path):
+    """Out of order but within the watermark delay: still counted."""
+    topic = io.Topic(str(tmp_path / "topic"))
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+
+    def send(rows):
+        df = spark.createDataFrame(rows, "userId int, movieId int, title string, timestamp timestamp")
+        io.publish(messages.encode(df), topic)
+
+    out, chk = str(tmp_path / "out"), str(tmp_path / "chk")
+    counts = lambda: windows.film_counts(messages.decode(io.subscribe(spark, topic)))
+    send([(1, 7, "Film 7", base + dt.timedelta(minutes=5))])
+    io.run_all([io.append_files(counts(), out, chk)])
+    # Watermark is now 12:04. 12:04:10 is late for the newest window but inside
+    # the delay; 12:01 is behind the watermark and dropped.
+    send([(2, 7, "Film 7", base + dt.timedelta(minutes=4, seconds=10)),
+          (3, 7, "Film 7", base + dt.timedelta(minutes=1)),
+          (4, 7, "Film 7", base + dt.timedelta(minutes=20))])
+    io.run_all([io.append_files(counts(), out, chk)])
+    got = {(r.window.start.replace(tzinfo=None), r["count"]) for r in spark.read.parquet(out).collect()}
+    # Closed at watermark 12:19: both windows of 12:04:10 (kept although out of
+    # order) and both of 12:05; none of the dropped 12:01; 12:20's still open.
+    want = {(base + dt.timedelta(minutes=m, seconds=s), 1) for m, s in ((3, 30), (4, 0), (4, 30), (5, 0))}
+    assert got == want
