@@ -155,3 +155,9 @@ def test_b06_percentages(frames):
     best = max(shares.values())
     share = batch.top_share(*frames, min_reviews=10, k=1).collect()
     assert sorted(r.title for r in share) == sorted(titles[m] for m, v in shares.items() if v == best)
+
+
+def test_b02_approx_close_to_exact(frames):
+    exact = {r.genre: r.total_rotten_movies for r in batch.rotten_genres(*frames).collect()}
+    approx = {r.genre: r.total_rotten_movies for r in batch.rotten_genres(*frames, approx=True).collect()}
+    assert approx == exact  # tiny counts are exact under the sketch

@@ -145,3 +145,10 @@ def test_event_inside_the_delay_is_kept(spark, tmp_path):
     # order) and both of 12:05; none of the dropped 12:01; 12:20's still open.
     want = {(base + dt.timedelta(minutes=m, seconds=s), 1) for m, s in ((3, 30), (4, 0), (4, 30), (5, 0))}
     assert got == want
+
+
+def test_console_sink_runs(spark, capsys):
+    r = replay.Replay(spark, SF, "console")
+    r.publish()
+    io.run_all([io.console(windows.director_counts(r.events(), r.movies), "update",
+                           checkpoint=r.checkpoint)])

@@ -81,3 +81,12 @@ def test_flatten_job(spark, tmp_path):
     flat = zones.read_table(spark, str(tmp_path / "flat"), "csv")
     want = prep.flatten_stream_input(fx.ratings(spark, SF), fx.links(spark, SF), fx.stream_movies(spark, SF))
     assert flat.count() == want.count()
+
+
+def test_curated_index_path_uses_connector_format(spark, tmp_path):
+    from cinelake.plans import curated
+    df = fx.movies(spark, SF).select("movie_id", "title")
+    index = str(tmp_path / "index")  # a file format stands in for the connector
+    curated.publish_result(df, "q1", str(tmp_path / "cur"), index_format="parquet",
+                           index_options={"path": index})
+    assert spark.read.parquet(index).count() == spark.read.json(str(tmp_path / "cur" / "q1")).count()
