@@ -59,3 +59,14 @@ def test_stream_job_once(spark, zone):
                "--doc-ids", "--once"], spark=spark)
     assert spark.read.parquet(f"{out}/history").count() > 0
     assert spark.read.parquet(f"{out}/documents").select("doc_id").distinct().count() > 0
+
+
+def test_every_batch_plan_agrees_on_zone_and_views(spark, tmp_path):
+    from cinelake import catalog
+    movies_path, reviews_path = catalog.write_zone(spark, SF, str(tmp_path / "z"))
+    movies, reviews = zones.read_table(spark, movies_path), zones.read_table(spark, reviews_path)
+    for key, plan in catalog.BATCH_PLANS.items():
+        on_zone = plan(movies, reviews)
+        on_views = catalog.BATCH[key](spark, SF)
+        cols = sorted(on_views.columns)
+        assert _rows(on_zone.select(cols)) == _rows(on_views.select(cols)), key
