@@ -93,6 +93,11 @@ def _flat(spark: SparkSession, d: str) -> DataFrame:
     return prep.flatten_stream_input(fx.ratings(spark, d), fx.links(spark, d), fx.stream_movies(spark, d))
 
 
+def _cleaned(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return prep.clean_reviews(fx.raw_reviews(spark, d))
+
+
 def _replayed(spark: SparkSession, d: str) -> DataFrame:
     known = prep.known_film_reviews(_flat(spark, d), fx.movies(spark, d))
     decoded = messages.decode(messages.encode(known), keep_key=True)
@@ -101,7 +106,7 @@ def _replayed(spark: SparkSession, d: str) -> DataFrame:
 
 ETL: dict[str, Query] = {
     "e01_land_raw_movies": _landed_raw_movies,
-    "e02_reviews_clean": lambda s, d: prep.clean_reviews((tune(s), fx.raw_reviews(s, d))[1]),
+    "e02_reviews_clean": _cleaned,
     "e03_movies_conformed": _conformed,
     "e04_id_coverage": lambda s, d: prep.id_coverage(_conformed(s, d)),
     "e05_stream_flat": _flat,
