@@ -70,3 +70,31 @@ def test_every_batch_plan_agrees_on_zone_and_views(spark, tmp_path):
         on_views = catalog.BATCH[key](spark, SF)
         cols = sorted(on_views.columns)
         assert _rows(on_zone.select(cols)) == _rows(on_views.select(cols)), key
+
+
+def test_etl_subcommands_end_to_end(spark, tmp_path):
+    """land -> clean-reviews / conform-movies / flatten through the job CLI."""
+    src = tmp_path / "src"
+    for name, df in {"reviews": fx.raw_reviews(spark, SF), "movies": fx.raw_movies(spark, SF),
+                     "mapper": fx.mapper(spark, SF), "movies_imdb": fx.imdb(spark, SF),
+                     "links": fx.links(spark, SF), "ratings": fx.ratings(spark, SF),
+                     "stream_movies": fx.stream_movies(spark, SF)}.items():
+        zones.write_table(df, str(src / name), "csv")
+    raw = str(tmp_path / "raw")
+    sources = ["reviews", "movies", "mapper", "movies_imdb", "links"]
+    jobs.main(["land", "--raw", raw] + sum([["--source", f"{n}={src / n}"] for n in sources], []), spark=spark)
+    jobs.main(["land", "--raw", f"{raw}/streaming", "--source", f"ratings={src / 'ratings'}",
+               "--source", f"movies={src / 'stream_movies'}"], spark=spark)
+
+    jobs.main(["clean-reviews", "--raw", f"{raw}/reviews", "--out", str(tmp_path / "t_reviews")], spark=spark)
+    cleaned = zones.read_table(spark, str(tmp_path / "t_reviews"))
+    assert cleaned.count() == fx.raw_reviews(spark, SF).count()
+    assert set(cleaned.columns) >= {"movie_id", "creationDate", "originalScore", "scoreSentiment"}
+
+    jobs.main(["conform-movies", "--raw", raw, "--out", str(tmp_path / "t_movies")], spark=spark)
+    assert zones.read_table(spark, str(tmp_path / "t_movies")).filter(F.col("imdb_id").isNotNull()).count() > 0
+
+    jobs.main(["flatten", "--raw", raw, "--out", str(tmp_path / "flat")], spark=spark)
+    from cinelake.plans import prep
+    want = prep.flatten_stream_input(fx.ratings(spark, SF), fx.links(spark, SF), fx.stream_movies(spark, SF))
+    assert zones.read_table(spark, str(tmp_path / "flat"), "csv").count() == want.count()
