@@ -1,13 +1,16 @@
 """The ten batch questions (B1-B10), each a function of the transform-zone
 ``movies`` and ``reviews`` frames with its thresholds as parameters.
 
-Shape shared by all plans: the review facts are aggregated per film first
-(partial aggregate before the shuffle), then joined to the film dimension,
-exploded and re-aggregated. The wide join therefore sees one row per film and
-group instead of one row per review, and a film holding a third of all
-reviews is collapsed map-side rather than landing in one task. Limits are
-TakeOrderedAndProject; rank filters sit next to the window (WindowGroupLimit).
-Ties are broken by name so every result is deterministic.
+Shape shared by the plans that re-aggregate reviews at a film-attribute
+grain (B1, B5, B9, B10): ``facts_by_dimension`` joins the review facts to the
+film dimension map-side when the dimension's estimated size fits the
+broadcast threshold, and otherwise aggregates reviews per film first (partial
+aggregate before the shuffle, so a film holding a third of all reviews is
+collapsed map-side) and sort-merge joins. Either way the packed lists are
+exploded after the join and summed at the output grain. Plans whose filter
+needs per-film totals (B2, B4, B6, B8) aggregate per film first by nature.
+Limits are TakeOrderedAndProject; rank filters sit next to the window
+(WindowGroupLimit). Ties are broken by name so every result is deterministic.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from cinelake.operators.relational import (
     certified,
     dedupe_by,
     explode_list,
+    facts_by_dimension,
     pivot_sum,
     review_counts,
     semi_join,
@@ -33,9 +37,9 @@ def top_genre_per_year(movies: DataFrame, reviews: DataFrame, k: int = 15,
                        split_mode: str = "regex") -> DataFrame:
     """Per review year the genre(s) with most review rows (ties kept), then
     the k rows with the highest count. Columns: creationDate, genre, count."""
-    per_film_year = reviews.groupBy("movie_id", "creationDate").agg(F.count(F.lit(1)).alias("n"))
-    genres = explode_list(movies.select("movie_id", "genre"), "genre", split_mode)
-    counts = (per_film_year.join(genres, "movie_id")
+    rows = facts_by_dimension(reviews, movies.select("movie_id", "genre"), "movie_id",
+                              ["creationDate"], {"n": None})
+    counts = (explode_list(rows, "genre", split_mode)
               .groupBy("creationDate", "genre").agg(F.sum("n").alias("count")))
     best = top_k_per_group(counts, ["creationDate"], [F.desc("count")], 1, ties=True)
     return top_k(best.select("creationDate", "genre", "count"),
@@ -109,9 +113,8 @@ def directors_in_years(movies: DataFrame, reviews: DataFrame, first_year: int =
                        end_year: int = 2022, k: int = 5) -> DataFrame:
     """Reviews written in [first_year, end_year) per director; top k."""
     in_years = reviews.filter((F.col("creationDate") >= first_year) & (F.col("creationDate") < end_year))
-    per_film = in_years.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
-    directors = explode_list(movies.select("movie_id", "director"), "director", "regex")
-    totals = per_film.join(directors, "movie_id").groupBy("director").agg(F.sum("n").alias("num_reviews"))
+    rows = facts_by_dimension(in_years, movies.select("movie_id", "director"), "movie_id", [], {"n": None})
+    totals = explode_list(rows, "director", "regex").groupBy("director").agg(F.sum("n").alias("num_reviews"))
     return top_k(totals, [F.desc("num_reviews"), F.asc("director")], k)
 
 
@@ -187,10 +190,9 @@ def certified_titles(movies: DataFrame, reviews: DataFrame, k: int = 10, **thres
 def writer_sentiment(movies: DataFrame, reviews: DataFrame) -> DataFrame:
     """Top-critic reviews per writer pivoted by sentiment:
     writer, POSITIVE, NEGATIVE (null when a writer has none)."""
-    per_film = reviews.filter(F.col("isTopCritic")).groupBy("movie_id", "scoreSentiment") \
-        .agg(F.count(F.lit(1)).alias("review_count"))
-    writers = explode_list(movies.select("movie_id", "writer"), "writer", "regex")
-    return pivot_sum(per_film.join(writers, "movie_id"), ["writer"], "scoreSentiment",
+    rows = facts_by_dimension(reviews.filter(F.col("isTopCritic")), movies.select("movie_id", "writer"),
+                              "movie_id", ["scoreSentiment"], {"review_count": None})
+    return pivot_sum(explode_list(rows, "writer", "regex"), ["writer"], "scoreSentiment",
                      ["POSITIVE", "NEGATIVE"], "review_count")
 
 
@@ -205,8 +207,9 @@ def release_buckets(movies: DataFrame, reviews: DataFrame) -> DataFrame:
     films = movies.filter(F.col("releaseDateTheaters").isNotNull()).select(
         "movie_id", five_year_bucket(F.year("releaseDateTheaters")).alias("release_year_bucket"))
     films = films.filter(F.col("release_year_bucket") != UNKNOWN_BUCKET)
-    per_bucket = (review_counts(reviews).join(films, "movie_id")
-                  .groupBy("release_year_bucket")
+    rows = facts_by_dimension(reviews, films, "movie_id", [], {
+        "positive_reviews": F.col("scoreSentiment") == "POSITIVE", "total_reviews": None})
+    per_bucket = (rows.groupBy("release_year_bucket")
                   .agg(F.sum("positive_reviews").alias("positive_reviews"),
                        F.sum("total_reviews").alias("total_reviews")))
     return per_bucket.withColumn("positive_percentage", F.expr("positive_reviews / total_reviews * 100")) \
