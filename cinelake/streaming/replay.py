@@ -44,6 +44,17 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
 _PUBLISHED: dict[tuple[str, str], str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, through the cluster's file system client."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    except Exception:
+        import os
+        return os.path.exists(path.removeprefix("file:"))
+
+
 class Replay:
     """One topic, one checkpoint, one output folder under the work folder.
 
@@ -56,6 +67,8 @@ class Replay:
         base = fresh_path(spark, name)
         self.shared_key = (work_dir(spark), sf_dir.rstrip("/")) if shared else None
         topic_path = _PUBLISHED.get(self.shared_key) if shared else None
+        if topic_path and not _exists(spark, topic_path):
+            topic_path = None  # the work folder was cleared: publish again
         self.topic = io.Topic(topic_path or f"{base}/topic")
         self.published = topic_path is not None
         self.out, self.checkpoint = f"{base}/out", f"{base}/checkpoint"

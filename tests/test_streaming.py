@@ -152,3 +152,18 @@ def test_console_sink_runs(spark, capsys):
     r.publish()
     io.run_all([io.console(windows.director_counts(r.events(), r.movies), "update",
                            checkpoint=r.checkpoint)])
+
+
+def test_shared_topic_republished_when_missing(spark, tmp_path):
+    first = replay.Replay(spark, SF, "shared-a", shared=True)
+    first.publish()
+    path = first.topic.path
+    again = replay.Replay(spark, SF, "shared-b", shared=True)
+    assert again.topic.path == path and again.published
+    # The work folder lost the topic (simulated: the memo names a folder
+    # that does not exist); the next consumer publishes afresh.
+    replay._PUBLISHED[again.shared_key] = str(tmp_path / "gone")
+    third = replay.Replay(spark, SF, "shared-c", shared=True)
+    assert not third.published and third.topic.path not in (path, str(tmp_path / "gone"))
+    third.publish()
+    assert spark.read.parquet(third.topic.path).count() == fx.stream_reviews(spark, SF).count()
