@@ -67,13 +67,21 @@ def _from_views(key: str) -> Query:
 BATCH: dict[str, Query] = {key: _from_views(key) for key in BATCH_PLANS}
 
 
-def write_zone(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
+def write_zone(spark: SparkSession, d: str, root: str, buckets: int | None = None,
+               prefix: str = "zone") -> tuple[str, str]:
     """Materialise the transform zone from the views: films, and reviews
-    partitioned by year (what E2/E3 leave for the batch jobs)."""
+    partitioned by year (what E2/E3 leave for the batch jobs). Returns the
+    two paths, or with ``buckets`` the names of two catalog tables bucketed
+    on movie_id (read them with ``spark.table``)."""
     tune(spark)
     movies, reviews = f"{root}/movies", f"{root}/reviews"
-    zones.write_table(fx.movies(spark, d), movies)
-    zones.write_table(fx.reviews(spark, d).select(*REVIEW_COLUMNS), reviews, partition_by=["creationDate"])
+    films, facts = fx.movies(spark, d), fx.reviews(spark, d).select(*REVIEW_COLUMNS)
+    if buckets:
+        zones.write_bucketed(films, f"{prefix}_movies", movies, "movie_id", buckets)
+        zones.write_bucketed(facts, f"{prefix}_reviews", reviews, "movie_id", buckets, ["creationDate"])
+        return f"{prefix}_movies", f"{prefix}_reviews"
+    zones.write_table(films, movies)
+    zones.write_table(facts, reviews, partition_by=["creationDate"])
     return movies, reviews
 
 

@@ -49,6 +49,22 @@ def write_table(df: DataFrame, path: str | None, fmt: str = "parquet", mode: str
         writer.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
+                   partition_by: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
+    """Write a zone table hash-bucketed (and sorted) on ``key`` as an external
+    catalog table at ``path``; returns ``spark.table(table)``.
+
+    Two tables bucketed on the same key with the same bucket count join and
+    aggregate on that key without a shuffle: the scan already delivers each
+    key's rows to one task. The bucket layout lives in the catalog (a
+    metastore on a cluster), the files on the shared path."""
+    writer = df.write.format(fmt).mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_many(df: DataFrame, targets: list[dict]) -> None:
     """Several sinks from one result (S10): the frame is persisted once so the
     plan is not recomputed per sink, then released."""

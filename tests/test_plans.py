@@ -117,3 +117,18 @@ def test_prepared_dimension_is_not_reshuffled(spark):
     # events side; unprepared, the dimension side is shuffled too.
     assert plan.count("ENSURE_REQUIREMENTS") == 2
     assert joined.count("ENSURE_REQUIREMENTS") == 3
+
+
+def test_bucketed_zone_needs_no_fact_shuffle(spark, tmp_path):
+    from cinelake import catalog
+    movies_t, reviews_t = catalog.write_zone(spark, SF, str(tmp_path / "bz"), buckets=8, prefix="bz")
+    plan_fn = catalog.BATCH_PLANS["b01_top_genre_per_year"]
+    with _NoBroadcast(spark):
+        df = plan_fn(spark.table(movies_t), spark.table(reviews_t))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(tuple, df.collect()))
+    # Per-film aggregate and the film join read the buckets as they lie:
+    # no exchange on movie_id anywhere, only the output-grain ones.
+    assert "SortMergeJoin [movie_id" in plan
+    assert "Exchange hashpartitioning(movie_id" not in plan
+    assert rows == sorted(map(tuple, E.queries()["b01_top_genre_per_year"](spark, SF).collect()))
