@@ -1,7 +1,9 @@
 """Registry of runnable queries: key -> (spark, sf_dir) -> DataFrame.
 
 Each entry reads the driver tables through ``sources.fixtures`` and applies
-one plan; thresholds come from ``params``.
+one plan; thresholds come from ``params``. ``BATCH_PLANS`` holds the batch
+questions as functions of (movies, reviews) so the same plans also run on
+a written transform zone (``write_zone``), as a deployment's jobs do.
 """
 
 from __future__ import annotations
