@@ -93,7 +93,11 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
                                                "subscribe": args.subscribe})
     else:
         topic = io.Topic(path=args.topic)
-    events = messages.decode(io.subscribe(spark, topic))
+    limit = {}
+    if args.max_per_trigger:
+        name = "maxOffsetsPerTrigger" if topic.fmt == "kafka" else "maxFilesPerTrigger"
+        limit[name] = str(args.max_per_trigger)
+    events = messages.decode(io.subscribe(spark, topic, limit))
     movies = zones.read_table(spark, args.movies, args.format, schemas.MOVIES if args.format == "csv" else None)
     if args.dimension_partitions:
         movies = windows.prepare_movies(movies, args.dimension_partitions)
@@ -144,6 +148,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--show", action="store_true")
     s.add_argument("--dimension-partitions", type=int,
                    help="pre-partition a film dimension too large to broadcast")
+    s.add_argument("--max-per-trigger", type=int,
+                   help="bound each micro-batch (Kafka offsets or topic files)")
     return p
 
 

@@ -98,3 +98,14 @@ def test_etl_subcommands_end_to_end(spark, tmp_path):
     from cinelake.plans import prep
     want = prep.flatten_stream_input(fx.ratings(spark, SF), fx.links(spark, SF), fx.stream_movies(spark, SF))
     assert zones.read_table(spark, str(tmp_path / "flat"), "csv").count() == want.count()
+
+
+def test_stream_job_bounded_batches(spark, zone):
+    r = replay.Replay(spark, SF, "bounded")
+    first, second = replay.halves(spark, SF)
+    r.publish(first)
+    r.publish(second)
+    out = str(zone / "t1b")
+    jobs.main(["stream", "t1", "--topic", r.topic.path, "--movies", str(zone / "movies"), "--out", out,
+               "--once", "--max-per-trigger", "2"], spark=spark)
+    assert spark.read.parquet(f"{out}/history").count() > 0
