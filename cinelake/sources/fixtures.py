@@ -24,43 +24,34 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _sep(key: Column) -> Column:
-    # Three separator styles so every list splitter meets blanks.
-    return F.when(key % 3 == 0, F.lit(",")).when(key % 3 == 1, F.lit(", ")).otherwise(F.lit(" , "))
-
-
-def raw_movie_columns(key: Column, name: Column, brand: Column, ptype: Column, size: Column) -> dict:
-    sep = _sep(key)
-    suffix = F.when(key % 4 == 0, "K").when(key % 4 == 1, "M").when(key % 4 == 2, "B")
-    return {
-        "movie_id": key,
-        "title": name,
-        "genre": F.concat(ptype, sep, F.replace(name, F.lit(" "), sep)),
-        "writer": F.when(key % 17 != 0, F.concat(brand, sep, ptype)),
-        "director": F.when(
-            key % 19 != 0,
-            F.concat(F.lit("Dir "), _s(key % 40), sep, F.lit("Dir "), _s(F.lit(40) + key % 7)),
-        ),
-        "originalLanguage": F.when(key % 3 == 0, "English").when(key % 3 == 1, "French"),
-        "releaseDateTheaters": F.when(
-            key % 13 != 0, F.make_date((F.lit(1965) + key % 60).cast("int"), F.lit(1), F.lit(1))
-        ),
-        "boxOffice": F.concat(F.lit("$"), _s(size), F.lit(".5"), suffix),
-        "audienceScore": F.when(key % 7 != 0, size * 2),
-        "tomatoMeter": F.when(key % 5 != 0, (key % 101).cast("int")),
-        "imdb_id": F.when(key % 10 != 0, key.cast("int")),
-    }
+# The movies view as SQL expressions over ``part``: one projection parsed in
+# the JVM. Three separator styles so every list splitter meets blanks.
+_MOVIE_SQL = (
+    "p_partkey AS movie_id",
+    "p_name AS title",
+    "concat(p_type, sep, replace(p_name, ' ', sep)) AS genre",
+    "CASE WHEN p_partkey % 17 <> 0 THEN concat(p_brand, sep, p_type) END AS writer",
+    "CASE WHEN p_partkey % 19 <> 0 THEN concat('Dir ', CAST(p_partkey % 40 AS STRING), sep, "
+    "'Dir ', CAST(40 + p_partkey % 7 AS STRING)) END AS director",
+    "CASE p_partkey % 3 WHEN 0 THEN 'English' WHEN 1 THEN 'French' END AS originalLanguage",
+    "CASE WHEN p_partkey % 13 <> 0 THEN make_date(CAST(1965 + p_partkey % 60 AS INT), 1, 1) END "
+    "AS releaseDateTheaters",
+    "concat('$', CAST(p_size AS STRING), '.5', "
+    "CASE p_partkey % 4 WHEN 0 THEN 'K' WHEN 1 THEN 'M' WHEN 2 THEN 'B' END) AS boxOffice",
+    "CASE WHEN p_partkey % 7 <> 0 THEN p_size * 2 END AS audienceScore",
+    "CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_partkey % 101 AS INT) END AS tomatoMeter",
+    "CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_partkey AS INT) END AS imdb_id",
+)
+_SEP_SQL = "CASE p_partkey % 3 WHEN 0 THEN ',' WHEN 1 THEN ', ' ELSE ' , ' END AS sep"
 
 
 def movies(spark: SparkSession, sf_dir: str, parse_box_office: bool = True) -> DataFrame:
     """Transform-zone movies: one row per film, packed genre/writer/director
     lists, box office parsed to a number (as the conform job leaves it)."""
-    part = table(spark, sf_dir, "part")
-    cols = raw_movie_columns(F.col("p_partkey"), F.col("p_name"), F.col("p_brand"),
-                             F.col("p_type"), F.col("p_size"))
+    films = table(spark, sf_dir, "part").selectExpr("*", _SEP_SQL).selectExpr(*_MOVIE_SQL)
     if parse_box_office:
-        cols["boxOffice"] = parse_money(cols["boxOffice"])
-    return part.select(*[c.alias(n) for n, c in cols.items()])
+        films = films.withColumn("boxOffice", parse_money("boxOffice"))
+    return films
 
 
 def reviews(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
