@@ -48,20 +48,26 @@ def run_clean_reviews(spark: SparkSession, raw_path: str, out_path: str, fmt: st
 
 # E3 -------------------------------------------------------------------------
 def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
-                   suffixes: Sequence[str] = ("K", "M", "B"), missing: float | None = 0.0) -> DataFrame:
+                   suffixes: Sequence[str] = ("K", "M", "B"), missing: float | None = 0.0,
+                   dedupe_on_title: bool = False) -> DataFrame:
     """Parse box office, drop unused columns, attach external ids.
 
     Two left joins on the title (J6): the mapper gives ``tmdb_id``, the imdb
     list gives ``imdb_id`` from its "tt..." id. A title listed twice yields
-    two rows, as in the reference. Join strategy is Spark's: broadcast when
-    the id lists measure under the broadcast threshold, else sort-merge,
-    with AQE splitting a skewed title."""
+    two rows, as in the reference; ``dedupe_on_title=True`` keeps the
+    smallest id per title instead (one aggregate per list, partial before
+    its shuffle), so later counts are not multiplied. Join strategy is
+    Spark's: broadcast when the id lists measure under the broadcast
+    threshold, else sort-merge, with AQE splitting a skewed title."""
     movies = (raw.withColumnRenamed("id", "movie_id")
               .withColumn("boxOffice", parse_money("boxOffice", suffixes, missing))
               .drop(*MOVIE_EXTRA_COLUMNS))
     ids = mapper.select(F.col("title").alias("__title"), F.col("movie_id").alias("tmdb_id"))
-    movies = movies.join(ids, movies.title == ids.__title, "left").drop("__title")
     names = imdb.select(F.col("name").alias("__name"), imdb_number("id").alias("imdb_id"))
+    if dedupe_on_title:
+        ids = ids.groupBy("__title").agg(F.min("tmdb_id").alias("tmdb_id"))
+        names = names.groupBy("__name").agg(F.min("imdb_id").alias("imdb_id"))
+    movies = movies.join(ids, movies.title == ids.__title, "left").drop("__title")
     return movies.join(names, movies.title == names.__name, "left").drop("__name")
 
 

@@ -90,3 +90,11 @@ def test_curated_index_path_uses_connector_format(spark, tmp_path):
     curated.publish_result(df, "q1", str(tmp_path / "cur"), index_format="parquet",
                            index_options={"path": index})
     assert spark.read.parquet(index).count() == spark.read.json(str(tmp_path / "cur" / "q1")).count()
+
+
+def test_conform_movies_dedupe_on_title(spark):
+    movies = prep.conform_movies(fx.raw_movies(spark, SF), fx.mapper(spark, SF), fx.imdb(spark, SF),
+                                 dedupe_on_title=True)
+    assert movies.count() == fx.raw_movies(spark, SF).count()
+    row = movies.filter(F.col("movie_id") == 30).first()
+    assert row.tmdb_id == 100030  # the smaller of its two mapper ids
