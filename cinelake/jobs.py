@@ -64,9 +64,17 @@ def _options(pairs: list[str] | None) -> dict[str, str]:
     return dict(p.split("=", 1) for p in pairs or [])
 
 
+def _source(spark: SparkSession, spec: str, fmt: str, schema) -> DataFrame:
+    """A zone path, or ``table:<name>`` for a catalog table (e.g. the
+    bucketed zone tables ``zones.write_bucketed`` writes)."""
+    if spec.startswith("table:"):
+        return spark.table(spec.removeprefix("table:"))
+    return zones.read_table(spark, spec, fmt, schema if fmt == "csv" else None)
+
+
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    movies = zones.read_table(spark, args.movies, args.format, schemas.MOVIES if args.format == "csv" else None)
-    reviews = zones.read_table(spark, args.reviews, args.format, schemas.REVIEWS if args.format == "csv" else None)
+    movies = _source(spark, args.movies, args.format, schemas.MOVIES)
+    reviews = _source(spark, args.reviews, args.format, schemas.REVIEWS)
     if args.question == "b09":
         # Two reports from one pivot: computed once, persisted, written twice.
         pivoted = batch.writer_sentiment(movies, reviews).persist()
@@ -98,7 +106,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
         name = "maxOffsetsPerTrigger" if topic.fmt == "kafka" else "maxFilesPerTrigger"
         limit[name] = str(args.max_per_trigger)
     events = messages.decode(io.subscribe(spark, topic, limit))
-    movies = zones.read_table(spark, args.movies, args.format, schemas.MOVIES if args.format == "csv" else None)
+    movies = _source(spark, args.movies, args.format, schemas.MOVIES)
     if args.dimension_partitions:
         movies = windows.prepare_movies(movies, args.dimension_partitions)
     build, doc_kind = STREAM[args.question]
@@ -125,8 +133,8 @@ def parser() -> argparse.ArgumentParser:
 
     b = sub.add_parser("batch", help="one batch question (B1-B10)")
     b.add_argument("question", choices=sorted([*BATCH, "b09"]))
-    b.add_argument("--movies", required=True)
-    b.add_argument("--reviews", required=True)
+    b.add_argument("--movies", required=True, help="zone path or table:<name>")
+    b.add_argument("--reviews", required=True, help="zone path or table:<name>")
     b.add_argument("--curated", required=True)
     b.add_argument("--format", default="parquet")
     b.add_argument("--corrected", action="store_true", help="asked question instead of computed one")
