@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cinelake import params as P
 from cinelake.plans import batch, prep
@@ -114,6 +115,18 @@ def _replayed(spark: SparkSession, d: str) -> DataFrame:
     return decoded.withColumn("timestamp", decoded["timestamp"].cast("timestamp_ntz"))
 
 
+def _zone_years(spark: SparkSession, d: str) -> DataFrame:
+    """E2 written to a year-partitioned zone (S7), read back with a year
+    range that prunes partition directories (S3)."""
+    tune(spark)
+    path = fresh_path(spark, "reviews-zone")
+    zones.write_table(prep.clean_reviews(fx.raw_reviews(spark, d)), path, partition_by=["creationDate"])
+    lo, hi = P.YEARS
+    zone = zones.read_table(spark, path)
+    picked = zone.filter((F.col("creationDate") >= lo) & (F.col("creationDate") < hi))
+    return picked.groupBy("creationDate", "scoreSentiment").agg(F.count(F.lit(1)).alias("reviews"))
+
+
 ETL: dict[str, Query] = {
     "e01_land_raw_movies": _landed_raw_movies,
     "e02_reviews_clean": _cleaned,
@@ -121,6 +134,7 @@ ETL: dict[str, Query] = {
     "e04_id_coverage": lambda s, d: prep.id_coverage(_conformed(s, d)),
     "e05_stream_flat": _flat,
     "e06_replay_messages": _replayed,
+    "e07_reviews_zone_years": _zone_years,
 }
 
 

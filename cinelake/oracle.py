@@ -274,6 +274,15 @@ SELECT id AS movie_id, reviewId, CAST(year(creationDate) AS INT) AS creationDate
   CAST([{_SCORES}][CAST('0x' || substr(md5('score:' || reviewId), 1, 8) AS BIGINT) % 11 + 1] AS FLOAT)
     AS originalScore
 FROM raw_reviews""",
+    "e07_reviews_zone_years": _with(RAW_REVIEWS) + f"""
+SELECT CAST(year(creationDate) AS INT) AS creationDate,
+  CASE WHEN scoreSentiment IN ('POSITIVE', 'NEGATIVE') THEN scoreSentiment
+       ELSE ['POSITIVE', 'NEGATIVE'][CAST('0x' || substr(md5('sentiment:' || reviewId), 1, 8) AS BIGINT) % 2 + 1]
+  END AS scoreSentiment,
+  count(*) AS reviews
+FROM raw_reviews
+WHERE year(creationDate) >= {P.YEARS[0]} AND year(creationDate) < {P.YEARS[1]}
+GROUP BY ALL""",
     "e03_movies_conformed": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + "SELECT * FROM conformed",
     "e04_id_coverage": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + """
 SELECT count(*) FILTER (WHERE imdb_id IS NOT NULL OR tmdb_id IS NOT NULL) AS films_with_id,
