@@ -34,18 +34,18 @@ def _one(name: str, fn) -> BatchFn:
 
 
 BATCH: dict[str, BatchFn] = {
-    "b01": _one("batch_query_1", lambda m, r, a: batch.top_genre_per_year(m, r)),
-    "b02": _one("batch_query_2", lambda m, r, a: batch.rotten_genres_share(m, r) if a.corrected
-                else batch.rotten_genres(m, r)),
-    "b03": _one("batch_query_3", lambda m, r, a: batch.writer_box_office(m)),
-    "b04": _one("batch_query_4", lambda m, r, a: batch.certified_writer_genres(m, r)),
-    "b05": _one("batch_query_5", lambda m, r, a: batch.directors_in_years(m, r)),
-    "b06": _one("batch_query_6", lambda m, r, a: batch.top_share(m, r) if a.corrected
-                else batch.top_reviewed(m, r)),
+    "b01": _one("batch_query_1", lambda m, r, a: batch.top_genre_per_year(m, r, **a.params)),
+    "b02": _one("batch_query_2", lambda m, r, a: (batch.rotten_genres_share if a.corrected
+                                                  else batch.rotten_genres)(m, r, **a.params)),
+    "b03": _one("batch_query_3", lambda m, r, a: batch.writer_box_office(m, **a.params)),
+    "b04": _one("batch_query_4", lambda m, r, a: batch.certified_writer_genres(m, r, **a.params)),
+    "b05": _one("batch_query_5", lambda m, r, a: batch.directors_in_years(m, r, **a.params)),
+    "b06": _one("batch_query_6", lambda m, r, a: (batch.top_share if a.corrected
+                                                  else batch.top_reviewed)(m, r, **a.params)),
     "b07": _one("batch_query_7", lambda m, r, a: batch.genre_scores(
-        m, split_mode="clean" if a.corrected else "comma")),
-    "b08": _one("batch_query_8", lambda m, r, a: batch.certified_films(m, r)),
-    "b10": _one("batch_query_10", lambda m, r, a: batch.release_buckets(m, r)),
+        m, **{"split_mode": "clean" if a.corrected else "comma", **a.params})),
+    "b08": _one("batch_query_8", lambda m, r, a: batch.certified_films(m, r, **a.params)),
+    "b10": _one("batch_query_10", lambda m, r, a: batch.release_buckets(m, r, **a.params)),
 }
 
 # B9 writes two reports (top writers by POSITIVE and by NEGATIVE) from one pivot.
@@ -64,6 +64,21 @@ def _options(pairs: list[str] | None) -> dict[str, str]:
     return dict(p.split("=", 1) for p in pairs or [])
 
 
+def _typed(pairs: list[str] | None) -> dict:
+    """``--set name=value`` parameters: int, then float, else text."""
+    out = {}
+    for name, text in _options(pairs).items():
+        for kind in (int, float):
+            try:
+                out[name] = kind(text)
+                break
+            except ValueError:
+                continue
+        else:
+            out[name] = text
+    return out
+
+
 def _source(spark: SparkSession, spec: str, fmt: str, schema) -> DataFrame:
     """A zone path, or ``table:<name>`` for a catalog table (e.g. the
     bucketed zone tables ``zones.write_bucketed`` writes)."""
@@ -80,7 +95,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
         pivoted = batch.writer_sentiment(movies, reviews).persist()
         try:
             for name, sentiment in B09_REPORTS.items():
-                _publish(batch.writer_top(pivoted, sentiment), name, args)
+                _publish(batch.writer_top(pivoted, sentiment, **args.params), name, args)
         finally:
             pivoted.unpersist()
         return
@@ -141,6 +156,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--index-format")
     b.add_argument("--index-option", action="append")
     b.add_argument("--show", action="store_true")
+    b.add_argument("--set", dest="params", action="append", metavar="NAME=VALUE",
+                   help="plan parameter, e.g. min_positive=20 or first_year=1998 (defaults: the reference's)")
 
     s = sub.add_parser("stream", help="one stream question (T1-T5)")
     s.add_argument("question", choices=sorted(STREAM))
@@ -163,6 +180,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
+    if args.command == "batch":
+        args.params = _typed(args.params)
     spark = tune(spark or SparkSession.builder.appName(f"cinelake {args.command}").getOrCreate())
     if args.command == "land":
         sources = _options(args.source)

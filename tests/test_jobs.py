@@ -121,3 +121,11 @@ def test_batch_job_reads_bucketed_tables(spark, tmp_path):
     direct = batch.release_buckets(fx.movies(spark, SF), fx.reviews(spark, SF))
     cols = sorted(direct.columns)
     assert _rows(written.select(cols)) == _rows(direct.select(cols))
+
+
+def test_batch_job_parameters(spark, zone):
+    cur = str(zone / "curated4")
+    jobs.main(["batch", "b04", "--movies", str(zone / "movies"), "--reviews", str(zone / "reviews"),
+               "--curated", cur, "--set", "min_positive=5", "--set", "top_writers=2"], spark=spark)
+    written = spark.read.json(f"{cur}/batch_query_4")
+    assert written.select("writer").distinct().count() == 2
