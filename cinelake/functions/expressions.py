@@ -32,7 +32,7 @@ def _col(c) -> Column:
 
 
 def split_list(c, mode: str = "regex") -> Column:
-    """Packed list string ("a, b,c") -> array<string>; null stays null.
+    """Packed list string ("a, b,c") -> array<string>; null stays null.
 
     Modes reproduce the reference's four ways of splitting:
       regex        blanks around commas removed, then split on ","
@@ -63,7 +63,8 @@ def split_list_or_empty(c, mode: str = "comma") -> Column:
 
 def parse_money(c, suffixes: Sequence[str] = ("K", "M", "B"), missing: float | None = 0.0) -> Column:
     """"$76.4M" -> 76400000.0. Accepts an optional "$", a decimal number and
-    one of ``suffixes`` (or none). Null or unparsable text gives ``missing``.
+    one of ``suffixes`` (or none). Null or unparsable text gives ``missing``
+    (F6, U3).
     ``suffixes=("K", "M")`` reproduces the reference, which loses "B" values.
     """
     c = _col(c)
@@ -79,7 +80,7 @@ def parse_money(c, suffixes: Sequence[str] = ("K", "M", "B"), missing: float | N
 
 def five_year_bucket(year_col, first: int = BUCKET_FIRST_YEAR, last: int = BUCKET_LAST_YEAR,
                      width: int = BUCKET_WIDTH) -> Column:
-    """Year -> "2020-2024"; outside [first, last] or null -> "Unknown"."""
+    """Year -> "2020-2024"; outside [first, last] or null -> "Unknown" (F8, U4)."""
     y = _col(year_col)
     start = y - F.pmod(y - F.lit(first), F.lit(width))
     label = F.concat(start.cast("string"), F.lit("-"), (start + F.lit(width - 1)).cast("string"))
@@ -87,12 +88,12 @@ def five_year_bucket(year_col, first: int = BUCKET_FIRST_YEAR, last: int = BUCKE
 
 
 def imdb_number(c) -> Column:
-    """"tt0111161" -> 111161 (characters 3-12 as int; bad text -> null)."""
+    """"tt0111161" -> 111161 (characters 3-12 as int; bad text -> null)."""
     return _col(c).substr(3, 10).try_cast("int")
 
 
 def year_of(c) -> Column:
-    """Calendar year of a date, timestamp or date text; bad text -> null."""
+    """Calendar year of a date, timestamp or date text; bad text -> null."""
     c = _col(c)
     return F.year(F.coalesce(c.try_cast("date"), F.try_to_timestamp(c.cast("string")).cast("date")))
 
@@ -108,7 +109,7 @@ def stable_index(key, n: int, salt: str = "") -> Column:
 
 
 def stable_choice(key, choices: Sequence, salt: str = "") -> Column:
-    """Pick one of ``choices`` per row, deterministically."""
+    """Pick one of ``choices`` per row, deterministically."""
     options = F.array(*[F.lit(v) for v in choices])
     return F.element_at(options, (stable_index(key, len(choices), salt) + 1).cast("int"))
 
@@ -124,10 +125,10 @@ def impute_score(key, salt: str = "score:") -> Column:
 
 
 def language_class(c) -> Column:
-    """"English" stays, anything else (null included) is "Non-English"."""
+    """"English" stays, anything else (null included) is "Non-English" (F9)."""
     return F.when(_col(c) == ENGLISH, F.lit(ENGLISH)).otherwise(F.lit(NON_ENGLISH))
 
 
 def pct(part, whole) -> Column:
-    """part / whole * 100 as double; null when whole is 0."""
+    """part / whole * 100 as double; null when whole is 0."""
     return F.try_divide(_col(part).cast("double"), _col(whole)) * F.lit(100.0)

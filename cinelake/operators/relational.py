@@ -20,7 +20,7 @@ def _cols(cs) -> list:
 
 
 def explode_list(df: DataFrame, column: str, mode: str = "regex", alias: str | None = None) -> DataFrame:
-    """One row per element of a packed list column (null list -> no row)."""
+    """One row per element of a packed list column (null list -> no row)."""
     out = alias or column
     others = [c for c in df.columns if c != column and c != out]
     return df.select(*others, F.explode(split_list(column, mode)).alias(out))
@@ -28,13 +28,13 @@ def explode_list(df: DataFrame, column: str, mode: str = "regex", alias: str | N
 
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     """Global top k by ``order`` (TakeOrderedAndProject: each task keeps its
-    own k best, only k rows per task reach the final merge)."""
+    own k best, only k rows per task reach the final merge) (L1, L2)."""
     return df.orderBy(*_cols(order)).limit(k)
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int,
                     ties: bool = False, rank_col: str | None = None) -> DataFrame:
-    """Best ``k`` rows per group.
+    """Best ``k`` rows per group.
 
     ``ties=True`` keeps every row whose rank() <= k (the reference's rank
     filter); otherwise row_number() with ``order`` as the full tie-break.

@@ -36,7 +36,8 @@ from cinelake.operators.relational import (
 def top_genre_per_year(movies: DataFrame, reviews: DataFrame, k: int = 15,
                        split_mode: str = "regex") -> DataFrame:
     """Per review year the genre(s) with most review rows (ties kept), then
-    the k rows with the highest count. Columns: creationDate, genre, count."""
+    the k rows with the highest count. Columns: creationDate, genre, count.
+    (J1 P18 A1 W1 L1)"""
     rows = facts_by_dimension(reviews, movies.select("movie_id", "genre"), "movie_id",
                               ["creationDate"], {"n": None})
     counts = (explode_list(rows, "genre", split_mode)
@@ -48,7 +49,8 @@ def top_genre_per_year(movies: DataFrame, reviews: DataFrame, k: int = 15,
 
 # B2 -------------------------------------------------------------------------
 def rotten_genres(movies: DataFrame, reviews: DataFrame, k: int = 10, approx: bool = False) -> DataFrame:
-    """Per genre, distinct films with at least one NEGATIVE review; top k.
+    """Per genre, distinct films with at least one NEGATIVE review; top k
+    (P6 A4 A7 P17).
 
     This is what the reference computes: its ">40% negative" filter divides a
     per-(genre, film) distinct count by itself and is always 1. See
@@ -79,7 +81,7 @@ def _genre_film_counts(movies: DataFrame, films: DataFrame, name: str, k: int,
 
 # B3 -------------------------------------------------------------------------
 def writer_box_office(movies: DataFrame, k: int = 5) -> DataFrame:
-    """Per writer the summed box office in billions; top k."""
+    """Per writer the summed box office in billions; top k."""
     writers = explode_list(movies.select("writer", "boxOffice"), "writer", "regex")
     totals = (writers.filter(F.col("writer").isNotNull()).groupBy("writer")
               .agg((F.sum("boxOffice") / 1e9).alias("total_box_office_in_billions")))
@@ -92,6 +94,7 @@ def certified_writer_genres(movies: DataFrame, reviews: DataFrame, top_writers:
                             min_top_critics: int = 5, min_positive: int = 80) -> DataFrame:
     """Writers with most certified films (top n), and each one's top genres
     by certified-film count. Columns: writer, genre, genre_count, genre_rank.
+    (P13 A3 P9 J10 P11 W2)
 
     The top writers are k rows, so the semi join back to the certified films
     broadcasts a frame whose size is bounded by k (no driver collect)."""
@@ -111,7 +114,7 @@ def certified_writer_genres(movies: DataFrame, reviews: DataFrame, top_writers:
 # B5 -------------------------------------------------------------------------
 def directors_in_years(movies: DataFrame, reviews: DataFrame, first_year: int = 2020,
                        end_year: int = 2022, k: int = 5) -> DataFrame:
-    """Reviews written in [first_year, end_year) per director; top k."""
+    """Reviews written in [first_year, end_year) per director; top k."""
     in_years = reviews.filter((F.col("creationDate") >= first_year) & (F.col("creationDate") < end_year))
     rows = facts_by_dimension(in_years, movies.select("movie_id", "director"), "movie_id", [], {"n": None})
     totals = explode_list(rows, "director", "regex").groupBy("director").agg(F.sum("n").alias("num_reviews"))
@@ -122,7 +125,8 @@ def directors_in_years(movies: DataFrame, reviews: DataFrame, first_year: int =
 def top_reviewed(movies: DataFrame, reviews: DataFrame, min_reviews: int = 100,
                  k: int = 5) -> DataFrame:
     """Films ranked (rank() <= k, ties kept) by POSITIVE review count among
-    those with at least ``min_reviews`` of them, with director and title.
+    those with at least ``min_reviews`` of them, with director and title
+    (P6 A2 J3 P3 F10 P16 W3 J4 A9).
 
     As in the reference both counts come from the POSITIVE subset, so the
     percentage is 100; ``top_share`` ranks the real share."""
@@ -157,7 +161,8 @@ def genre_scores(movies: DataFrame, min_films: int = 500, k: int = 5,
 
     The reference joins a per-genre count back to the detail rows; one
     aggregate computes the count and the conditional averages together.
-    ``split_mode="comma"`` keeps its untrimmed names, "clean" trims them."""
+    ``split_mode="comma"`` keeps its untrimmed names, "clean" trims them.
+    (J5 P16 P13 A6 F10)"""
     genres = explode_list(movies.select("genre", "audienceScore", "tomatoMeter"), "genre", split_mode)
     both = F.col("audienceScore").isNotNull() & F.col("tomatoMeter").isNotNull()
     scores = genres.groupBy("genre").agg(
@@ -175,7 +180,7 @@ def genre_scores(movies: DataFrame, min_films: int = 500, k: int = 5,
 # B8 -------------------------------------------------------------------------
 def certified_films(movies: DataFrame, reviews: DataFrame, min_ratio: float = 0.75,
                     min_top_critics: int = 5, min_positive: int = 80) -> DataFrame:
-    """Certified films with their movie attributes (the written result)."""
+    """Certified films with their movie attributes (the written result)."""
     return certified(reviews, min_ratio, min_top_critics, min_positive).join(movies, "movie_id")
 
 
@@ -189,7 +194,7 @@ def certified_titles(movies: DataFrame, reviews: DataFrame, k: int = 10, **thres
 # B9 -------------------------------------------------------------------------
 def writer_sentiment(movies: DataFrame, reviews: DataFrame) -> DataFrame:
     """Top-critic reviews per writer pivoted by sentiment:
-    writer, POSITIVE, NEGATIVE (null when a writer has none)."""
+    writer, POSITIVE, NEGATIVE (null when a writer has none) (P7 A7 A8)."""
     rows = facts_by_dimension(reviews.filter(F.col("isTopCritic")), movies.select("movie_id", "writer"),
                               "movie_id", ["scoreSentiment"], {"review_count": None})
     return pivot_sum(explode_list(rows, "writer", "regex"), ["writer"], "scoreSentiment",
@@ -203,7 +208,8 @@ def writer_top(pivoted: DataFrame, sentiment: str, k: int = 3) -> DataFrame:
 # B10 ------------------------------------------------------------------------
 def release_buckets(movies: DataFrame, reviews: DataFrame) -> DataFrame:
     """Per five-year release bucket: positive and total reviews and the
-    positive percentage, highest first (unknown years left out)."""
+    positive percentage, highest first (unknown years left out)
+    (P10 F7 F8 P12 A3 F11 L2)."""
     films = movies.filter(F.col("releaseDateTheaters").isNotNull()).select(
         "movie_id", five_year_bucket(F.year("releaseDateTheaters")).alias("release_year_bucket"))
     films = films.filter(F.col("release_year_bucket") != UNKNOWN_BUCKET)

@@ -31,7 +31,7 @@ MOVIE_EXTRA_COLUMNS = ("rating", "ratingContents", "distributor", "soundMix")
 # E2 -------------------------------------------------------------------------
 def clean_reviews(raw: DataFrame, key: str = "reviewId") -> DataFrame:
     """Impute score and repair sentiment (deterministic per ``key``), drop
-    review text, keep the review year, ``id`` -> ``movie_id``."""
+    review text, keep the review year, ``id`` -> ``movie_id`` (U1 U2 P4 F7 P5)."""
     out = (raw.withColumn("originalScore", impute_score(F.col(key)))
            .withColumn("scoreSentiment", fix_sentiment("scoreSentiment", F.col(key)))
            .drop(*REVIEW_TEXT_COLUMNS)
@@ -50,7 +50,8 @@ def run_clean_reviews(spark: SparkSession, raw_path: str, out_path: str, fmt: st
 def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
                    suffixes: Sequence[str] = ("K", "M", "B"), missing: float | None = 0.0,
                    dedupe_on_title: bool = False) -> DataFrame:
-    """Parse box office, drop unused columns, attach external ids.
+    """Parse box office, drop unused columns, attach external ids
+    (U3 P4 P5 J6 P2 F5).
 
     Two left joins on the title (J6): the mapper gives ``tmdb_id``, the imdb
     list gives ``imdb_id`` from its "tt..." id. A title listed twice yields

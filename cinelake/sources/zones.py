@@ -17,7 +17,8 @@ _TEXT_FORMATS = ("csv",)
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
-    """Scan a zone table. CSV gets ``header=true``; with a schema there is no
+    """Scan a zone table (S1 S2 S3; P1 projections follow in the plans). CSV
+    gets ``header=true``; with a schema there is no
     inference pass. Partition directories (``creationDate=2020``) become a
     column and filters on it prune directories."""
     reader = spark.read.format(fmt)

@@ -57,7 +57,7 @@ def _input_partitions(df: DataFrame) -> int:
 
 
 def decode(messages: DataFrame, schema: StructType = REVIEW_EVENT, keep_key: bool = False) -> DataFrame:
-    """(key, value) -> one column per schema field. Malformed JSON gives an
+    """(key, value) -> one column per schema field (ST1 F14 F15 P15). Malformed JSON gives an
     all-null row, a bad field a null field (from_json PERMISSIVE)."""
     parsed = F.from_json(F.col("value").cast("string"), schema, {"timestampFormat": WIRE_TIME_FORMAT})
     cols = [F.col("key").cast("string").alias("key")] if keep_key else []

@@ -4,7 +4,7 @@ The replay is the producer's data work (ST15) as one Spark job: known-film
 filter, keyed JSON encoding, publish. A run publishes one slice of events and
 drains the topic with an ``availableNow`` trigger on a fixed checkpoint, so
 successive slices behave like data arriving between restarts (restart,
-late-data and upsert checks use several slices).
+late-data (ST9) and upsert checks use several slices).
 """
 
 from __future__ import annotations

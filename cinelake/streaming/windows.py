@@ -6,7 +6,9 @@ The watermark is set on the event-time column before windowing; Spark then
 tracks it correctly and closes windows in append mode (a watermark on the
 window struct, as the reference sets it, never advances). Joins to the
 movies are inner: the reference's left joins are followed by an explode or
-a null drop that removes unmatched rows anyway.
+a null drop that removes unmatched rows anyway. The reference's watermark
+on the window struct (ST3) and its second watermark after the aggregate (ST4)
+are deliberately not reproduced.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def _enrich(events: DataFrame, movies: DataFrame, columns: list[str]) -> DataFra
 
 def film_counts(events: DataFrame, delay: str = "1 minute", size: str = "1 minute",
                 slide: str = "30 seconds") -> DataFrame:
-    """Reviews per sliding window, film and title."""
+    """Reviews per sliding window, film and title (ST2 ST5 ST8 A1)."""
     return (events.withWatermark(EVENT_TIME, delay)
             .groupBy(F.window(EVENT_TIME, size, slide).alias("window"), "movieId", "title")
             .agg(F.count(F.lit(1)).alias("count")))
@@ -60,7 +62,8 @@ def film_counts(events: DataFrame, delay: str = "1 minute", size: str = "1 minut
 
 def genre_language_rating(events: DataFrame, movies: DataFrame, delay: str = "3 minutes",
                           size: str = "3 minutes") -> DataFrame:
-    """Average rating per tumbling window, genre and English/Non-English."""
+    """Average rating per tumbling window, genre and English/Non-English
+    (ST6 J8 F3 F9 P14 A14)."""
     joined = _enrich(events.withWatermark(EVENT_TIME, delay), movies, ["genre", "originalLanguage"])
     rows = joined.select(
         F.window(EVENT_TIME, size).alias("window"),
@@ -73,7 +76,7 @@ def genre_language_rating(events: DataFrame, movies: DataFrame, delay: str = "3
 
 def director_counts(events: DataFrame, movies: DataFrame, delay: str = "1 minute",
                     size: str = "1 minute") -> DataFrame:
-    """Reviews per tumbling window and director (names untrimmed)."""
+    """Reviews per tumbling window and director, names untrimmed (ST6 U5 P14)."""
     joined = _enrich(events.withWatermark(EVENT_TIME, delay), movies, ["director"])
     rows = joined.select(
         F.window(EVENT_TIME, size).alias("window"),
@@ -85,7 +88,8 @@ def director_counts(events: DataFrame, movies: DataFrame, delay: str = "1 minute
 def writer_ratings(events: DataFrame, movies: DataFrame, delay: str = "2 minutes",
                    size: str = "2 minutes") -> DataFrame:
     """T4: rated reviews and rounded average rating per window and writer.
-    Unrated reviews are kept: they count 0 and do not move the average."""
+    Unrated reviews are kept: they count 0 and do not move the average.
+    (ST6 U6 F14 A12 A13 F13)"""
     joined = _enrich(events.withWatermark(EVENT_TIME, delay), movies, ["writer"])
     rows = joined.select(
         F.window(EVENT_TIME, size).alias("window"),
@@ -101,7 +105,8 @@ def writer_ratings(events: DataFrame, movies: DataFrame, delay: str = "2 minutes
 def rating_vs_audience(events: DataFrame, movies: DataFrame, delay: str = "2 minutes",
                        size: str = "2 minutes", slide: str = "30 seconds") -> DataFrame:
     """T5: stream rating vs audience score (0-100 rescaled to 0-5) per
-    sliding window and title; rows with any null are dropped first."""
+    sliding window and title; rows with any null are dropped first
+    (ST7 F12 P14 A6 A13)."""
     joined = _enrich(events.withWatermark(EVENT_TIME, delay), movies, ["audienceScore"])
     rows = joined.select(
         F.window(EVENT_TIME, size, slide).alias("window"),
