@@ -73,13 +73,11 @@ def reviews(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = No
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
-    return joined.select(
-        F.col("l_orderkey"),
-        F.col("l_linenumber"),
-        F.col("l_partkey").alias("movie_id"),
-        F.year("o_orderdate").cast("int").alias("creationDate"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_linestatus") == "F").alias("isTopCritic"),
-        F.when(F.col("l_returnflag") == "N", "NEGATIVE").otherwise("POSITIVE").alias("scoreSentiment"),
+    return joined.selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey AS movie_id",
+        "CAST(year(o_orderdate) AS INT) AS creationDate",
+        "CASE WHEN l_linenumber <> 7 THEN l_linestatus = 'F' END AS isTopCritic",
+        "CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS scoreSentiment",
     )
 
 
@@ -90,14 +88,12 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
-    return joined.select(
-        F.col("l_partkey").alias("id"),
-        F.concat(_s(F.col("l_orderkey")), F.lit("-"), _s(F.col("l_linenumber"))).alias("reviewId"),
-        F.col("o_orderdate").cast("date").alias("creationDate"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_linestatus") == "F").alias("isTopCritic"),
-        F.when(F.col("l_returnflag") == "N", "NEGATIVE")
-        .when(F.col("l_returnflag") == "R", "POSITIVE")
-        .alias("scoreSentiment"),
+    return joined.selectExpr(
+        "l_partkey AS id",
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS reviewId",
+        "CAST(o_orderdate AS DATE) AS creationDate",
+        "CASE WHEN l_linenumber <> 7 THEN l_linestatus = 'F' END AS isTopCritic",
+        "CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment",
     )
 
 
