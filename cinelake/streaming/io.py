@@ -111,15 +111,57 @@ def upsert(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
             .foreachBatch(upsert_batches(path)).trigger(**(trigger or {"availableNow": True})).start())
 
 
+SNAPSHOTS = "_snapshot"  # under an upsert folder; "_" keeps it out of history reads
+
+
+def _snapshot_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batch ids up to which compacted snapshots exist (directory listing)."""
+    folder = f"{path}/{SNAPSHOTS}"
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        hpath = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = hpath.getFileSystem(conf)
+        names = [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
+    except Exception:
+        import os
+        local = folder.removeprefix("file:")
+        names = os.listdir(local) if os.path.isdir(local) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("upto="))
+
+
+def _with_window_end(df: DataFrame) -> DataFrame:
+    if "window" in df.columns and "window_end" not in df.columns:
+        return df.withColumn("window_end", F.col("window.end"))
+    return df
+
+
 def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("window_end", "batch_id"),
                      key: str = "doc_id") -> DataFrame:
-    """Current value per document: greatest (window end, batch id)."""
-    history = spark.read.parquet(path)
-    if "window" in history.columns:
-        history = history.withColumn("window_end", F.col("window.end"))
+    """Current value per document: greatest (window end, batch id). Reads the
+    newest compacted snapshot and only the batches written after it."""
+    history = _with_window_end(spark.read.parquet(path))
+    done = _snapshot_ids(spark, path)
+    if done:
+        snapshot = _with_window_end(spark.read.parquet(f"{path}/{SNAPSHOTS}/upto={done[-1]}"))
+        history = history.filter(F.col("batch_id") > done[-1]).unionByName(snapshot)
     return latest_by_key(history, key, list(order))
 
 
+def compact_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("window_end", "batch_id"),
+                      key: str = "doc_id") -> int | None:
+    """Fold the upsert history into a snapshot of the latest row per document
+    (``_snapshot/upto=N``, N the newest batch id), so later reads scan the
+    snapshot plus newer batches instead of the whole history. Rewriting the
+    same N replaces it, so a retried compaction is harmless. Batch folders are
+    left in place (retention is the operator's call). Returns N."""
+    newest = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return None
+    current = latest_documents(spark, path, order, key).filter(F.col("batch_id") <= newest)
+    current.write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={newest}")
+    return int(newest)
+
+
 def save_all(df: DataFrame, root: str, doc_id_df: DataFrame | None = None, preview: bool = False,
              trigger: Mapping | None = None) -> list[StreamingQuery]:
     """The reference's three sinks on one result (ST14): optional console

@@ -167,3 +167,17 @@ def test_shared_topic_republished_when_missing(spark, tmp_path):
     assert not third.published and third.topic.path not in (path, str(tmp_path / "gone"))
     third.publish()
     assert spark.read.parquet(third.topic.path).count() == fx.stream_reviews(spark, SF).count()
+
+
+def test_compacted_upsert_reads_match(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    write = io.upsert_batches(path)
+    write(spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int"), 0)
+    write(spark.createDataFrame([("a", 3)], "doc_id string, v int"), 1)
+    assert io.compact_documents(spark, path, order=("batch_id",)) == 1
+    assert io.compact_documents(spark, path, order=("batch_id",)) == 1  # retried: same snapshot
+    write(spark.createDataFrame([("b", 4), ("c", 5)], "doc_id string, v int"), 2)
+    latest = io.latest_documents(spark, path, order=("batch_id",))
+    assert sorted((r.doc_id, r.v) for r in latest.collect()) == [("a", 3), ("b", 4), ("c", 5)]
+    # history readers do not see the snapshot folder
+    assert spark.read.parquet(path).count() == 5
