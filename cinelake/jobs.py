@@ -145,6 +145,9 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name, help=help_text)
         s.add_argument("--raw", required=True)
         s.add_argument("--out", required=True)
+        if name == "conform-movies":
+            s.add_argument("--dedupe-on-title", action="store_true",
+                           help="one external id per title (no fan-out on repeated titles)")
 
     b = sub.add_parser("batch", help="one batch question (B1-B10)")
     b.add_argument("question", choices=sorted([*BATCH, "b09"]))
@@ -189,7 +192,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command == "clean-reviews":
         prep.run_clean_reviews(spark, args.raw, args.out)
     elif args.command == "conform-movies":
-        prep.run_conform_movies(spark, args.raw, args.out).show()
+        prep.run_conform_movies(spark, args.raw, args.out, dedupe_on_title=args.dedupe_on_title).show()
     elif args.command == "flatten":
         prep.run_flatten_stream_input(spark, args.raw, args.out)
     elif args.command == "batch":

@@ -72,13 +72,14 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     return movies.join(names, movies.title == names.__name, "left").drop("__name")
 
 
-def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet") -> DataFrame:
+def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet",
+                       dedupe_on_title: bool = False) -> DataFrame:
     """Raw movies + id lists -> transform-zone movies; returns the coverage
     report (E4) computed from the written table, not a second pass."""
     raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES)
     mapper = zones.read_table(spark, f"{raw_root}/mapper", "csv", schemas.MAPPER)
     imdb = zones.read_table(spark, f"{raw_root}/movies_imdb", "csv", schemas.IMDB)
-    zones.write_table(conform_movies(raw, mapper, imdb), out_path, fmt)
+    zones.write_table(conform_movies(raw, mapper, imdb, dedupe_on_title=dedupe_on_title), out_path, fmt)
     return id_coverage(zones.read_table(spark, out_path, fmt))
 
 

@@ -129,3 +129,11 @@ def test_batch_job_parameters(spark, zone):
                "--curated", cur, "--set", "min_positive=5", "--set", "top_writers=2"], spark=spark)
     written = spark.read.json(f"{cur}/batch_query_4")
     assert written.select("writer").distinct().count() == 2
+
+
+def test_conform_job_dedupe_flag(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    zones.land({"movies": fx.raw_movies(spark, SF), "mapper": fx.mapper(spark, SF),
+                "movies_imdb": fx.imdb(spark, SF)}, raw)
+    jobs.main(["conform-movies", "--raw", raw, "--out", str(tmp_path / "m"), "--dedupe-on-title"], spark=spark)
+    assert zones.read_table(spark, str(tmp_path / "m")).count() == fx.raw_movies(spark, SF).count()
