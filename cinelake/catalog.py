@@ -159,6 +159,11 @@ def _upserted(spark: SparkSession, d: str) -> DataFrame:
                                slices=(first, second))
 
 
+def _upserted_window_title(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return replay.run_upserted(spark, d, windows.rating_vs_audience, "window_title", "t08")
+
+
 STREAM: dict[str, Query] = {
     "t01_film_counts": _stream(lambda ev, mv: windows.film_counts(ev), "t01"),
     "t02_genre_language_rating": _stream(windows.genre_language_rating, "t02"),
@@ -167,6 +172,7 @@ STREAM: dict[str, Query] = {
     "t05_rating_vs_audience": _stream(windows.rating_vs_audience, "t05"),
     "t06_latest_by_doc": _upserted,
     "t07_late_rows_dropped": _late,
+    "t08_latest_by_window_title": _upserted_window_title,
 }
 
 

@@ -369,6 +369,21 @@ j AS (SELECT {_bucket('1 minute')} AS ws, unnest(string_split(m.director, ','))
 c AS (SELECT ws, director_name, count(*) AS count FROM j GROUP BY ws, director_name),
 r AS (SELECT *, row_number() OVER (PARTITION BY director_name ORDER BY ws DESC) AS rn FROM c)""") + f"""
 SELECT director_name AS doc_id, {_window_cols('1 minute')}, director_name, count FROM r WHERE rn = 1""",
+    # T5 upserted in update mode: every window is kept, ids are
+    # "start_end_title" with the times as "yyyy-MM-dd HH:mm:ss".
+    "t08_latest_by_window_title": _with(MOVIES, EVENTS, f"""
+s AS (SELECT ev.title, ev.rating AS imdb_rating,
+        CAST(m.audienceScore AS DOUBLE) / 20.0 AS rotten_tomatoes_rating,
+        {_bucket('30 seconds')} AS b, unnest([0, 1, 2, 3]) AS k
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+w AS (SELECT b - to_seconds(30 * k) AS ws, title, imdb_rating, rotten_tomatoes_rating FROM s
+      WHERE imdb_rating IS NOT NULL AND rotten_tomatoes_rating IS NOT NULL)""") + f"""
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') || '_' || strftime(ws + INTERVAL '2 minutes', '%Y-%m-%d %H:%M:%S')
+    || '_' || title AS doc_id,
+  {_window_cols('2 minutes')}, title,
+  round(avg(imdb_rating), 2) AS avg_imdb_rating,
+  round(avg(rotten_tomatoes_rating), 2) AS avg_rotten_tomatoes_rating
+FROM w GROUP BY ws, title""",
     # Replaying the first half again after the second: every replayed row is
     # behind the watermark and dropped, so the result equals T1.
     "t07_late_rows_dropped": T01,
