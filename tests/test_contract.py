@@ -32,3 +32,18 @@ def con():
 def test_matches_oracle(spark, con, key):
     res = compare(spark, con, SF01, key, E.queries()[key], E.oracle_sql().get(key))
     assert res["status"] in ("exact", "approx"), res
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_KEYS="b03_writer_box_office",
+               BENCH_ZONE="0", BENCH_WARMUP="0", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, check=True).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert result["unit"] == "sec" and result["sf"] == 0.001 and result["failed"] == []
