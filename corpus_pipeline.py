@@ -1,2 +1,36 @@
 """Corpus pipeline: quality classifier, quality rules, near-duplicates,
-decontamination, token ids. Each stage reads what its predecessor kept."""
+decontamination, token ids. Each stage reads all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``documents``. ``run`` writes each stage's rows to the
+shared folder and reads them again for the next one, so a lost executor never
+repeats an earlier stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cinelake.llm import bpe
+from cinelake.llm.registry import tokenizer_path
+from cinelake.llm.tables import prepare, read, staged
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document that is left (operator 1)."""
+    prepare(spark)
+    return bpe.digests(docs, tokenizer_path())
+
+
+STAGES = [("encode", encode)]
+
+#: A trained classifier, learned cutoffs and graph components have no SQL form.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
