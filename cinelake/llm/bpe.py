@@ -49,12 +49,46 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Splitter:
+    """Splits texts into the words that the tokenizer file's pre-tokenizer makes."""
+
+    def __init__(self, spec: dict):
+        if (spec.get("normalizer"), spec["pre_tokenizer"]["type"]) != (None, "ByteLevel"):
+            raise ValueError("a byte-level tokenizer file without a normalizer is needed")
+        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        self.pattern = regex.compile(WORD)
+        self.parts = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(
+            self.special, key=len, reverse=True)) + ")")
+        self._library = None
+
+    def words(self, text: str) -> list[str]:
+        """The text's words; a special token's string is a word of its own."""
+        if not any(s in text for s in self.special):
+            return self._plain(text)
+        out = []
+        for part in self.parts.split(text):
+            out += [part] if part in self.special else self._plain(part)
+        return out
+
+    def _plain(self, text: str) -> list[str]:
+        """The pattern's matches. Where ``regex`` may know letters of a newer
+        Unicode than the tokenizer does, the tokenizer's own splitter decides."""
+        if LATER.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
+            if self._library is None:
+                from tokenizers.pre_tokenizers import ByteLevel
+                self._library = ByteLevel(add_prefix_space=False)
+            return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
+        return self.pattern.findall(text)
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.splitter = Splitter(spec)
+        self.special = self.splitter.special
         byte = _byte_of_char()
         raw = lambda token: bytes(byte[c] for c in token)
         vocab = {raw(t): i for t, i in spec["model"]["vocab"].items()
@@ -68,7 +102,6 @@ class Codec:
             left, right = map(raw, pair if isinstance(pair, list) else pair.split(" "))
             self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
         self.single = [vocab[bytes([b])] for b in range(256)]
-        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         for content, i in self.special.items():
             self.bytes_of[i] = content.encode()
         self.length = [len(t) for t in self.bytes_of]
@@ -78,12 +111,8 @@ class Codec:
         for token, i in vocab.items():
             self.suffixes.add_word(token.decode("latin-1"), i)
         self.suffixes.make_automaton()
-        self.pattern = regex.compile(WORD)
-        self.splitter = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(
-            self.special, key=len, reverse=True)) + ")") if self.special else None
         self.known: dict[str, tuple[int, ...]] = {}
         self._apart: dict[tuple[int, int], bool] = {}
-        self._own_splitter = None
 
     # -- merges, for one or two tokens only ---------------------------------
 
@@ -134,35 +163,13 @@ class Codec:
 
     # -- texts -----------------------------------------------------------------
 
-    def words(self, text: str) -> list[str]:
-        """The text's words; a special token's string is a word of its own."""
-        if self.splitter is None or not any(s in text for s in self.special):
-            return self._split(text)
-        out = []
-        for part in self.splitter.split(text):
-            out += [part] if part in self.special else self._split(part)
-        return out
-
-    def _split(self, text: str) -> list[str]:
-        """The pattern's matches. Where ``regex`` may know letters of a newer
-        Unicode than the tokenizer does, the tokenizer's own splitter decides."""
-        if LATER.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
-            return [text[a:b] for _, (a, b) in self._splitter().pre_tokenize_str(text)]
-        return self.pattern.findall(text)
-
-    def _splitter(self):
-        if self._own_splitter is None:
-            from tokenizers.pre_tokenizers import ByteLevel
-            self._own_splitter = ByteLevel(add_prefix_space=False)
-        return self._own_splitter
-
     def encode(self, batch: list[str]) -> list[list[int]]:
         """Token ids of each text."""
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
         if len(self._apart) > 8 * WORDS_KEPT:
             self._apart.clear()
-        split = [self.words(t) for t in batch]
+        split = [self.splitter.words(t) for t in batch]
         fresh = set(chain.from_iterable(split)) - self.known.keys()
         self.learn(fresh - self.special.keys())
         self.known.update((s, (i,)) for s, i in self.special.items())

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe
+from cinelake.llm import bpe, simhash, token_files
 from cinelake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,18 @@ def _bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(read(spark, d, "documents"), tokenizer_path())
 
 
+def _token_files(spark: SparkSession, d: str) -> DataFrame:
+    return token_files.round_trip(read(spark, d, "documents"), tokenizer_path(), end_id=2)
+
+
+def _simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, d, "documents"), words_a_shingle=3)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": _bpe,
+    "op4_token_files": _token_files,
+    "op5_simhash": _simhash,
 }
 
 SQL: dict[str, str] = {}

@@ -105,11 +105,13 @@ class SharedFiles:
 
     def __init__(self, folder: str):
         from pyarrow import fs
+        if folder.startswith("file:/") and not folder.startswith("file://"):
+            folder = folder[len("file:"):]
         self.fs, self.root = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
 
     def write(self, name: str) -> pa.NativeFile:
         self.fs.create_dir(self.root, recursive=True)
-        return self.fs.open_output_stream(f"{self.root}/{name}")
+        return self.fs.open_output_stream(f"{self.root}/{name}", compression=None)
 
     def read(self, name: str) -> pa.NativeFile:
         return self.fs.open_input_file(f"{self.root}/{name}")
