@@ -170,10 +170,10 @@ class Codec:
         if len(self._apart) > 8 * WORDS_KEPT:
             self._apart.clear()
         split = [self.splitter.words(t) for t in batch]
-        fresh = set(chain.from_iterable(split)) - self.known.keys()
-        self.learn(fresh - self.special.keys())
-        self.known.update((s, (i,)) for s, i in self.special.items())
-        find = self.known.__getitem__
+        known = self.known
+        known.update((s, (i,)) for s, i in self.special.items())
+        self.learn([w for w in set(chain.from_iterable(split)) if w not in known])
+        find = known.__getitem__
         return [list(chain.from_iterable(map(find, words))) for words in split]
 
     def decode(self, ids) -> str:

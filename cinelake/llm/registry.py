@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe, simhash, token_files
+from cinelake.llm import bpe, quality_classifier, quality_rules, simhash, token_files
 from cinelake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def _bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(read(spark, d, "documents"), tokenizer_path())
 
 
+def _quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.judge(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+def _quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def _token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.round_trip(read(spark, d, "documents"), tokenizer_path(), end_id=2)
 
@@ -38,8 +46,10 @@ def _simhash(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": _bpe,
+    "op2_quality_rules": _quality_rules,
     "op4_token_files": _token_files,
     "op5_simhash": _simhash,
+    "op7_quality_classifier": _quality_classifier,
 }
 
 SQL: dict[str, str] = {}

@@ -63,7 +63,7 @@ class LibraryEncoder:
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
         split = [self.splitter.words(t) for t in batch]
-        fresh = list(set().union(*split) - self.known.keys())
+        fresh = [w for w in set().union(*split) if w not in self.known]
         for word, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
             ids = code.ids
             self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
