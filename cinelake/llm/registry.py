@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe, quality_classifier, quality_rules, simhash, token_files
+from cinelake.llm import bpe, chat, quality_classifier, quality_rules, simhash, token_files, warc
 from cinelake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def _quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+def _chat(spark: SparkSession, d: str) -> DataFrame:
+    return chat.round_trip(chat.with_probe(read(spark, d, "conversations")))
+
+
+def _warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.round_trip(read(spark, d, "pages"))
+
+
 def _quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality_classifier.classify(read(spark, d, "documents"), read(spark, d, "labels"))
 
@@ -47,9 +55,49 @@ def _simhash(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": _bpe,
     "op2_quality_rules": _quality_rules,
+    "op3_chat": _chat,
     "op4_token_files": _token_files,
     "op5_simhash": _simhash,
+    "op6_warc": _warc,
     "op7_quality_classifier": _quality_classifier,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    # A turn takes 14 characters besides its role and body. Escapes: each ":",
+    # line feed and backslash of a role; each closing string; and, where the
+    # body has what reads as an escape, backslashes that stand in a row, before
+    # "<" or at the end.
+    "op3_chat": r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as body from conversations
+  union all
+  select -7, n, r, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) t(n, r)
+), sized as (
+  select *, 14 + length(role) + length(body)
+    + length(role) - length(replace(replace(replace(role, ':', ''), chr(10), ''), '\', ''))
+    + (length(body) - length(replace(body, '</turn>', ''))) // 7
+    + case when regexp_matches(body, '\\[\\<]') or ends_with(body, '\')
+      then list_sum(list_transform(regexp_extract_all(body, '\\+(?:<|$)|\\{2,}'),
+                                   lambda m: length(replace(m, '<', '')))) else 0 end as chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' order by turn, role, body)) as turns_sha256,
+  cast(coalesce(sum(length(body)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(body, '' order by turn, role, body) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id""",
+    "op6_warc": """
+with payloads as (
+  select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as hex from pages
+), firsts as (
+  select hex, min(page_id) as least from payloads group by hex
+)
+select page_id, cast(strlen(body) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast(1 + ((cast('0x' || substr(hex, 1 + 5 * (i // 4), 5) as bigint) >> (15 - 5 * (i % 4))) & 31) as bigint), 1)),
+    '') as payload_digest,
+  case when page_id = least then 'response' else 'revisit' end as record_type,
+  case when page_id <> least then least end as refers_to
+from payloads join firsts using (hex)""",
+}
