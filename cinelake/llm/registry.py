@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe, chat, quality_classifier, quality_rules, simhash, token_files, warc
+from cinelake.llm import bpe, chat, decontaminate, quality_classifier, quality_rules, simhash, token_files, warc
 from cinelake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def _simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, d, "documents"), words_a_shingle=3)
 
 
+def _decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.matches(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": _bpe,
     "op2_quality_rules": _quality_rules,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": _simhash,
     "op6_warc": _warc,
     "op7_quality_classifier": _quality_classifier,
+    "op9_decontaminate": _decontaminate,
 }
 
 SQL: dict[str, str] = {
