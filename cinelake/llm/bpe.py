@@ -17,26 +17,18 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
+from cinelake.llm.pretokens import Splitter, WordTable
 from cinelake.llm.tables import map_batches, prepare, texts
 
-#: Fixed value: the word pattern of the byte-level pre-tokenizer.
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-#: From the first code point that some Unicode version has not assigned.
-LATER = regex.compile("[\u0530-\U0010ffff]")
-
-#: Words kept between batches; beyond it a worker forgets them (results are the same).
-WORDS_KEPT = 300_000
+#: Words and token pairs kept between batches; beyond it a worker forgets them (results are the same).
+WORDS_KEPT, PAIRS_KEPT = 1_000_000, 500_000
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -49,38 +41,6 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Splitter:
-    """Splits texts into the words that the tokenizer file's pre-tokenizer makes."""
-
-    def __init__(self, spec: dict):
-        if (spec.get("normalizer"), spec["pre_tokenizer"]["type"]) != (None, "ByteLevel"):
-            raise ValueError("a byte-level tokenizer file without a normalizer is needed")
-        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.pattern = regex.compile(WORD)
-        self.parts = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(
-            self.special, key=len, reverse=True)) + ")")
-        self._library = None
-
-    def words(self, text: str) -> list[str]:
-        """The text's words; a special token's string is a word of its own."""
-        if not any(s in text for s in self.special):
-            return self._plain(text)
-        out = []
-        for part in self.parts.split(text):
-            out += [part] if part in self.special else self._plain(part)
-        return out
-
-    def _plain(self, text: str) -> list[str]:
-        """The pattern's matches. Where ``regex`` may know letters of a newer
-        Unicode than the tokenizer does, the tokenizer's own splitter decides."""
-        if LATER.search(text) and any(unicodedata.category(c) == "Cn" for c in set(text)):
-            if self._library is None:
-                from tokenizers.pre_tokenizers import ByteLevel
-                self._library = ByteLevel(add_prefix_space=False)
-            return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
-        return self.pattern.findall(text)
-
-
 class Codec:
     """Encoder and decoder of one tokenizer file."""
 
@@ -111,7 +71,7 @@ class Codec:
         for token, i in vocab.items():
             self.suffixes.add_word(token.decode("latin-1"), i)
         self.suffixes.make_automaton()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = WordTable(WORDS_KEPT)
         self._apart: dict[tuple[int, int], bool] = {}
 
     # -- merges, for one or two tokens only ---------------------------------
@@ -145,36 +105,47 @@ class Codec:
         current node, and moving to the next word keeps those of the shared
         prefix."""
         rows = sorted((w.encode().decode("latin-1"), w) for w in words)
-        path, last, length = "", [-1], self.length
+        path, last, length, longest = "", [-1], self.length, self.longest
+        ending, kept = self.suffixes.iter, self._apart
+        flat, sizes = [], []
         for key, word in rows:
             shared, least = 0, min(len(path), len(key))
             while shared < least and path[shared] == key[shared]:
                 shared += 1
             del last[shared + 1:]
-            for end, token in self.suffixes.iter(key, max(0, shared + 1 - self.longest)):
-                if end + 1 == len(last) and self.apart(last[end + 1 - length[token]], token):
-                    last.append(token)
+            for end, token in ending(key, max(0, shared + 1 - longest)):
+                if end == shared:  # the next node without a state
+                    pair = last[end + 1 - length[token]], token
+                    apart = kept.get(pair)
+                    if apart is None:
+                        apart = self.apart(*pair)
+                    if apart:
+                        last.append(token)
+                        shared += 1
             tokens, depth = [], len(key)
             while depth:
-                tokens.append(last[depth])
-                depth -= length[last[depth]]
-            self.known[word] = tuple(tokens[::-1])
+                token = last[depth]
+                tokens.append(token)
+                depth -= length[token]
+            tokens.reverse()
+            flat += tokens
+            sizes.append(len(tokens))
             path = key
+        self.known.add([word for _, word in rows], flat, sizes)
 
     # -- texts -----------------------------------------------------------------
 
-    def encode(self, batch: list[str]) -> list[list[int]]:
-        """Token ids of each text."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        if len(self._apart) > 8 * WORDS_KEPT:
+    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts after each other, and where each text's begin (and the end)."""
+        if len(self._apart) > PAIRS_KEPT:
             self._apart.clear()
-        split = [self.splitter.words(t) for t in batch]
-        known = self.known
-        known.update((s, (i,)) for s, i in self.special.items())
-        self.learn([w for w in set(chain.from_iterable(split)) if w not in known])
-        find = known.__getitem__
-        return [list(chain.from_iterable(map(find, words))) for words in split]
+        words, places, firsts = self.splitter.batch(batch)
+        missing = self.known.missing(words)
+        own = [w for w in missing if w in self.special]
+        self.known.add(own, [self.special[w] for w in own], [1] * len(own))
+        self.learn([w for w in missing if w not in self.special])
+        ids, ends = self.known.gather(words, places)
+        return ids, ends[firsts]
 
     def decode(self, ids) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
@@ -195,10 +166,9 @@ def encode(docs: DataFrame, vocab_path: str, text: str = "text", key: str = "doc
     prepare(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = codec(vocab_path).encode(texts(batch.column(1)))
-        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-        flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "ids"])
+        ids, ends = codec(vocab_path).encode(texts(batch.column(1)))
+        rows = pa.ListArray.from_arrays(ends.astype(np.int32), ids.astype(np.int32))
+        return pa.RecordBatch.from_arrays([batch.column(0), rows], ["doc_id", "ids"])
 
     return map_batches(_two(docs, key, text), run, "doc_id long, ids array<int>")
 
@@ -222,8 +192,10 @@ def digests(docs: DataFrame, vocab_path: str, text: str = "text", key: str = "do
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(vocab_path)
         counts, ids_sha, text_sha = [], [], []
-        for ids in own.encode(texts(batch.column(1))):
-            counts.append(len(ids))
+        every, ends = own.encode(texts(batch.column(1)))
+        for a, b in zip(ends.tolist(), ends[1:].tolist()):
+            ids = every[a:b].tolist()
+            counts.append(b - a)
             ids_sha.append(hashlib.sha256(own.joined(ids).encode()).hexdigest())
             text_sha.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
         return pa.RecordBatch.from_arrays(

@@ -25,7 +25,7 @@ import struct
 import uuid
 import zlib
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 import xxhash
@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.bpe import WORDS_KEPT, Splitter
+from cinelake.llm.bpe import WORDS_KEPT
+from cinelake.llm.pretokens import Splitter, WordTable
 from cinelake.llm.tables import SharedFiles, fresh_path, map_batches, prepare, read_bytes, texts
 
 #: Fixed values of the seekable format.
@@ -56,19 +57,17 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             self.splitter = Splitter(json.load(file))
-        self.known: dict[str, bytes] = {}
+        self.known = WordTable(WORDS_KEPT)
 
     def packed(self, batch: list[str], end_id: int) -> list[bytes]:
         """The ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        split = [self.splitter.words(t) for t in batch]
-        fresh = [w for w in set().union(*split) if w not in self.known]
-        for word, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            ids = code.ids
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-        find, end = self.known.__getitem__, struct.pack("<I", end_id)
-        return [b"".join(map(find, words)) + end for words in split]
+        words, places, firsts = self.splitter.batch(batch)
+        fresh = self.known.missing(words)
+        codes = [code.ids for code in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        self.known.add(fresh, list(chain.from_iterable(codes)), list(map(len, codes)))
+        ids, ends = self.known.gather(words, places)
+        cuts, end = ends[firsts].tolist(), struct.pack("<I", end_id)
+        return [ids[a:b].tobytes() + end for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
