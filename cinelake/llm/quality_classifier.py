@@ -218,14 +218,15 @@ def _sample(source: DataFrame, truth: DataFrame, rude: frozenset[str]) -> list[t
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
         found = [votes(textstats.counts(t, rude)) for t in texts]
-        slots = [sorted(set(map(slot, textstats.WORDS.findall(t or "")))) for t in texts]
+        slots = [np.unique(np.array([slot(w) for w in set(textstats.WORDS.findall(t or ""))], np.uint32)) for t in texts]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32()),
-                                           pa.array(slots, pa.list_(pa.int64()))], ["doc_id", "votes", "slots"])
+                                           pa.array([s.tobytes() for s in slots], pa.binary())],
+                                          ["doc_id", "votes", "slots"])
 
-    rows = map_batches(picked, run, "doc_id long, votes int, slots array<long>").join(truth, "doc_id", "left")
-    taken = [(r["doc_id"], r["votes"], r["slots"], -1.0 if r["bad"] is None else float(r["bad"]))
+    rows = map_batches(picked, run, "doc_id long, votes int, slots binary").join(truth, "doc_id", "left")
+    taken = [(r["doc_id"], r["votes"], bytes(r["slots"]), -1.0 if r["bad"] is None else float(r["bad"]))
              for r in rows.limit(4 * FIT_DOCS).collect()]  # ids that repeat give more rows
-    return [(v, np.array(s, np.int64), bad) for _, v, s, bad in sorted(taken, key=lambda r: (r[0], r[1], r[2]))]
+    return [(v, np.frombuffer(s, np.uint32).astype(np.int64), bad) for _, v, s, bad in sorted(taken)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
