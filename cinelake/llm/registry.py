@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe, chat, decontaminate, quality_classifier, quality_rules, simhash, token_files, warc
+from cinelake.llm import (bpe, chat, decontaminate, langid, lm, quality_classifier, quality_rules, simhash,
+                          token_files, warc)
 from cinelake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,14 @@ def _decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.matches(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+def _langid(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(read(spark, d, "documents"))
+
+
+def _lm(spark: SparkSession, d: str) -> DataFrame:
+    return lm.score(read(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": _bpe,
     "op2_quality_rules": _quality_rules,
@@ -64,7 +73,9 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": _simhash,
     "op6_warc": _warc,
     "op7_quality_classifier": _quality_classifier,
+    "op8_lm": _lm,
     "op9_decontaminate": _decontaminate,
+    "op10_langid": _langid,
 }
 
 SQL: dict[str, str] = {
