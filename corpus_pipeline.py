@@ -11,18 +11,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinelake.llm import bpe
+from cinelake.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash
 from cinelake.llm.registry import tokenizer_path
 from cinelake.llm.tables import prepare, read, staged
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality classifier rejects (operator 7)."""
+    return quality_classifier.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def check_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality rules reject (operator 2)."""
+    return quality_rules.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each near-duplicate group (operator 5)."""
+    prepare(spark)
+    return simhash.keep_one(docs, words_a_shingle=3)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item (operator 9)."""
+    return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document that is left (operator 1)."""
     prepare(spark)
     return bpe.digests(docs, tokenizer_path())
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("quality-classifier", classify),
+    ("quality-rules", check_rules),
+    ("near-duplicates", deduplicate),
+    ("decontamination", drop_leaks),
+    ("encoding", encode),
+]
 
 #: A trained classifier, learned cutoffs and graph components have no SQL form.
 ORACLE_SQL = None
