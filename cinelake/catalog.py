@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake import params as P
-from cinelake.plans import batch, prep
+from cinelake import replay
+from cinelake.plans import batch, curated, prep
 from cinelake.session import fresh_path, tune
 from cinelake.sources import fixtures as fx
 from cinelake.sources import schemas, zones
-from cinelake.streaming import messages, replay, windows
+from cinelake.streaming import messages, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,43 +71,68 @@ def _from_views(key: str) -> Query:
 BATCH: dict[str, Query] = {key: _from_views(key) for key in BATCH_PLANS}
 
 
-def write_zone(spark: SparkSession, d: str, root: str, buckets: int | None = None,
-               prefix: str = "zone") -> tuple[str, str]:
+def write_zone(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
     """Materialise the transform zone from the views: films, and reviews
-    partitioned by year (what E2/E3 leave for the batch jobs). Returns the
-    two paths, or with ``buckets`` the names of two catalog tables bucketed
-    on movie_id (read them with ``spark.table``)."""
+    partitioned by year (what E2/E3 leave for the batch jobs)."""
     tune(spark)
     movies, reviews = f"{root}/movies", f"{root}/reviews"
-    films, facts = fx.movies(spark, d), fx.reviews(spark, d).select(*REVIEW_COLUMNS)
-    if buckets:
-        zones.write_bucketed(films, f"{prefix}_movies", movies, "movie_id", buckets)
-        zones.write_bucketed(facts, f"{prefix}_reviews", reviews, "movie_id", buckets, ["creationDate"])
-        return f"{prefix}_movies", f"{prefix}_reviews"
-    zones.write_table(films, movies)
-    zones.write_table(facts, reviews, partition_by=["creationDate"])
+    zones.write_table(fx.movies(spark, d), movies)
+    zones.write_table(fx.reviews(spark, d).select(*REVIEW_COLUMNS), reviews, partition_by=["creationDate"])
     return movies, reviews
 
 
-def _landed_raw_movies(spark: SparkSession, d: str) -> DataFrame:
+# Raw tables: fixture view, declared schema.
+RAW = {
+    "movies": (fx.raw_movies, schemas.RAW_MOVIES), "reviews": (fx.raw_reviews, schemas.RAW_REVIEWS),
+    "mapper": (fx.mapper, schemas.MAPPER), "movies_imdb": (fx.imdb, schemas.IMDB),
+    "links": (fx.links, schemas.LINKS), "ratings": (fx.ratings, schemas.RATINGS),
+}
+
+
+def _land(spark: SparkSession, d: str, *names: str) -> str:
+    """Land raw tables as CSV in a new raw zone; returns its root."""
     tune(spark)
-    paths = zones.land({"movies": fx.raw_movies(spark, d)}, fresh_path(spark, "raw"), "csv")
-    return zones.read_table(spark, paths["movies"], "csv", schemas.RAW_MOVIES)
+    root = fresh_path(spark, "raw")
+    zones.land({n: RAW[n][0](spark, d) for n in names}, root, "csv")
+    return root
+
+
+def _landed(name: str) -> Query:
+    def run(spark, d):
+        table = zones.read_table(spark, f"{_land(spark, d, name)}/{name}", "csv", RAW[name][1])
+        times = [f.name for f in table.schema if f.dataType.typeName() == "timestamp"]
+        return table.withColumns({c: table[c].cast("timestamp_ntz") for c in times})
+    return run
+
+
+def _cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """E2 as the job runs it: raw CSV, transform zone, read back."""
+    out = fresh_path(spark, "reviews-clean")
+    prep.run_clean_reviews(spark, f"{_land(spark, d, 'reviews')}/reviews", out)
+    return zones.read_table(spark, out)
 
 
 def _conformed(spark: SparkSession, d: str) -> DataFrame:
-    tune(spark)
-    return prep.conform_movies(fx.raw_movies(spark, d), fx.mapper(spark, d), fx.imdb(spark, d))
+    """E3 as the job runs it: raw CSV tables, transform zone, read back."""
+    out = fresh_path(spark, "movies-conformed")
+    prep.run_conform_movies(spark, _land(spark, d, "movies", "mapper", "movies_imdb"), out)
+    return zones.read_table(spark, out)
 
 
-def _flat(spark: SparkSession, d: str) -> DataFrame:
+def _coverage(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
-    return prep.flatten_stream_input(fx.ratings(spark, d), fx.links(spark, d), fx.stream_movies(spark, d))
+    return prep.id_coverage(prep.conform_movies(fx.raw_movies(spark, d), fx.mapper(spark, d), fx.imdb(spark, d)))
 
 
-def _cleaned(spark: SparkSession, d: str) -> DataFrame:
+def _chain(key: str) -> Query:
+    """Land, clean, conform, then a batch question from the written zone."""
+    return lambda spark, d: BATCH_PLANS[key](_conformed(spark, d), _cleaned(spark, d))
+
+
+def _flat(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
-    return prep.clean_reviews(fx.raw_reviews(spark, d))
+    flat = prep.flatten_stream_input(fx.ratings(spark, d), fx.links(spark, d), fx.stream_movies(spark, d))
+    return flat.withColumn("timestamp", flat["timestamp"].cast("timestamp_ntz"))
 
 
 def _replayed(spark: SparkSession, d: str) -> DataFrame:
@@ -115,6 +141,15 @@ def _replayed(spark: SparkSession, d: str) -> DataFrame:
     return decoded.withColumn("timestamp", decoded["timestamp"].cast("timestamp_ntz"))
 
 
+def _sent_now(spark: SparkSession, d: str) -> DataFrame:
+    """Messages stamped with the send time (F18), without that time: the rest
+    of the key and the payload."""
+    decoded = messages.decode(messages.encode(_flat(spark, d), stamp_send_time=True), keep_key=True)
+    parts = F.split("key", "_")
+    return decoded.withColumn("key", F.concat_ws("_", parts[0], parts[1])) \
+        .withColumn("stamped", F.col("timestamp").isNotNull()).drop("timestamp")
+
+
 def _zone_years(spark: SparkSession, d: str) -> DataFrame:
     """E2 written to a year-partitioned zone (S7), read back with a year
     range that prunes partition directories (S3)."""
@@ -128,13 +163,40 @@ def _zone_years(spark: SparkSession, d: str) -> DataFrame:
 
 
 ETL: dict[str, Query] = {
-    "e01_land_raw_movies": _landed_raw_movies,
+    "e01_land_raw_movies": _landed("movies"),
+    **{f"e01_land_raw_{name}": _landed(name) for name in RAW if name != "movies"},
     "e02_reviews_clean": _cleaned,
     "e03_movies_conformed": _conformed,
-    "e04_id_coverage": lambda s, d: prep.id_coverage(_conformed(s, d)),
+    "e04_id_coverage": _coverage,
     "e05_stream_flat": _flat,
     "e06_replay_messages": _replayed,
     "e07_reviews_zone_years": _zone_years,
+    "e08_chain_top_genre_per_year": _chain("b01_top_genre_per_year"),
+    "e09_chain_certified_titles": _chain("b08_certified_titles"),
+    "e10_send_time_messages": _sent_now,
+}
+
+
+def _curated(spark: SparkSession, d: str) -> DataFrame:
+    """A batch result as curated JSON (S8), read back."""
+    root = fresh_path(spark, "curated")
+    curated.publish_result(BATCH["b01_top_genre_per_year"](spark, d), "q", root)
+    return spark.read.schema("creationDate int, genre string, count long").json(f"{root}/q")
+
+
+def _two_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """One result to JSON and to an index connector (S9, S10; a file format
+    stands in for the connector), both read back."""
+    root = fresh_path(spark, "two-sinks")
+    curated.publish_result(BATCH["b09_writer_positive"](spark, d), "q", root, "parquet", {"path": f"{root}/index"})
+    one = spark.read.schema("writer string, POSITIVE long, NEGATIVE long").json(f"{root}/q")
+    return one.withColumn("sink", F.lit("json")).unionByName(
+        spark.read.parquet(f"{root}/index").withColumn("sink", F.lit("index")))
+
+
+CURATED: dict[str, Query] = {
+    "c01_curated_json": _curated,
+    "c02_two_sinks": _two_sinks,
 }
 
 
@@ -159,9 +221,21 @@ def _upserted(spark: SparkSession, d: str) -> DataFrame:
                                slices=(first, second))
 
 
-def _upserted_window_title(spark: SparkSession, d: str) -> DataFrame:
+def _upsert(build, doc_id: str, name: str) -> Query:
+    def run(spark, d):
+        tune(spark)
+        return replay.run_upserted(spark, d, build, doc_id, name)
+    return run
+
+
+def _appended(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return replay.run_appended(spark, d, windows.director_counts, "t11")
+
+
+def _sinks(spark: SparkSession, d: str) -> DataFrame:
     tune(spark)
-    return replay.run_upserted(spark, d, windows.rating_vs_audience, "window_title", "t08")
+    return replay.run_sinks(spark, d, windows.director_counts, "director_name", "t12")
 
 
 STREAM: dict[str, Query] = {
@@ -172,9 +246,13 @@ STREAM: dict[str, Query] = {
     "t05_rating_vs_audience": _stream(windows.rating_vs_audience, "t05"),
     "t06_latest_by_doc": _upserted,
     "t07_late_rows_dropped": _late,
-    "t08_latest_by_window_title": _upserted_window_title,
+    "t08_latest_by_window_title": _upsert(windows.rating_vs_audience, "window_title", "t08"),
+    "t09_latest_by_genre_language": _upsert(windows.genre_language_rating, "genre_language", "t09"),
+    "t10_latest_by_writer": _upsert(windows.writer_ratings, "writer_name", "t10"),
+    "t11_appended_batches": _appended,
+    "t12_three_sinks": _sinks,
 }
 
 
 def all_queries() -> dict[str, Query]:
-    return {**BATCH, **ETL, **STREAM}
+    return {**BATCH, **ETL, **CURATED, **STREAM}

@@ -98,6 +98,15 @@ def year_of(c) -> Column:
     return F.year(F.coalesce(c.try_cast("date"), F.try_to_timestamp(c.cast("string")).cast("date")))
 
 
+def any_time(c) -> Column:
+    """Timestamp from text: epoch seconds (or milliseconds, from 12 digits on)
+    or a date-time; bad text -> null (E5)."""
+    c = _col(c).cast("string")
+    number = c.try_cast("long")
+    epoch = F.timestamp_millis(F.when(F.length(F.trim(c)) >= 12, number).otherwise(number * 1000))
+    return F.when(number.isNotNull(), epoch).otherwise(F.try_to_timestamp(c))
+
+
 def stable_index(key, n: int, salt: str = "") -> Column:
     """Deterministic pseudo-random index in [0, n) from a row key.
 

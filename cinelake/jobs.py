@@ -4,13 +4,16 @@
     spark-submit -m cinelake.jobs clean-reviews --raw RAW/reviews --out T/reviews
     spark-submit -m cinelake.jobs conform-movies --raw RAW --out T/movies
     spark-submit -m cinelake.jobs flatten --raw RAW --out DATA/streaming/reviews
+    spark-submit -m cinelake.jobs publish --flat DATA/streaming/reviews --movies T/movies
+                                            --topic DIR|--kafka-servers H --kafka-topic T
     spark-submit -m cinelake.jobs stream t2 --topic DIR|--kafka-servers H --subscribe T
-                                            --movies T/movies --out O [--doc-ids]
+                                            --movies T/movies --out O [--append]
 
 Zone tables are read with declared schemas (Parquet by default, ``--format``
 for CSV zones). Batch results go to the curated zone as JSON and, with
-``--index-format`` and ``--index-option k=v``, to a search index too. Stream
-questions run until stopped (``--once`` drains what is available and stops).
+``--index-format`` and ``--index-option k=v``, to a search index too; so do stream
+results. Stream questions T2-T5 upsert their documents by id (``--append``
+writes closed windows instead) and run until stopped (``--once`` drains what is available and stops).
 Thresholds default to the reference's values.
 """
 
@@ -48,6 +51,12 @@ BATCH: dict[str, BatchFn] = {
     "b10": _one("batch_query_10", lambda m, r, a: batch.release_buckets(m, r, **a.params)),
 }
 
+# What ``--show`` prints instead of the written rows.
+PREVIEWS = {"b08": lambda m, r, a: batch.certified_titles(m, r, **a.params)}
+
+# The result names (here and in BATCH) and the topic's name.
+DEFAULT_TOPIC = "reviews-topic"
+
 # B9 writes two reports (top writers by POSITIVE and by NEGATIVE) from one pivot.
 B09_REPORTS = {"batch_query_9_positive": "POSITIVE", "batch_query_9_negative": "NEGATIVE"}
 
@@ -80,8 +89,7 @@ def _typed(pairs: list[str] | None) -> dict:
 
 
 def _source(spark: SparkSession, spec: str, fmt: str, schema) -> DataFrame:
-    """A zone path, or ``table:<name>`` for a catalog table (e.g. the
-    bucketed zone tables ``zones.write_bucketed`` writes)."""
+    """A zone path, or ``table:<name>`` for a catalog table."""
     if spec.startswith("table:"):
         return spark.table(spec.removeprefix("table:"))
     return zones.read_table(spark, spec, fmt, schema if fmt == "csv" else None)
@@ -99,23 +107,40 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
         finally:
             pivoted.unpersist()
         return
+    preview = PREVIEWS.get(args.question)
+    if args.show and preview:
+        zones.preview(preview(movies, reviews, args))
     for name, df in BATCH[args.question](movies, reviews, args).items():
-        _publish(df, name, args)
+        _publish(df, name, args, show=args.show and not preview)
 
 
-def _publish(df: DataFrame, name: str, args: argparse.Namespace) -> None:
+def _publish(df: DataFrame, name: str, args: argparse.Namespace, show: bool | None = None) -> None:
     options = _options(args.index_option)
     if args.index_format:
         options.setdefault("path", name)
-    curated.publish_result(df, name, args.curated, args.index_format, options, show=args.show)
+    curated.publish_result(df, name, args.curated, args.index_format, options,
+                           show=args.show if show is None else show)
+
+
+def _topic(args: argparse.Namespace) -> io.Topic:
+    if not args.kafka_servers:
+        return io.Topic(path=args.topic)
+    return io.Topic(fmt="kafka", options={"kafka.bootstrap.servers": args.kafka_servers},
+                    read_options={"subscribe": getattr(args, "subscribe", DEFAULT_TOPIC)},
+                    write_options={"topic": getattr(args, "kafka_topic", DEFAULT_TOPIC)})
+
+
+def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The producer's data work (S16, ST15): reviews of known films as keyed
+    JSON messages, stamped with the send time unless ``--event-time``."""
+    flat = zones.read_table(spark, args.flat, args.flat_format,
+                            schemas.STREAM_FLAT if args.flat_format == "csv" else None, extra="drop")
+    known = prep.known_film_reviews(flat, _source(spark, args.movies, args.format, schemas.MOVIES))
+    io.publish(messages.encode(known, stamp_send_time=not args.event_time, partitions=args.partitions), _topic(args))
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
-    if args.kafka_servers:
-        topic = io.Topic(fmt="kafka", options={"kafka.bootstrap.servers": args.kafka_servers,
-                                               "subscribe": args.subscribe})
-    else:
-        topic = io.Topic(path=args.topic)
+    topic = _topic(args)
     limit = {}
     if args.max_per_trigger:
         name = "maxOffsetsPerTrigger" if topic.fmt == "kafka" else "maxFilesPerTrigger"
@@ -125,10 +150,13 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
     if args.dimension_partitions:
         movies = windows.prepare_movies(movies, args.dimension_partitions)
     build, doc_kind = STREAM[args.question]
-    result = build(events, movies)
+    hot = windows.HotFilms(tuple(args.hot_film)) if args.hot_film and args.question != "t1" else None
+    result = build(events, movies, hot=hot) if hot else build(events, movies)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    with_ids = windows.with_doc_id(result, doc_kind) if (args.doc_ids and doc_kind) else None
-    started = io.save_all(result, args.out, with_ids, preview=args.show, trigger=trigger)
+    with_ids = windows.with_doc_id(result, doc_kind) if (doc_kind and not args.append) else None
+    started = io.save_all(result, args.out, with_ids, preview=args.show, trigger=trigger,
+                          index_format=args.index_format, index_options=_options(args.index_option),
+                          id_option=args.index_id_option)
     io.run_all(started)
     return started
 
@@ -145,7 +173,12 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name, help=help_text)
         s.add_argument("--raw", required=True)
         s.add_argument("--out", required=True)
+        if name == "clean-reviews":
+            s.add_argument("--extra-columns", choices=("error", "keep", "drop"), default="error",
+                           help="what becomes of raw columns that are not declared")
         if name == "conform-movies":
+            s.add_argument("--extra-columns", choices=("error", "keep", "drop"), default="error",
+                           help="what becomes of raw columns that are not declared")
             s.add_argument("--dedupe-on-title", action="store_true",
                            help="one external id per title (no fan-out on repeated titles)")
 
@@ -162,15 +195,32 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--set", dest="params", action="append", metavar="NAME=VALUE",
                    help="plan parameter, e.g. min_positive=20 or first_year=1998 (defaults: the reference's)")
 
+    w = sub.add_parser("publish", help="send reviews of known films to the topic (S16, ST15)")
+    w.add_argument("--flat", required=True, help="the flatten job's output")
+    w.add_argument("--flat-format", default="csv")
+    w.add_argument("--movies", required=True)
+    w.add_argument("--format", default="parquet")
+    w.add_argument("--topic", help="folder of key/value parquet files")
+    w.add_argument("--kafka-servers")
+    w.add_argument("--kafka-topic", default=DEFAULT_TOPIC)
+    w.add_argument("--event-time", action="store_true", help="send the row's own time instead of the send time")
+    w.add_argument("--partitions", type=int, help="spread the rows over so many tasks first")
+
     s = sub.add_parser("stream", help="one stream question (T1-T5)")
     s.add_argument("question", choices=sorted(STREAM))
     s.add_argument("--topic", help="folder of key/value parquet files")
     s.add_argument("--kafka-servers")
-    s.add_argument("--subscribe", default="reviews-topic")
+    s.add_argument("--subscribe", default=DEFAULT_TOPIC)
     s.add_argument("--movies", required=True)
     s.add_argument("--format", default="parquet")
     s.add_argument("--out", required=True, help="root for history, documents and checkpoints")
-    s.add_argument("--doc-ids", action="store_true", help="keyed upsert instead of append")
+    s.add_argument("--append", action="store_true", help="append closed windows instead of upserting by id")
+    s.add_argument("--doc-ids", action="store_true", help="upsert by id (the default where a question has ids)")
+    s.add_argument("--index-format", help="connector that takes the documents instead of a folder")
+    s.add_argument("--index-option", action="append")
+    s.add_argument("--index-id-option", help="the connector's option that names the id column")
+    s.add_argument("--hot-film", type=int, action="append",
+                   help="imdb id of a film with very many events: its join is salted")
     s.add_argument("--once", action="store_true")
     s.add_argument("--every", default="30 seconds")
     s.add_argument("--show", action="store_true")
@@ -188,13 +238,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = tune(spark or SparkSession.builder.appName(f"cinelake {args.command}").getOrCreate())
     if args.command == "land":
         sources = _options(args.source)
-        zones.land({n: spark.read.option("header", "true").csv(p) for n, p in sources.items()}, args.raw)
+        zones.land({n: zones.read_table(spark, p, "csv") for n, p in sources.items()}, args.raw)
     elif args.command == "clean-reviews":
-        prep.run_clean_reviews(spark, args.raw, args.out)
+        prep.run_clean_reviews(spark, args.raw, args.out, extra=args.extra_columns)
     elif args.command == "conform-movies":
-        prep.run_conform_movies(spark, args.raw, args.out, dedupe_on_title=args.dedupe_on_title).show()
+        prep.run_conform_movies(spark, args.raw, args.out, dedupe_on_title=args.dedupe_on_title,
+                                extra=args.extra_columns).show()
     elif args.command == "flatten":
         prep.run_flatten_stream_input(spark, args.raw, args.out)
+    elif args.command == "publish":
+        run_publish(spark, args)
     elif args.command == "batch":
         run_batch(spark, args)
     elif args.command == "stream":

@@ -39,25 +39,31 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, k: int,
     ``ties=True`` keeps every row whose rank() <= k (the reference's rank
     filter); otherwise row_number() with ``order`` as the full tie-break.
     The filter sits right after the window so Spark plans a WindowGroupLimit
-    and drops losers before the window's sort.
+    and drops losers before the window's sort. Ranks over all rows go through
+    ``top_ranked``, which needs no window over them.
     """
-    w = Window.partitionBy(*keys).orderBy(*_cols(order)) if keys else Window.orderBy(*_cols(order))
+    if not keys:
+        raise ValueError("no keys: use top_ranked, or top_k for a fixed number of rows")
+    w = Window.partitionBy(*keys).orderBy(*_cols(order))
     fn = F.rank() if ties else F.row_number()
     name = rank_col or "__rank"
     ranked = df.withColumn(name, fn.over(w)).filter(F.col(name) <= k)
     return ranked if rank_col else ranked.drop(name)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the optimizer's size estimate of ``df`` (no job runs) is
-    within the session's broadcast threshold. False when either is unknown,
-    so the caller takes the plan that needs no broadcast."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:
-        return False
-    return 0 < limit and size <= limit
+def top_ranked(df: DataFrame, by: str, k: int) -> DataFrame:
+    """Rows whose rank() by descending ``by`` is at most ``k``, ties kept
+    (W3). Null values do not rank.
+
+    A group-by on the value (partial aggregate) and a top-k leave the k best
+    values with their row counts; a value qualifies if fewer than k rows have
+    a better one. The rows are then filtered by a join with those values (at
+    most k, hence the broadcast), so tied rows never meet in one task."""
+    values = df.where(F.col(by).isNotNull()).groupBy(F.col(by).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    best = top_k(values, [F.desc("__value")], k)
+    before = F.sum("__n").over(Window.orderBy(F.desc("__value")).rowsBetween(Window.unboundedPreceding, -1))
+    chosen = best.withColumn("__before", before).where(F.coalesce("__before", F.lit(0)) < k)
+    return df.join(F.broadcast(chosen.select("__value")), df[by] == F.col("__value"), "left_semi")
 
 
 def facts_by_dimension(facts: DataFrame, dim: DataFrame, key: str, fact_keys: Sequence[str],
@@ -66,21 +72,10 @@ def facts_by_dimension(facts: DataFrame, dim: DataFrame, key: str, fact_keys: Se
     rows, ready to be re-aggregated with ``sum`` at any dimension grain.
 
     ``measures`` maps an output name to a condition (count rows where it is
-    true) or None (count all rows). Two plans, chosen by the dimension's
-    estimated size:
-      * it fits the broadcast threshold: fact rows join the broadcast
-        dimension map-side, each carrying 1/0 per measure. No shuffle by key;
-        only the caller's final, small aggregate shuffles.
-      * it does not: facts are first aggregated per key (partial aggregate
-        before the shuffle, so a key holding a third of all rows costs one
-        row per map task), then sort-merge joined to the dimension.
-    Both give the same sums."""
-    def one(cond: Column | None) -> Column:
-        return F.lit(1).cast("long") if cond is None else F.when(cond, 1).otherwise(0).cast("long")
-
-    if fits_broadcast(dim):
-        rows = facts.select(key, *fact_keys, *[one(c).alias(n) for n, c in measures.items()])
-        return rows.join(F.broadcast(dim), key)
+    true) or None (count all rows). Facts are aggregated per key first, with
+    a partial aggregate before the shuffle, so a key holding a third of all
+    rows costs one row per map task and the join sees one row per key. Join
+    strategy is left to Spark (no hint)."""
     per_key = facts.groupBy(key, *fact_keys).agg(
         *[(F.count(F.lit(1)) if c is None else F.count_if(c)).alias(n) for n, c in measures.items()])
     return per_key.join(dim, key)
@@ -128,28 +123,39 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequen
         F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(measure))).alias(str(v)) for v in values])
 
 
+# Shares of the null keys of a null-safe semi join.
+NULL_SALTS = 32
+
+
 def semi_join(df: DataFrame, keys_df: DataFrame, left_on: str, right_on: str | None = None,
               null_safe: bool = False) -> DataFrame:
     """Keep rows of ``df`` whose key occurs in ``keys_df``.
 
-    Replaces driver-side collect + isin. ``null_safe`` makes a null key match
-    a null key, as a Python ``None in dict`` test does.
+    Replaces driver-side collect + isin. Keys are made distinct first (partial
+    aggregate). ``null_safe`` makes a null key match a null key, as a Python
+    ``None in dict`` test does: null rows are dealt over ``NULL_SALTS`` salts,
+    each of which the null key (one row, if there is one) carries.
     """
     right_on = right_on or left_on
     keys = keys_df.select(F.col(right_on).alias("__k"))
-    cond = df[left_on].eqNullSafe(keys["__k"]) if null_safe else df[left_on] == keys["__k"]
-    return df.join(keys, cond, "left_semi")
+    if not null_safe:
+        keys = keys.where(F.col("__k").isNotNull()).distinct()
+        return df.join(keys, df[left_on] == keys["__k"], "left_semi")
+    none = F.when(F.col("__k").isNull(), F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))).otherwise(F.array(F.lit(-1)))
+    keys = keys.distinct().select("__k", F.explode(none).alias("__s")).select(
+        F.struct("__k", "__s").alias("__k2"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)).cast("int")
+    own = F.struct(F.col(left_on).alias("__k"), F.when(F.col(left_on).isNull(), salt).otherwise(F.lit(-1)).alias("__s"))
+    return df.withColumn("__key", own).join(keys, F.col("__key") == F.col("__k2"), "left_semi").drop("__key")
 
 
 def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple (ST12).
 
-    max_by over a struct aggregates partially before the shuffle, so a key
-    with a huge history costs one row per map task, not one sort of the lot.
+    The row-number filter plans a WindowGroupLimit, so each task passes on one
+    row per key: a key with a huge history costs one row per map task.
     """
-    cols = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*cols), F.struct(*order)).alias("__row")
-    return df.groupBy(key).agg(best).select(key, "__row.*")
+    return top_k_per_group(df, [key], [F.desc(c) for c in order], 1)
 
 
 def dedupe_by(df: DataFrame, key: str, keep_max: str) -> DataFrame:

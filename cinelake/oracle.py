@@ -10,10 +10,11 @@ the review-lake views are CTEs with the same definitions as
 from __future__ import annotations
 
 from cinelake import params as P
+from cinelake.functions.expressions import SCORE_CHOICES
 
 # View definitions (FIXTURES.md section 3) ----------------------------------
 
-MOVIES = r"""
+MOVIES_TEXT = r"""
 movies_text AS (
   SELECT p_partkey AS movie_id, p_name AS title,
     p_type || sep || replace(p_name, ' ', sep) AS genre,
@@ -30,7 +31,9 @@ movies_text AS (
     CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_partkey AS INT) END AS imdb_id
   FROM (SELECT *, CASE p_partkey % 3 WHEN 0 THEN ',' WHEN 1 THEN ', ' ELSE ' , ' END AS sep
         FROM part) p
-),
+)"""
+
+MOVIES = MOVIES_TEXT + r""",
 movies AS (
   SELECT * REPLACE (
     coalesce(CAST(substr(boxOffice, 2, length(boxOffice) - 2) AS DOUBLE)
@@ -72,14 +75,23 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
-BATCH = {
-    "b01_top_genre_per_year": _with(MOVIES, REVIEWS, f"""
+_TOP_GENRE_CTES = f"""
 g AS (SELECT r.creationDate, unnest({_split('m.genre')}) AS genre
       FROM movies m JOIN reviews r ON m.movie_id = r.movie_id),
 c AS (SELECT creationDate, genre, count(*) AS count FROM g GROUP BY creationDate, genre),
-rk AS (SELECT *, rank() OVER (PARTITION BY creationDate ORDER BY count DESC) AS rnk FROM c)""") + """
+rk AS (SELECT *, rank() OVER (PARTITION BY creationDate ORDER BY count DESC) AS rnk FROM c)"""
+
+_TOP_GENRE = """
 SELECT creationDate, genre, count FROM rk WHERE rnk = 1
-ORDER BY count DESC, creationDate, genre LIMIT 15""",
+ORDER BY count DESC, creationDate, genre LIMIT 15"""
+
+_CERTIFIED_TITLES = """
+SELECT m.title, max(c.total_reviews) AS total_reviews
+FROM certified c JOIN movies m ON c.movie_id = m.movie_id
+GROUP BY m.title ORDER BY total_reviews DESC, m.title LIMIT 10"""
+
+BATCH = {
+    "b01_top_genre_per_year": _with(MOVIES, REVIEWS, _TOP_GENRE_CTES) + _TOP_GENRE,
 
     "b02_rotten_genres": _with(MOVIES, REVIEWS, f"""
 j AS (SELECT m.movie_id, unnest({_split('m.genre')}) AS genre
@@ -99,7 +111,7 @@ ORDER BY total_rotten_movies DESC, genre LIMIT 10""",
 
     "b03_writer_box_office": _with(MOVIES, f"""
 w AS (SELECT unnest({_split('writer')}) AS writer, boxOffice FROM movies)""") + """
-SELECT writer, sum(boxOffice) / 1e9 AS total_box_office_in_billions FROM w
+SELECT writer, CAST(sum(CAST(boxOffice AS DECIMAL(20, 2))) AS DOUBLE) / 1e9 AS total_box_office_in_billions FROM w
 WHERE writer IS NOT NULL GROUP BY writer
 ORDER BY total_box_office_in_billions DESC, writer LIMIT 5""",
 
@@ -167,10 +179,7 @@ BATCH["b08_certified_films"] = _with(MOVIES, REVIEWS, CERTIFIED) + """
 SELECT c.movie_id, c.positive_reviews, c.top_critic_reviews, c.total_reviews, m.* EXCLUDE (movie_id)
 FROM certified c JOIN movies m ON c.movie_id = m.movie_id"""
 
-BATCH["b08_certified_titles"] = _with(MOVIES, REVIEWS, CERTIFIED) + """
-SELECT m.title, max(c.total_reviews) AS total_reviews
-FROM certified c JOIN movies m ON c.movie_id = m.movie_id
-GROUP BY m.title ORDER BY total_reviews DESC, m.title LIMIT 10"""
+BATCH["b08_certified_titles"] = _with(MOVIES, REVIEWS, CERTIFIED) + _CERTIFIED_TITLES
 
 
 def _writer_top(sentiment: str) -> str:
@@ -209,37 +218,47 @@ FROM agg ORDER BY positive_percentage DESC"""
 
 RAW_MOVIES = """
 raw_movies AS (
-  SELECT p_partkey AS id, 'Title ' || CAST(p_partkey AS VARCHAR) AS title,
-    '$' || CAST(p_size AS VARCHAR) || '.5'
-      || CASE p_partkey % 4 WHEN 0 THEN 'K' WHEN 1 THEN 'M' WHEN 2 THEN 'B' END AS boxOffice
-  FROM part
+  SELECT '$PG-' || CAST(movie_id % 18 AS VARCHAR) AS rating, CAST(movie_id AS VARCHAR) AS id, boxOffice,
+    audienceScore, tomatoMeter, 'Title ' || CAST(movie_id AS VARCHAR) AS title,
+    '[' || chr(39) || 'mild' || chr(39) || ', ' || chr(39) || 'loud' || chr(39) || ']' AS ratingContents,
+    releaseDateTheaters, genre, originalLanguage, director, writer,
+    'House ' || CAST(movie_id % 9 AS VARCHAR) || ', Ltd' AS distributor, 'Dolby, 5.1' AS soundMix
+  FROM movies_text
 )"""
 
 RAW_REVIEWS = """
 raw_reviews AS (
-  SELECT l_partkey AS id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS reviewId,
+  SELECT CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment,
+    'He said "fine, film ' || CAST(l_partkey AS VARCHAR) || '"' AS reviewText,
+    CAST(l_partkey AS VARCHAR) AS id, 'The Paper, daily' AS publicatioName,
     CAST(o_orderdate AS DATE) AS creationDate,
     CASE WHEN l_linenumber <> 7 THEN l_linestatus = 'F' END AS isTopCritic,
-    CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment
+    'Critic ' || CAST(l_linenumber AS VARCHAR) AS criticName,
+    'http://reviews.example/' || CAST(l_orderkey AS VARCHAR) AS reviewUrl,
+    CAST(l_linenumber AS VARCHAR) || '/10' AS originalScore,
+    CASE l_linestatus WHEN 'F' THEN 'fresh' ELSE 'rotten' END AS reviewState,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS reviewId
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
 ID_LISTS = """
 mapper AS (
-  SELECT 'Title ' || CAST(p_partkey AS VARCHAR) AS title, 100000 + p_partkey AS movie_id FROM part WHERE p_partkey % 3 = 0
+  SELECT 'Title ' || CAST(p_partkey AS VARCHAR) AS title,
+    CASE WHEN p_partkey % 3 = 0 THEN 100000 + p_partkey END AS movie_id FROM part
   UNION ALL
   SELECT 'Title ' || CAST(p_partkey AS VARCHAR), 200000 + p_partkey FROM part WHERE p_partkey % 30 = 0
 ),
 imdb AS (
-  SELECT 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS id, 'Title ' || CAST(p_partkey AS VARCHAR) AS name
-  FROM part WHERE p_partkey % 4 <> 0
+  SELECT CASE WHEN p_partkey % 4 <> 0 THEN 'tt' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS id,
+    'Title ' || CAST(p_partkey AS VARCHAR) AS name FROM part
 )"""
 
 CONFORMED = """
 conformed AS (
-  SELECT r.id AS movie_id, r.title,
+  SELECT r.id AS movie_id, r.title, r.genre, r.director, r.writer, r.originalLanguage, r.releaseDateTheaters,
     coalesce(CAST(substr(r.boxOffice, 2, length(r.boxOffice) - 2) AS DOUBLE)
       * CASE right(r.boxOffice, 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0.0) AS boxOffice,
+    r.audienceScore, r.tomatoMeter,
     mp.movie_id AS tmdb_id, TRY_CAST(substr(i.id, 3, 10) AS INT) AS imdb_id
   FROM raw_movies r LEFT JOIN mapper mp ON r.title = mp.title LEFT JOIN imdb i ON r.title = i.name
 )"""
@@ -247,33 +266,57 @@ conformed AS (
 STREAM_INPUT = """
 ratings AS (
   SELECT CAST(user_id AS INT) AS userId, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS movieId,
-    CASE WHEN event_type <> 'error' THEN CAST(event_id % 11 AS DOUBLE) / 2 END AS rating, ts AS rated_at
+    CASE WHEN event_type <> 'error' THEN CAST(event_id % 11 AS DOUBLE) / 2 END AS rating, ts AS timestamp
   FROM events
 ),
 links AS (
-  SELECT CAST(p_partkey AS INT) AS movieId, CAST(100000 + p_partkey AS INT) AS tmdbId,
-    CAST(p_partkey AS INT) AS imdbId FROM part WHERE p_partkey % 11 <> 0
+  SELECT CAST(p_partkey AS INT) AS movieId,
+    CASE WHEN p_partkey % 11 <> 0 THEN CAST(100000 + p_partkey AS INT) END AS tmdbId,
+    CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_partkey AS INT) END AS imdbId FROM part
 ),
 stream_movies AS (
   SELECT CAST(p_partkey AS INT) AS movieId, p_name AS title, replace(p_name, ' ', '|') AS genres FROM part
 ),
 flat AS (
-  SELECT r.userId, r.movieId, r.rating, m.title, m.genres, l.tmdbId, l.imdbId, r.rated_at AS timestamp
+  SELECT r.userId, r.movieId, r.rating, m.title, m.genres, l.tmdbId, l.imdbId, r.timestamp
   FROM ratings r JOIN links l ON r.movieId = l.movieId JOIN stream_movies m ON r.movieId = m.movieId
 )"""
 
-_SCORES = ", ".join(f"{v:.1f}" for v in [i / 2 for i in range(11)])
+_SCORES = ", ".join(f"{v:.1f}" for v in SCORE_CHOICES)
+
+CLEANED = f"""
+cleaned AS (
+  SELECT id AS movie_id, reviewId, CAST(year(creationDate) AS INT) AS creationDate, isTopCritic,
+    CASE WHEN scoreSentiment IN ('POSITIVE', 'NEGATIVE') THEN scoreSentiment
+         ELSE ['POSITIVE', 'NEGATIVE'][CAST('0x' || substr(md5('sentiment:' || reviewId), 1, 8) AS BIGINT) % 2 + 1]
+    END AS scoreSentiment,
+    CAST([{_SCORES}][CAST('0x' || substr(md5('score:' || reviewId), 1, 8) AS BIGINT) % 11 + 1] AS FLOAT)
+      AS originalScore
+  FROM raw_reviews
+)"""
+
+# The written zone as the batch questions see it.
+ZONE = (MOVIES_TEXT, RAW_MOVIES, ID_LISTS, CONFORMED, RAW_REVIEWS, CLEANED,
+        "movies AS (SELECT * FROM conformed)", "reviews AS (SELECT * FROM cleaned)")
+
+_RATINGS = """
+SELECT CAST(user_id AS INT) AS userId, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS movieId,
+  CASE WHEN event_type <> 'error' THEN CAST(event_id % 11 AS DOUBLE) / 2 END AS rating, ts AS timestamp
+FROM events"""
 
 ETL = {
-    "e01_land_raw_movies": _with(RAW_MOVIES) + "SELECT * FROM raw_movies",
-    "e02_reviews_clean": _with(RAW_REVIEWS) + f"""
-SELECT id AS movie_id, reviewId, CAST(year(creationDate) AS INT) AS creationDate, isTopCritic,
-  CASE WHEN scoreSentiment IN ('POSITIVE', 'NEGATIVE') THEN scoreSentiment
-       ELSE ['POSITIVE', 'NEGATIVE'][CAST('0x' || substr(md5('sentiment:' || reviewId), 1, 8) AS BIGINT) % 2 + 1]
-  END AS scoreSentiment,
-  CAST([{_SCORES}][CAST('0x' || substr(md5('score:' || reviewId), 1, 8) AS BIGINT) % 11 + 1] AS FLOAT)
-    AS originalScore
-FROM raw_reviews""",
+    "e01_land_raw_movies": _with(MOVIES_TEXT, RAW_MOVIES) + "SELECT * FROM raw_movies",
+    "e01_land_raw_reviews": _with(RAW_REVIEWS) + "SELECT * FROM raw_reviews",
+    "e01_land_raw_mapper": _with(ID_LISTS) + "SELECT * FROM mapper",
+    "e01_land_raw_movies_imdb": _with(ID_LISTS) + "SELECT * FROM imdb",
+    "e01_land_raw_links": _with(STREAM_INPUT) + "SELECT * FROM links",
+    "e01_land_raw_ratings": _RATINGS,
+    "e02_reviews_clean": _with(RAW_REVIEWS, CLEANED) + "SELECT * FROM cleaned",
+    "e08_chain_top_genre_per_year": _with(*ZONE, _TOP_GENRE_CTES) + _TOP_GENRE,
+    "e09_chain_certified_titles": _with(*ZONE, CERTIFIED) + _CERTIFIED_TITLES,
+    "e10_send_time_messages": _with(STREAM_INPUT) + """
+SELECT CAST(userId AS VARCHAR) || '_' || CAST(movieId AS VARCHAR) AS key, userId, movieId,
+  CAST(rating AS FLOAT) AS rating, title, genres, tmdbId, imdbId, true AS stamped FROM flat""",
     "e07_reviews_zone_years": _with(RAW_REVIEWS) + f"""
 SELECT CAST(year(creationDate) AS INT) AS creationDate,
   CASE WHEN scoreSentiment IN ('POSITIVE', 'NEGATIVE') THEN scoreSentiment
@@ -283,8 +326,8 @@ SELECT CAST(year(creationDate) AS INT) AS creationDate,
 FROM raw_reviews
 WHERE year(creationDate) >= {P.YEARS[0]} AND year(creationDate) < {P.YEARS[1]}
 GROUP BY ALL""",
-    "e03_movies_conformed": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + "SELECT * FROM conformed",
-    "e04_id_coverage": _with(RAW_MOVIES, ID_LISTS, CONFORMED) + """
+    "e03_movies_conformed": _with(MOVIES_TEXT, RAW_MOVIES, ID_LISTS, CONFORMED) + "SELECT * FROM conformed",
+    "e04_id_coverage": _with(MOVIES_TEXT, RAW_MOVIES, ID_LISTS, CONFORMED) + """
 SELECT count(*) FILTER (WHERE imdb_id IS NOT NULL OR tmdb_id IS NOT NULL) AS films_with_id,
   count(*) AS total_films FROM conformed""",
     "e05_stream_flat": _with(STREAM_INPUT) + "SELECT * FROM flat",
@@ -384,11 +427,40 @@ SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') || '_' || strftime(ws + INTERVAL '2 min
   round(avg(imdb_rating), 2) AS avg_imdb_rating,
   round(avg(rotten_tomatoes_rating), 2) AS avg_rotten_tomatoes_rating
 FROM w GROUP BY ws, title""",
+    "t09_latest_by_genre_language": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('3 minutes')} AS ws,
+        unnest(list_transform(string_split(m.genre, ','), lambda x: trim(x))) AS genre,
+        CASE WHEN m.originalLanguage = 'English' THEN 'English' ELSE 'Non-English' END AS language,
+        ev.rating
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+a AS (SELECT ws, genre, language, avg(rating) AS rating FROM j WHERE rating IS NOT NULL GROUP BY ws, genre, language),
+r AS (SELECT *, row_number() OVER (PARTITION BY genre, language ORDER BY ws DESC) AS rn FROM a)""") + f"""
+SELECT genre || '_' || language AS doc_id, {_window_cols('3 minutes')}, genre, language, rating FROM r WHERE rn = 1""",
+    "t10_latest_by_writer": _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('2 minutes')} AS ws, unnest(string_split(m.writer, ',')) AS writer_name, ev.rating
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+a AS (SELECT ws, writer_name, count(rating) AS review_count, round(avg(rating), 2) AS avg_rating
+      FROM j GROUP BY ws, writer_name),
+r AS (SELECT *, row_number() OVER (PARTITION BY writer_name ORDER BY ws DESC) AS rn FROM a)""") + f"""
+SELECT writer_name AS doc_id, {_window_cols('2 minutes')}, writer_name, review_count, avg_rating FROM r WHERE rn = 1""",
     # Replaying the first half again after the second: every replayed row is
     # behind the watermark and dropped, so the result equals T1.
     "t07_late_rows_dropped": T01,
 }
 
 
+STREAM["t11_appended_batches"] = STREAM["t03_director_counts"]
+STREAM["t12_three_sinks"] = f"""
+SELECT window_start, window_end, director_name, count, 'history' AS sink FROM ({STREAM["t03_director_counts"]})
+UNION ALL
+SELECT window_start, window_end, director_name, count, 'documents' FROM ({STREAM["t06_latest_by_doc"]})"""
+
+CURATED = {
+    "c01_curated_json": BATCH["b01_top_genre_per_year"],
+    "c02_two_sinks": f"""
+SELECT *, unnest(['json', 'index']) AS sink FROM ({BATCH["b09_writer_positive"]})""",
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {**BATCH, **ETL, **STREAM}
+    return {**BATCH, **ETL, **CURATED, **STREAM}

@@ -29,6 +29,7 @@ from cinelake.operators.relational import (
     semi_join,
     top_k,
     top_k_per_group,
+    top_ranked,
 )
 
 
@@ -81,10 +82,12 @@ def _genre_film_counts(movies: DataFrame, films: DataFrame, name: str, k: int,
 
 # B3 -------------------------------------------------------------------------
 def writer_box_office(movies: DataFrame, k: int = 5) -> DataFrame:
-    """Per writer the summed box office in billions; top k."""
+    """Per writer the summed box office in billions; top k.
+    Summed as decimals, so the result does not depend on the partitions."""
     writers = explode_list(movies.select("writer", "boxOffice"), "writer", "regex")
     totals = (writers.filter(F.col("writer").isNotNull()).groupBy("writer")
-              .agg((F.sum("boxOffice") / 1e9).alias("total_box_office_in_billions")))
+              .agg((F.sum(F.col("boxOffice").cast("decimal(20,2)")).cast("double") / 1e9)
+                   .alias("total_box_office_in_billions")))
     return top_k(totals, [F.desc("total_box_office_in_billions"), F.asc("writer")], k)
 
 
@@ -146,8 +149,7 @@ def top_share(movies: DataFrame, reviews: DataFrame, min_reviews: int = 100, k:
 
 
 def _ranked_films(movies: DataFrame, counts: DataFrame, by: str, k: int) -> DataFrame:
-    ranked = top_k_per_group(counts.select("movie_id", "total_reviews", "positive_review_percentage"),
-                             [], [F.desc(by)], k, ties=True)
+    ranked = top_ranked(counts.select("movie_id", "total_reviews", "positive_review_percentage"), by, k)
     return (ranked.join(movies.select("movie_id", "director", "title"), "movie_id")
             .select("director", "positive_review_percentage", "title", "total_reviews")
             .distinct())

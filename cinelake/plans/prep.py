@@ -31,7 +31,11 @@ MOVIE_EXTRA_COLUMNS = ("rating", "ratingContents", "distributor", "soundMix")
 # E2 -------------------------------------------------------------------------
 def clean_reviews(raw: DataFrame, key: str = "reviewId") -> DataFrame:
     """Impute score and repair sentiment (deterministic per ``key``), drop
-    review text, keep the review year, ``id`` -> ``movie_id`` (U1 U2 P4 F7 P5)."""
+    review text, keep the review year, ``id`` -> ``movie_id`` (U1 U2 P4 F7 P5).
+    Without a ``key`` column the whole row is the key."""
+    if key not in raw.columns:
+        raw = raw.withColumn("__key", F.to_json(F.struct(*raw.columns)))
+        return clean_reviews(raw, "__key").drop("__key")
     out = (raw.withColumn("originalScore", impute_score(F.col(key)))
            .withColumn("scoreSentiment", fix_sentiment("scoreSentiment", F.col(key)))
            .drop(*REVIEW_TEXT_COLUMNS)
@@ -40,9 +44,10 @@ def clean_reviews(raw: DataFrame, key: str = "reviewId") -> DataFrame:
     return out
 
 
-def run_clean_reviews(spark: SparkSession, raw_path: str, out_path: str, fmt: str = "parquet") -> None:
+def run_clean_reviews(spark: SparkSession, raw_path: str, out_path: str, fmt: str = "parquet",
+                      extra: str = "error") -> None:
     """Raw reviews -> transform zone, partitioned by review year."""
-    raw = zones.read_table(spark, raw_path, "csv", schemas.RAW_REVIEWS)
+    raw = zones.read_table(spark, raw_path, "csv", schemas.RAW_REVIEWS, extra=extra, optional=("reviewId",))
     zones.write_table(clean_reviews(raw), out_path, fmt, partition_by=["creationDate"])
 
 
@@ -73,12 +78,12 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
 
 
 def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet",
-                       dedupe_on_title: bool = False) -> DataFrame:
+                       dedupe_on_title: bool = False, extra: str = "error") -> DataFrame:
     """Raw movies + id lists -> transform-zone movies; returns the coverage
     report (E4) computed from the written table, not a second pass."""
-    raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES)
-    mapper = zones.read_table(spark, f"{raw_root}/mapper", "csv", schemas.MAPPER)
-    imdb = zones.read_table(spark, f"{raw_root}/movies_imdb", "csv", schemas.IMDB)
+    raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES, extra=extra)
+    mapper = zones.read_table(spark, f"{raw_root}/mapper", "csv", schemas.MAPPER, extra="drop")
+    imdb = zones.read_table(spark, f"{raw_root}/movies_imdb", "csv", schemas.IMDB, extra="drop")
     zones.write_table(conform_movies(raw, mapper, imdb, dedupe_on_title=dedupe_on_title), out_path, fmt)
     return id_coverage(zones.read_table(spark, out_path, fmt))
 
@@ -102,15 +107,15 @@ def flatten_stream_input(ratings: DataFrame, links: DataFrame, movies: DataFrame
         movies.select("movieId", "title", "genres"), "movieId")
     joined = ratings.join(films, "movieId")
     return joined.select("userId", "movieId", "rating", "title", "genres", "tmdbId", "imdbId",
-                         F.col("rated_at").alias("timestamp"))
+                         "timestamp")
 
 
 def run_flatten_stream_input(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "csv") -> None:
     """Raw ratings, links and stream movies -> the replay file (E5)."""
     flat = flatten_stream_input(
-        zones.read_table(spark, f"{raw_root}/streaming/ratings", "csv", schemas.RATINGS),
-        zones.read_table(spark, f"{raw_root}/links", "csv", schemas.LINKS),
-        zones.read_table(spark, f"{raw_root}/streaming/movies", "csv", schemas.STREAM_MOVIES))
+        zones.read_table(spark, f"{raw_root}/streaming/ratings", "csv", schemas.RATINGS, extra="drop"),
+        zones.read_table(spark, f"{raw_root}/links", "csv", schemas.LINKS, extra="drop"),
+        zones.read_table(spark, f"{raw_root}/streaming/movies", "csv", schemas.STREAM_MOVIES, extra="drop"))
     zones.write_table(flat, out_path, fmt)
 
 

@@ -60,14 +60,18 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and staged tables.
 
     It comes from the cluster (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set, as in local tests, a folder of
-    our own is created and registered so later calls agree.
+    checkpoint dir). Only on a local master with neither set, as in tests, a
+    folder of our own is created and registered so later calls agree; other
+    masters must set one, as executors do not share the driver's disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not folder and context is not None:
         folder = context.getCheckpointDir()
     if not folder:
+        master = context.master if context is not None else "unknown"
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         folder = tempfile.mkdtemp(prefix="cinelake-")
         if context is not None:
             context.setCheckpointDir(folder)
@@ -83,15 +87,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Cluster task slots (default parallelism), or the shuffle partition
-    count when the context is not reachable (Spark Connect)."""
-    context = _context(spark)
-    if context is not None:
-        return context.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the work folder (one per run)."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -82,48 +82,55 @@ def reviews(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = No
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-zone reviews: 'A' return flags carry no sentiment (to be imputed)."""
+    """Raw-zone reviews, all columns in an order of their own: 'A' return
+    flags carry no sentiment (to be imputed); texts hold quotes and commas."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
     return joined.selectExpr(
-        "l_partkey AS id",
-        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS reviewId",
+        "CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment",
+        "concat('He said \"fine, film ', CAST(l_partkey AS STRING), '\"') AS reviewText",
+        "CAST(l_partkey AS STRING) AS id",
+        "'The Paper, daily' AS publicatioName",
         "CAST(o_orderdate AS DATE) AS creationDate",
         "CASE WHEN l_linenumber <> 7 THEN l_linestatus = 'F' END AS isTopCritic",
-        "CASE l_returnflag WHEN 'N' THEN 'NEGATIVE' WHEN 'R' THEN 'POSITIVE' END AS scoreSentiment",
+        "concat('Critic ', CAST(l_linenumber AS STRING)) AS criticName",
+        "concat('http://reviews.example/', CAST(l_orderkey AS STRING)) AS reviewUrl",
+        "concat(CAST(l_linenumber AS STRING), '/10') AS originalScore",
+        "CASE l_linestatus WHEN 'F' THEN 'fresh' ELSE 'rotten' END AS reviewState",
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS reviewId",
     )
 
 
 def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-zone movies: unique titles, box office as text."""
-    key = F.col("p_partkey")
-    suffix = F.when(key % 4 == 0, "K").when(key % 4 == 1, "M").when(key % 4 == 2, "B")
-    return table(spark, sf_dir, "part").select(
-        key.alias("id"),
-        F.concat(F.lit("Title "), _s(key)).alias("title"),
-        F.concat(F.lit("$"), _s(F.col("p_size")), F.lit(".5"), suffix).alias("boxOffice"),
+    """Raw-zone movies, all columns in an order of their own: unique titles,
+    box office as text, four columns that the conform job drops."""
+    films = movies(spark, sf_dir, parse_box_office=False)
+    return films.selectExpr(
+        "concat('$PG-', CAST(movie_id % 18 AS STRING)) AS rating", "CAST(movie_id AS STRING) AS id",
+        "boxOffice", "audienceScore", "tomatoMeter", "concat('Title ', CAST(movie_id AS STRING)) AS title",
+        "\"['mild', 'loud']\" AS ratingContents", "releaseDateTheaters", "genre", "originalLanguage", "director",
+        "writer", "concat('House ', CAST(movie_id % 9 AS STRING), ', Ltd') AS distributor", "'Dolby, 5.1' AS soundMix",
     )
 
 
 def mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """title -> tmdb movie id; every 30th title appears twice."""
+    """title -> tmdb movie id; two thirds of the ids are not known, every
+    30th title appears twice."""
     key = F.col("p_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey")
-    first = part.filter(key % 3 == 0).select(
-        F.concat(F.lit("Title "), _s(key)).alias("title"), (F.lit(100000) + key).alias("movie_id"))
-    second = part.filter(key % 30 == 0).select(
-        F.concat(F.lit("Title "), _s(key)).alias("title"), (F.lit(200000) + key).alias("movie_id"))
-    return first.unionByName(second)
+    ids = F.when(key % 30 == 0, F.array(F.lit(100000) + key, F.lit(200000) + key)) \
+        .when(key % 3 == 0, F.array(F.lit(100000) + key)).otherwise(F.array(F.lit(None).cast("long")))
+    return part.select(F.concat(F.lit("Title "), _s(key)).alias("title"), F.explode(ids).alias("movie_id"))
 
 
 def imdb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """imdb titles "tt0000001"; a quarter of the films are missing."""
+    """imdb titles "tt0000001"; a quarter of the ids are not known."""
     key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").filter(key % 4 != 0).select(
-        F.concat(F.lit("tt"), F.lpad(_s(key), 7, "0")).alias("id"),
+    return table(spark, sf_dir, "part").select(
+        F.when(key % 4 != 0, F.concat(F.lit("tt"), F.lpad(_s(key), 7, "0"))).alias("id"),
         F.concat(F.lit("Title "), _s(key)).alias("name"),
     )
 
@@ -139,16 +146,18 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("int").alias("userId"),
         _film_key(F.col("props")).alias("movieId"),
         F.when(F.col("event_type") != "error", (F.col("event_id") % 11).cast("double") / 2).alias("rating"),
-        F.col("ts").alias("rated_at"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Film ids; every 11th film has no external ids."""
     key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").filter(key % 11 != 0).select(
+    known = key % 11 != 0
+    return table(spark, sf_dir, "part").select(
         key.cast("int").alias("movieId"),
-        (F.lit(100000) + key).cast("int").alias("tmdbId"),
-        key.cast("int").alias("imdbId"),
+        F.when(known, (F.lit(100000) + key).cast("int")).alias("tmdbId"),
+        F.when(known, key.cast("int")).alias("imdbId"),
     )
 
 

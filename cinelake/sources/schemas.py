@@ -36,13 +36,21 @@ DRIVER = {
 
 # Raw zone -------------------------------------------------------------------
 
+# Column names of the raw files (the spelling is theirs). Raw ids
+# are text. Text columns that the clean and conform jobs drop are declared too.
 RAW_MOVIES = _schema(
-    ("id", LongType()), ("title", StringType()), ("boxOffice", StringType()),
+    ("id", StringType()), ("title", StringType()), ("genre", StringType()), ("director", StringType()),
+    ("writer", StringType()), ("originalLanguage", StringType()), ("releaseDateTheaters", DateType()),
+    ("boxOffice", StringType()), ("audienceScore", IntegerType()), ("tomatoMeter", IntegerType()),
+    ("rating", StringType()), ("ratingContents", StringType()), ("distributor", StringType()),
+    ("soundMix", StringType()),
 )
 
 RAW_REVIEWS = _schema(
-    ("id", LongType()), ("reviewId", StringType()), ("creationDate", DateType()),
-    ("isTopCritic", BooleanType()), ("scoreSentiment", StringType()),
+    ("id", StringType()), ("reviewId", StringType()), ("creationDate", DateType()),
+    ("criticName", StringType()), ("isTopCritic", BooleanType()), ("originalScore", StringType()),
+    ("reviewState", StringType()), ("publicatioName", StringType()), ("reviewText", StringType()),
+    ("scoreSentiment", StringType()), ("reviewUrl", StringType()),
 )
 
 MAPPER = _schema(("title", StringType()), ("movie_id", LongType()))
@@ -53,23 +61,30 @@ LINKS = _schema(("movieId", IntegerType()), ("tmdbId", IntegerType()), ("imdbId"
 
 RATINGS = _schema(
     ("userId", IntegerType()), ("movieId", IntegerType()), ("rating", DoubleType()),
-    ("rated_at", TimestampType()),
+    ("timestamp", TimestampType()),
 )
 
 STREAM_MOVIES = _schema(("movieId", IntegerType()), ("title", StringType()), ("genres", StringType()))
 
+# The replay file: ratings joined to links and stream movies.
+STREAM_FLAT = _schema(
+    ("userId", IntegerType()), ("movieId", IntegerType()), ("rating", DoubleType()), ("title", StringType()),
+    ("genres", StringType()), ("tmdbId", IntegerType()), ("imdbId", IntegerType()), ("timestamp", TimestampType()),
+)
+
 # Transform zone ---------------------------------------------------------------
 
 MOVIES = _schema(
-    ("movie_id", LongType()), ("title", StringType()), ("genre", StringType()),
+    ("movie_id", StringType()), ("title", StringType()), ("genre", StringType()),
     ("writer", StringType()), ("director", StringType()), ("originalLanguage", StringType()),
     ("releaseDateTheaters", DateType()), ("boxOffice", DoubleType()),
-    ("audienceScore", IntegerType()), ("tomatoMeter", IntegerType()), ("imdb_id", IntegerType()),
+    ("audienceScore", IntegerType()), ("tomatoMeter", IntegerType()), ("tmdb_id", LongType()),
+    ("imdb_id", IntegerType()),
 )
 
 REVIEWS = _schema(
-    ("movie_id", LongType()), ("creationDate", IntegerType()), ("isTopCritic", BooleanType()),
-    ("originalScore", FloatType()), ("scoreSentiment", StringType()),
+    ("movie_id", StringType()), ("reviewId", StringType()), ("creationDate", IntegerType()),
+    ("isTopCritic", BooleanType()), ("originalScore", FloatType()), ("scoreSentiment", StringType()),
 )
 
 # Stream messages --------------------------------------------------------------

@@ -7,28 +7,65 @@ classpath (a search-index sink is ``format=<connector>`` plus its options).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType, TimestampType
+
+from cinelake.functions.expressions import any_time
 
 _TEXT_FORMATS = ("csv",)
+# Quotes within a quoted field are doubled, as other CSV writers do; times keep
+# their microseconds.
+_CSV = {"header": "true", "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
-    """Scan a zone table (S1 S2 S3; P1 projections follow in the plans). CSV
-    gets ``header=true``; with a schema there is no
-    inference pass. Partition directories (``creationDate=2020``) become a
-    column and filters on it prune directories."""
+               schema: StructType | None = None, options: Mapping[str, str] | None = None,
+               extra: str = "error", optional: Sequence[str] = ()) -> DataFrame:
+    """Scan a zone table (S1 S2 S3; P1 projections follow in the plans).
+    Partition directories (``creationDate=2020``) become a column and filters
+    on it prune directories.
+
+    CSV columns are taken by the names in the header, in any order, and cast
+    to the declared types; there is no inference pass. A declared column
+    that the header lacks is an error unless it is ``optional`` (it is then
+    left out). ``extra`` says what becomes of undeclared columns: "error",
+    "keep" (as text) or "drop". Files of one folder whose headers differ are
+    an error."""
     reader = spark.read.format(fmt)
-    if fmt in _TEXT_FORMATS:
-        reader = reader.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    for k, v in (options or {}).items():
+    given = {**(_CSV if fmt in _TEXT_FORMATS else {}), **(options or {})}
+    for k, v in given.items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    if fmt not in _TEXT_FORMATS:
+        return (reader if schema is None else reader.schema(schema)).load(path)
+    found = reader.load(path).schema
+    text = StructType([StructField(f.name, StringType() if f.name in {x.name for x in schema or found} else f.dataType)
+                       for f in found])
+    table = reader.option("enforceSchema", "false").schema(text).load(path)
+    return table if schema is None else _by_name(table, schema, extra, optional)
+
+
+def _by_name(table: DataFrame, schema: StructType, extra: str, optional: Sequence[str]) -> DataFrame:
+    """Text columns of a CSV table as the declared columns."""
+    names = [f.name for f in schema]
+    missing = [n for n in names if n not in table.columns and n not in optional]
+    unknown = [n for n in table.columns if n not in names]
+    if missing or (unknown and extra == "error"):
+        raise ValueError(f"CSV header: missing columns {missing}, undeclared columns {unknown}; found {table.columns}")
+    declared = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema if f.name in table.columns]
+    return table.select(*declared, *[F.col(f"`{n}`") for n in unknown if extra == "keep"])
+
+
+def _typed(text: Column, kind: DataType) -> Column:
+    if isinstance(kind, StringType):
+        return text
+    if isinstance(kind, TimestampType):
+        return any_time(text)
+    if isinstance(kind, IntegralType):  # also whole numbers written with a fraction
+        return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+    return text.try_cast(kind)
 
 
 def write_table(df: DataFrame, path: str | None, fmt: str = "parquet", mode: str = "overwrite",
@@ -37,12 +74,14 @@ def write_table(df: DataFrame, path: str | None, fmt: str = "parquet", mode: str
     """Write a zone table (overwrite by default: re-running a job replaces
     its output instead of duplicating it). ``path=None`` for connectors that
     take their target from options."""
+    if partition_by:
+        # A shuffle that adaptive execution sizes: small partitions of the
+        # table become one file, large ones are split over several tasks.
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode)
-    if fmt in _TEXT_FORMATS:
-        writer = writer.option("header", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    for k, v in (options or {}).items():
+    for k, v in {**(_CSV if fmt in _TEXT_FORMATS else {}), **(options or {})}.items():
         writer = writer.option(k, v)
     if path is None:
         writer.save()
@@ -50,22 +89,6 @@ def write_table(df: DataFrame, path: str | None, fmt: str = "parquet", mode: str
         writer.save(path)
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
-                   partition_by: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
-    """Write a zone table hash-bucketed (and sorted) on ``key`` as an external
-    catalog table at ``path``; returns ``spark.table(table)``.
-
-    Two tables bucketed on the same key with the same bucket count join and
-    aggregate on that key without a shuffle: the scan already delivers each
-    key's rows to one task. The bucket layout lives in the catalog (a
-    metastore on a cluster), the files on the shared path."""
-    writer = df.write.format(fmt).mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
 def write_many(df: DataFrame, targets: list[dict]) -> None:
     """Several sinks from one result (S10): the frame is persisted once so the
     plan is not recomputed per sink, then released."""

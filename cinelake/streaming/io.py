@@ -17,37 +17,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinelake.operators.relational import latest_by_key
-from cinelake.session import parallelism
 from cinelake.sources.schemas import MESSAGE
 
 
 @dataclass
 class Topic:
     """Where review messages live. ``fmt="parquet"``: ``path`` is a folder of
-    key/value files. Any other format is a streaming connector configured by
-    ``options`` (for Kafka: kafka.bootstrap.servers and subscribe/topic)."""
+    key/value files. Any other format is a streaming connector: ``options``
+    serve both directions (for Kafka: kafka.bootstrap.servers),
+    ``read_options`` the subscriber (subscribe) and ``write_options`` the
+    publisher (topic)."""
     path: str | None = None
     fmt: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-    partitions: int | None = None  # file topic: minimum files per publish
-
-    def partition_count(self, spark: SparkSession) -> int | None:
-        """Minimum files a publish to a file topic should produce (its
-        configured count or the cluster's parallelism); none for a broker."""
-        if self.fmt != "parquet":
-            return None
-        return self.partitions or parallelism(spark)
+    read_options: Mapping[str, str] = field(default_factory=dict)
+    write_options: Mapping[str, str] = field(default_factory=dict)
 
 
 def publish(messages: DataFrame, topic: Topic) -> None:
-    """Batch-append (key, value) rows to the topic (S16). Messages encoded
-    with ``partitions=topic.partition_count(spark)`` land as at least that
-    many files, so stream reads scan them in parallel."""
+    """Batch-append (key, value) rows to the topic."""
     if topic.fmt == "parquet":
         messages.write.mode("append").parquet(topic.path)
         return
-    writer = messages.write.format(topic.fmt)
-    for k, v in topic.options.items():
+    writer = messages.write.format(topic.fmt).mode("append")
+    for k, v in {**topic.options, **topic.write_options}.items():
         writer = writer.option(k, v)
     writer.save()
 
@@ -57,7 +50,7 @@ def subscribe(spark: SparkSession, topic: Topic, options: Mapping[str, str] | No
     reader = spark.readStream.format(topic.fmt)
     if topic.fmt == "parquet":
         reader = reader.schema(MESSAGE)
-    for k, v in {**topic.options, **(options or {})}.items():
+    for k, v in {**topic.options, **topic.read_options, **(options or {})}.items():
         reader = reader.option(k, v)
     df = reader.load(topic.path) if topic.path else reader.load()
     return df.select("key", "value")
@@ -111,22 +104,37 @@ def upsert(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
             .foreachBatch(upsert_batches(path)).trigger(**(trigger or {"availableNow": True})).start())
 
 
+def index(df: DataFrame, checkpoint: str, fmt: str, options: Mapping[str, str] | None = None,
+          id_option: str | None = None, mode: str = "update", trigger: Mapping | None = None) -> StreamingQuery:
+    """Stream results to a search index or any other batch connector (S13,
+    S14): each micro-batch is written by ``fmt`` and its ``options`` (nodes,
+    credentials, resource). With ``id_option`` (the connector's option that
+    names the id column) rows are upserted by ``doc_id``, so a replayed batch
+    rewrites its documents; without it closed rows should be appended
+    (``mode="append"``)."""
+    given = {**(options or {}), **({id_option: "doc_id"} if id_option else {})}
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.format(fmt).options(**given).mode("append").save()
+
+    return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+            .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
+
+
 SNAPSHOTS = "_snapshot"  # under an upsert folder; "_" keeps it out of history reads
 
 
 def _snapshot_ids(spark: SparkSession, path: str) -> list[int]:
-    """Batch ids up to which compacted snapshots exist (directory listing)."""
-    folder = f"{path}/{SNAPSHOTS}"
-    try:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        hpath = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = hpath.getFileSystem(conf)
-        names = [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
-    except Exception:
-        import os
-        local = folder.removeprefix("file:")
-        names = os.listdir(local) if os.path.isdir(local) else []
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("upto="))
+    """Batch ids up to which whole snapshots exist: those whose job committed
+    (a lost job leaves no _SUCCESS)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{SNAPSHOTS}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [st.getPath() for st in fs.listStatus(folder)]
+    whole = [p.getName() for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n.split("=", 1)[1]) for n in whole if n.startswith("upto="))
 
 
 def _with_window_end(df: DataFrame) -> DataFrame:
@@ -163,26 +171,41 @@ def compact_documents(spark: SparkSession, path: str, order: tuple[str, ...] = (
 
 
 def save_all(df: DataFrame, root: str, doc_id_df: DataFrame | None = None, preview: bool = False,
-             trigger: Mapping | None = None) -> list[StreamingQuery]:
+             trigger: Mapping | None = None, index_format: str | None = None,
+             index_options: Mapping[str, str] | None = None, id_option: str | None = None) -> list[StreamingQuery]:
     """The reference's three sinks on one result (ST14): optional console
-    preview (update), keyed upsert of running values when ``doc_id_df`` (the
-    result with a ``doc_id`` column) is given, else idempotent append of
-    closed windows, and the Parquet history (append). One checkpoint each."""
+    preview (update), the index, and the Parquet history (append). The index
+    is a connector if ``index_format`` is given, else a folder of documents;
+    it gets a keyed upsert of running values when ``doc_id_df`` (the result
+    with a ``doc_id`` column) is given, else closed windows. One checkpoint
+    each."""
     started = []
     if preview:
         started.append(console(df, "update", trigger, f"{root}/checkpoints/console"))
-    if doc_id_df is not None:
-        started.append(upsert(doc_id_df, f"{root}/documents", f"{root}/checkpoints/documents",
-                              trigger=trigger))
+    at = f"{root}/checkpoints/documents"
+    if index_format and doc_id_df is not None:
+        started.append(index(doc_id_df, at, index_format, index_options, id_option, "update", trigger))
+    elif index_format:
+        started.append(index(df, at, index_format, index_options, None, "append", trigger))
+    elif doc_id_df is not None:
+        started.append(upsert(doc_id_df, f"{root}/documents", at, trigger=trigger))
     else:
-        started.append(append_batches(df, f"{root}/documents", f"{root}/checkpoints/documents", trigger))
+        started.append(append_batches(df, f"{root}/documents", at, trigger))
     started.append(append_files(df, f"{root}/history", f"{root}/checkpoints/history", trigger=trigger))
     return started
 
 
-def run_all(queries: list[StreamingQuery]) -> None:
-    """Wait for every query (ST14); re-raises the first failure."""
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+def run_all(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None:
+    """Wait until all queries have ended (ST14). The first failure, in
+    whichever of them, stops the others and is raised."""
+    waiting = list(queries)
+    try:
+        while waiting:
+            for query in waiting:
+                query.awaitTermination(poll_seconds)  # raises the query's failure
+            waiting = [q for q in waiting if q.isActive]
+    except Exception:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+        raise

@@ -27,35 +27,24 @@ def encode(df: DataFrame, time_col: str = "timestamp", fields: Sequence[str] = P
 
     ``stamp_send_time`` replaces the event time by the send time, as the
     reference's producer does (F18); replays for tests keep the event time.
-    ``partitions`` is the minimum number of topic files a file-topic publish
-    should produce. Input that already has that many partitions (any large
-    table) is encoded where it lies, with no shuffle; a narrower input is
-    spread round-robin first, so the JSON encoding runs in parallel and no
-    key, however hot, can make one file large. A broker sink partitions by
-    itself and passes ``None``."""
+    ``partitions`` spreads the rows over that many tasks first (round robin, so
+    no key can make one topic file large); by default they are encoded where
+    they lie. Encoding runs no job. Without a ``time_col`` in the rows the
+    send time must be stamped."""
     when = F.current_timestamp() if stamp_send_time else F.col(time_col)
-    present = [f for f in fields if f in df.columns]
+    present = [f for f in fields if f in df.columns or (f == time_col and stamp_send_time)]
     staged = df.select(F.date_format(when, WIRE_TIME_FORMAT).alias("__wire_time"),
                        *[F.col(f) for f in present if f != time_col])
     wire = {f: (F.col("__wire_time") if f == time_col else F.col(f)) for f in set(present) | set(key_fields)}
     key = F.concat_ws("_", *[wire[f].cast("string") for f in key_fields])
     staged = staged.withColumn("__key", key)
-    if partitions and _input_partitions(staged) < partitions:
+    if partitions:
         staged = staged.repartition(partitions)
     payload = F.struct(*[wire[f].alias(f) for f in present])
     return staged.select(F.encode(F.col("__key"), "UTF-8").alias("key"),
                          F.encode(F.to_json(payload), "UTF-8").alias("value"))
 
 
-def _input_partitions(df: DataFrame) -> int:
-    """Partitions the frame is planned with (0 when not inspectable, as over
-    Spark Connect, which then spreads the rows)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:
-        return 0
-
-
 def decode(messages: DataFrame, schema: StructType = REVIEW_EVENT, keep_key: bool = False) -> DataFrame:
     """(key, value) -> one column per schema field (ST1 F14 F15 P15). Malformed JSON gives an
     all-null row, a bad field a null field (from_json PERMISSIVE)."""

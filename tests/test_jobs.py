@@ -3,11 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cinelake import jobs
+from cinelake import jobs, replay
 from cinelake.plans import batch
 from cinelake.sources import fixtures as fx
 from cinelake.sources import zones
-from cinelake.streaming import replay
 
 SF = "/root/testdata/sf0.001"
 
@@ -111,16 +110,37 @@ def test_stream_job_bounded_batches(spark, zone):
     assert spark.read.parquet(f"{out}/history").count() > 0
 
 
-def test_batch_job_reads_bucketed_tables(spark, tmp_path):
-    from cinelake import catalog
-    movies_t, reviews_t = catalog.write_zone(spark, SF, str(tmp_path / "bz"), buckets=4, prefix="jobz")
-    cur = str(tmp_path / "cur")
-    jobs.main(["batch", "b10", "--movies", f"table:{movies_t}", "--reviews", f"table:{reviews_t}",
-               "--curated", cur], spark=spark)
-    written = spark.read.json(f"{cur}/batch_query_10")
-    direct = batch.release_buckets(fx.movies(spark, SF), fx.reviews(spark, SF))
-    cols = sorted(direct.columns)
-    assert _rows(written.select(cols)) == _rows(direct.select(cols))
+def test_publish_job_keeps_known_films(spark, zone, tmp_path):
+    from cinelake.plans import prep
+    from cinelake.streaming import io, messages
+    flat = prep.flatten_stream_input(fx.ratings(spark, SF), fx.links(spark, SF), fx.stream_movies(spark, SF))
+    zones.write_table(flat, str(tmp_path / "flat"), "csv")
+    topic = str(tmp_path / "topic")
+    jobs.main(["publish", "--flat", str(tmp_path / "flat"), "--movies", str(zone / "movies"), "--topic", topic,
+               "--event-time", "--partitions", "3"], spark=spark)
+    sent = messages.decode(spark.read.parquet(topic))
+    want = prep.known_film_reviews(flat, fx.movies(spark, SF))
+    assert sent.count() == want.count() < flat.count()
+    assert sent.where("timestamp is null").count() == 0
+    kafka = jobs._topic(jobs.parser().parse_args(["publish", "--flat", "f", "--movies", "m", "--kafka-servers", "h:1"]))
+    assert kafka.write_options == {"topic": "reviews-topic"} and "subscribe" not in {**kafka.options, **kafka.write_options}
+    assert isinstance(kafka, io.Topic)
+
+
+def test_stream_job_upserts_by_default_and_takes_an_index(spark, zone, tmp_path):
+    r = replay.Replay(spark, SF, "job-index")
+    r.publish()
+    out, index = str(tmp_path / "o"), str(tmp_path / "index")
+    jobs.main(["stream", "t2", "--topic", r.topic.path, "--movies", str(zone / "movies"), "--out", out, "--once",
+               "--index-format", "parquet", "--index-option", f"path={index}", "--hot-film", "7"], spark=spark)
+    assert spark.read.parquet(index).where("doc_id is null").count() == 0
+    assert spark.read.parquet(f"{out}/history").count() > 0
+
+
+def test_b08_preview_prints_titles(spark, zone, capfd):
+    jobs.main(["batch", "b08", "--movies", str(zone / "movies"), "--reviews", str(zone / "reviews"), "--curated",
+               str(zone / "c8"), "--show", "--set", "min_positive=5"], spark=spark)
+    assert "total_reviews" in capfd.readouterr().out
 
 
 def test_batch_job_parameters(spark, zone):

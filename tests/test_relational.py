@@ -1,5 +1,6 @@
 """Relational operators: ties, nulls, duplicates, null-safe semi joins."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinelake.operators import relational as R
@@ -15,9 +16,21 @@ def test_top_k_per_group_ties(spark):
 
 
 def test_global_rank_keeps_ties(spark):
-    df = spark.createDataFrame([(i, n) for i, n in enumerate([5, 5, 4, 3, 3, 3, 1])], "i int, n int")
-    assert R.top_k_per_group(df, [], [F.desc("n")], 3, ties=True).count() == 3
-    assert R.top_k_per_group(df, [], [F.desc("n")], 4, ties=True).count() == 6
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([5, 5, 4, 3, 3, 3, 1, None])], "i int, n int")
+    assert [R.top_ranked(df, "n", k).count() for k in (1, 2, 3, 4, 6, 7, 9)] == [2, 2, 3, 6, 6, 7, 7]
+    assert R.top_ranked(df.where("false"), "n", 3).count() == 0
+    with pytest.raises(ValueError):
+        R.top_k_per_group(df, [], [F.desc("n")], 3, ties=True)
+
+
+def test_thousands_of_tied_films(spark):
+    df = spark.range(20_000).selectExpr("id", "CAST(least(id, 14999) AS DOUBLE) AS share")
+    best = R.top_ranked(df, "share", 5)
+    assert best.count() == 5001
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    one = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert all("TakeOrderedAndProject" in "".join(lines[i:i + 2]) for i in one)
 
 
 def test_explode_list_drops_null(spark):
@@ -50,6 +63,15 @@ def test_semi_join_null_safe(spark):
     assert [r.k for r in R.semi_join(left, right, "k").collect()] == [1]
 
 
+def test_null_safe_semi_join_spreads_nulls_and_keys_repeat(spark):
+    left = spark.range(4000).selectExpr("id", "CASE WHEN id % 4 = 0 THEN id END AS k")
+    right = spark.range(3000).selectExpr("CASE WHEN id % 2 = 0 THEN id % 100 END AS k")
+    kept = R.semi_join(left, right, "k", null_safe=True)
+    assert kept.count() == 3000 + 25 and kept.columns == left.columns
+    assert R.semi_join(left, right.where("k is not null"), "k", null_safe=True).count() == 25
+    assert R.semi_join(left, right, "k").count() == 25
+
+
 def test_latest_by_key(spark):
     df = spark.createDataFrame([("d", 1, 0, 5), ("d", 2, 0, 6), ("d", 2, 1, 7), ("e", 1, 3, 1)],
                                "doc_id string, window_end int, batch_id int, v int")

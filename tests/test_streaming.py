@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinelake.sources import fixtures as fx
-from cinelake.streaming import io, messages, replay, windows
+from cinelake import replay
+from cinelake.streaming import io, messages, windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -154,19 +155,80 @@ def test_console_sink_runs(spark, capsys):
                            checkpoint=r.checkpoint)])
 
 
-def test_shared_topic_republished_when_missing(spark, tmp_path):
-    first = replay.Replay(spark, SF, "shared-a", shared=True)
-    first.publish()
-    path = first.topic.path
-    again = replay.Replay(spark, SF, "shared-b", shared=True)
-    assert again.topic.path == path and again.published
-    # The work folder lost the topic (simulated: the memo names a folder
-    # that does not exist); the next consumer publishes afresh.
-    replay._PUBLISHED[again.shared_key] = str(tmp_path / "gone")
-    third = replay.Replay(spark, SF, "shared-c", shared=True)
-    assert not third.published and third.topic.path not in (path, str(tmp_path / "gone"))
-    third.publish()
-    assert spark.read.parquet(third.topic.path).count() == fx.stream_reviews(spark, SF).count()
+def test_salted_join_equals_the_plain_one(spark):
+    events = messages.decode(replay.review_messages(spark, SF))
+    movies = fx.movies(spark, SF)
+    hot = windows.hot_films(events, share=0.01, salts=5)
+    assert 0 < len(hot.ids) <= 100
+    for build in (windows.genre_language_rating, windows.director_counts, windows.writer_ratings, windows.rating_vs_audience):
+        plain, salted = (sorted(map(tuple, windows.flatten_window(build(events, movies, hot=h)).collect()), key=repr)
+                         for h in (None, hot))
+        assert plain == salted and plain
+
+
+def test_salted_stream_equals_batch(spark):
+    hot = windows.HotFilms(tuple(range(1, 40)), 4)
+    build = lambda ev, mv: windows.director_counts(ev, mv, hot=hot)
+    streamed = replay.run_windowed(spark, SF, build, "salted")
+    static = _static_closed(spark, windows.director_counts, 60)
+    assert sorted(map(tuple, streamed.collect()), key=repr) == sorted(map(tuple, static.select(streamed.columns).collect()), key=repr)
+
+
+def test_encoding_runs_no_job(spark):
+    rows = fx.reviews(spark, SF).groupBy("movie_id").count().selectExpr(
+        "1 AS userId", "CAST(movie_id AS INT) AS movieId", "timestamp'2024-01-01 00:00:00' AS timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("encode-test", "encode")
+    messages.encode(rows, partitions=3)
+    messages.encode(rows)
+    jobs = tracker.getJobIdsForGroup("encode-test")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def test_send_time_without_a_time_column(spark):
+    rows = fx.stream_reviews(spark, SF).limit(3).drop("timestamp")
+    back = messages.decode(messages.encode(rows, stamp_send_time=True), keep_key=True).collect()
+    assert len(back) == 3 and all(r.timestamp is not None and r.key.count("_") == 2 for r in back)
+
+
+def test_a_failing_sink_stops_the_others(spark, tmp_path):
+    r = replay.Replay(spark, SF, "failing")
+    r.publish()
+    result = windows.director_counts(r.events(), r.movies)
+    endless = io.append_files(result, str(tmp_path / "a"), str(tmp_path / "ca"), trigger={"processingTime": "1 second"})
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is gone")
+
+    failing = result.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "cb")) \
+        .foreachBatch(fail).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="sink is gone"):
+        io.run_all([endless, failing])
+    assert not endless.isActive
+
+
+def test_index_sink_upserts_by_id_with_connector_options(spark, tmp_path):
+    r = replay.Replay(spark, SF, "index")
+    r.publish()
+    result = windows.with_doc_id(windows.director_counts(r.events(), r.movies), "director_name")
+    # A file format stands in for the connector; "compression" for its id option.
+    io.run_all([io.index(result, str(tmp_path / "c"), "parquet", {"path": str(tmp_path / "index")})])
+    got = spark.read.parquet(str(tmp_path / "index"))
+    assert got.where("doc_id is null").count() == 0 and got.count() > 0
+
+
+def test_half_written_snapshot_is_not_used(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    write = io.upsert_batches(path)
+    write(spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int"), 0)
+    write(spark.createDataFrame([("a", 3)], "doc_id string, v int"), 1)
+    lost = tmp_path / "docs" / io.SNAPSHOTS / "upto=1"
+    lost.mkdir(parents=True)  # a job lost before it committed
+    latest = io.latest_documents(spark, path, order=("batch_id",))
+    assert sorted((r.doc_id, r.v) for r in latest.collect()) == [("a", 3), ("b", 2)]
+    assert io.compact_documents(spark, path, order=("batch_id",)) == 1
+    assert sorted((r.doc_id, r.v) for r in io.latest_documents(spark, path, order=("batch_id",)).collect()) == [("a", 3), ("b", 2)]
 
 
 def test_compacted_upsert_reads_match(spark, tmp_path):
