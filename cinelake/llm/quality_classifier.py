@@ -40,25 +40,26 @@ FIT_DOCS, THRESHOLD = 10_000, 0.5
 #: Logits at which the two word labellers fire.
 WORD_LEVELS = (1.0, 3.0)
 
-#: Labellers: each says "bad" of a text's counts ``c``, or nothing.
-LABELLERS: dict[str, Callable[[dict], bool]] = {
+#: Labellers: each says "bad" of texts by their counts ``c``, or nothing.
+LABELLERS: dict[str, Callable[[dict[str, np.ndarray]], np.ndarray]] = {
     "symbols": lambda c: c["n_symbols"] > 0.25 * c["n_words"],
     "noisy_words": lambda c: c["n_noisy"] > 0.2 * c["n_words"],
     "upper": lambda c: c["n_upper"] > 0.3 * c["n_words"],
     "marks": lambda c: c["n_marks"] > 0.3 * c["n_words"],
     "echoes": lambda c: c["n_echo"] > 0.15 * c["n_words"],
-    "few_kinds": lambda c: c["n_distinct"] < 0.15 * c["n_words"] and c["n_words"] >= 30,
+    "few_kinds": lambda c: (c["n_distinct"] < 0.15 * c["n_words"]) & (c["n_words"] >= 30),
     "repeats": lambda c: c["n_repeat_words"] > 0.5 * c["n_words"],
-    "no_short_words": lambda c: c["n_short"] < 0.05 * c["n_words"] and c["n_words"] >= 10,
+    "no_short_words": lambda c: (c["n_short"] < 0.05 * c["n_words"]) & (c["n_words"] >= 10),
     "insults": lambda c: c["n_insults"] >= 1,
     "more_insults": lambda c: c["n_insults"] >= 2,
 }
 
 
-def votes(c: tuple[int, ...]) -> int:
-    """The labellers' votes on a text's counts as bits."""
-    named = dict(zip(textstats.COUNTS, c))
-    return sum(1 << k for k, fires in enumerate(LABELLERS.values()) if fires(named))
+def votes(counts: np.ndarray) -> np.ndarray:
+    """The labellers' votes on rows of counts, as bits."""
+    named = dict(zip(textstats.COUNTS, counts.T))
+    return sum((fires(named).astype(np.int64) << k for k, fires in enumerate(LABELLERS.values())),
+               np.zeros(len(counts), np.int64))
 
 
 COUNT_LABELLERS = len(LABELLERS)
@@ -101,11 +102,6 @@ def _bits(patterns: np.ndarray) -> np.ndarray:
 
 # -- hashed linear scorer ------------------------------------------------------------
 
-def slot(word: str) -> int:
-    """Hashed place of a word, lower-cased and without marks at its ends."""
-    return zlib.crc32(word.strip(".,;:!?\"'()[]|#$%&*").lower().encode())
-
-
 VOTE_SLOTS = [zlib.crc32(f"vote {name}".encode()) for name in ALL_LABELLERS]
 
 
@@ -116,7 +112,6 @@ class SparseScorer:
 
     def __init__(self, weights: dict[int, float] | None = None, bias: float = 0.0):
         self.weights, self.bias = weights or {}, bias
-        self._seen: dict[str, float] = {}
 
     def fit(self, rows: list[np.ndarray], targets: np.ndarray, epochs: int = 4, rate: float = 0.5,
             penalty: float = 2.0) -> SparseScorer:
@@ -146,31 +141,34 @@ class SparseScorer:
         self.bias = bias
         return self
 
-    def words(self, distinct: set[str]) -> float:
-        """Summed weights of a text's distinct words (of words alike but for case and marks, one counts)."""
-        if len(self._seen) > 400_000:
-            self._seen.clear()
-        seen, total, taken = self._seen, 0.0, set()
-        for word in distinct:
-            value = seen.get(word)
-            if value is None:
-                value = seen[word] = self.weights.get(slot(word), 0.0)
-            if value:
-                place = slot(word)
-                if place not in taken:
-                    taken.add(place)
-                    total += value
+    def words(self, texts: textstats.Texts) -> np.ndarray:
+        """Summed weights of each text's distinct words (of words alike but for case and marks, one counts)."""
+        known = np.array(sorted(self.weights), np.int64)
+        if not len(known) or not len(texts.words):
+            return np.zeros(len(texts.texts))
+        at = np.minimum(np.searchsorted(known, texts.slots), len(known) - 1)
+        weights = np.array([self.weights[s] for s in known.tolist()])
+        found = np.where(known[at] == texts.slots, weights[at], 0.0)[texts.places]
+        hits = np.flatnonzero(found)
+        total, taken = np.zeros(len(texts.texts)), set()
+        for owner, place, value in zip(texts.owner[hits].tolist(), texts.slots[texts.places[hits]].tolist(),
+                                       found[hits].tolist()):
+            if (owner, place) not in taken:
+                taken.add((owner, place))
+                total[owner] += value
         return total
 
-    def probability(self, distinct: set[str], pattern: int) -> float:
-        """Probability of being bad of a text with these words and votes."""
-        logit = self.bias + self.words(distinct) + sum(
-            self.weights.get(s, 0.0) for k, s in enumerate(VOTE_SLOTS) if pattern >> k & 1)
-        return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
+    def probabilities(self, texts: textstats.Texts, patterns: np.ndarray) -> np.ndarray:
+        """Probability of being bad of texts with these votes."""
+        logits = self.bias + self.words(texts)
+        for k, s in enumerate(VOTE_SLOTS):
+            logits += self.weights.get(s, 0.0) * (patterns >> k & 1)
+        return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
 
 
-def _word_votes(value: float) -> int:
-    return sum(1 << (COUNT_LABELLERS + k) for k, level in enumerate(WORD_LEVELS) if value >= level)
+def _word_votes(values: np.ndarray) -> np.ndarray:
+    return sum(((values >= level).astype(np.int64) << (COUNT_LABELLERS + k) for k, level in enumerate(WORD_LEVELS)),
+               np.zeros(len(values), np.int64))
 
 
 def _vote_slots(pattern: int) -> list[int]:
@@ -181,44 +179,47 @@ class Classifier:
     """Word labellers, label model and scorer; what a task needs to judge texts."""
 
     def __init__(self, word_model: SparseScorer, labels: LabelModel, scorer: SparseScorer, insults: tuple[str, ...]):
-        self.word_model, self.labels, self.scorer = word_model, labels, scorer
-        self.rude = frozenset(insults)
+        self.word_model, self.labels, self.scorer, self.insults = word_model, labels, scorer, insults
 
-    def votes(self, text: str | None, distinct: set[str]) -> int:
-        return votes(textstats.counts(text, self.rude)) | _word_votes(self.word_model.words(distinct))
+    def votes(self, texts: textstats.Texts) -> np.ndarray:
+        return votes(textstats.counts(texts)) | _word_votes(self.word_model.words(texts))
 
-    def judge(self, text: str | None) -> tuple[int, float]:
-        """Votes and the scorer's probability of being bad."""
-        distinct = set(textstats.WORDS.findall(text or ""))
-        pattern = self.votes(text, distinct)
-        return pattern, self.scorer.probability(distinct, pattern)
+    def judge(self, batch: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Votes and the scorer's probabilities of being bad."""
+        texts = textstats.Texts(batch, self.insults)
+        patterns = self.votes(texts)
+        return patterns, self.scorer.probabilities(texts, patterns)
 
 
 # -- over tables ------------------------------------------------------------------------
 
-def _truth(labels: DataFrame) -> DataFrame:
+def truth_of(labels: DataFrame) -> DataFrame:
     """(doc_id, bad) of labelled documents; bad (1) if any of their labels says so."""
     return labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.greatest(1 - F.coalesce(F.min("quality"), F.lit(1)), F.coalesce(F.max("toxic"), F.lit(0))).alias("bad"))
 
 
-def _two(docs: DataFrame, text: str, key: str) -> DataFrame:
+def id_and_text(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("string").alias("text"))
 
 
-def _sample(source: DataFrame, truth: DataFrame, rude: frozenset[str]) -> list[tuple[int, np.ndarray, float]]:
-    """(count votes, word slots, bad or -1) of both samples' documents. The
-    samples' ids are at most twice FIT_DOCS, hence the broadcast."""
-    first = lambda ids: ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
-    every = source.where("doc_id is not null").select("doc_id")
-    ids = first(truth.select("doc_id")).unionByName(first(every)).distinct()
+def first_ids(ids: DataFrame) -> DataFrame:
+    """The FIT_DOCS ids (column doc_id) with the least hash."""
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
+
+
+def sample(source: DataFrame, ids: DataFrame, truth: DataFrame,
+           insults: tuple[str, ...]) -> list[tuple[int, np.ndarray, float]]:
+    """(count votes, word slots, bad or -1) of the (doc_id, text) rows with
+    the given ids; these are a few times FIT_DOCS at most, hence the broadcast."""
     picked = source.join(F.broadcast(ids), "doc_id", "left_semi")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
-        found = [votes(textstats.counts(t, rude)) for t in texts]
-        slots = [np.unique(np.array([slot(w) for w in set(textstats.WORDS.findall(t or ""))], np.uint32)) for t in texts]
+        texts = textstats.Texts(batch.column(1).to_pylist(), insults)
+        found = votes(textstats.counts(texts))
+        own = texts.slots[texts.places].astype(np.uint32)
+        slots = [np.unique(own[a:b]) for a, b in zip(texts.firsts.tolist(), texts.firsts[1:].tolist())]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32()),
                                            pa.array([s.tobytes() for s in slots], pa.binary())],
                                           ["doc_id", "votes", "slots"])
@@ -233,16 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         insults: tuple[str, ...] = textstats.INSULTS) -> Classifier:
     """Word labellers and scorer on the samples, label model over all documents."""
     prepare(docs.sparkSession)
-    source, truth, rude = _two(docs, text, key), staged(_truth(labels), "truth"), frozenset(insults)
-    sample = _sample(source, truth, rude)
-    known = [(np.append(s, np.array(_vote_slots(v), np.int64)), bad) for v, s, bad in sample if bad >= 0]
+    source, truth = id_and_text(docs, text, key), staged(truth_of(labels), "truth")
+    every = source.where("doc_id is not null").select("doc_id")
+    drawn = sample(source, first_ids(truth.select("doc_id")).unionByName(first_ids(every)).distinct(), truth, insults)
+    known = [(np.append(s, np.array(_vote_slots(v), np.int64)), bad) for v, s, bad in drawn if bad >= 0]
     fitted = SparseScorer().fit([s for s, _ in known], np.array([bad for _, bad in known]))
     vote_slots = set(VOTE_SLOTS)
     words = SparseScorer({s: w for s, w in fitted.weights.items() if s not in vote_slots})
     model = Classifier(words, LabelModel(len(ALL_LABELLERS)), SparseScorer(), insults)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [model.votes(t, set(textstats.WORDS.findall(t or ""))) for t in batch.column(1).to_pylist()]
+        found = model.votes(textstats.Texts(batch.column(1).to_pylist(), insults))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], ["doc_id", "votes"])
 
     patterns = staged(map_batches(source, run, "doc_id long, votes int"), "votes") \
@@ -250,10 +252,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     model.labels.fit(_bits(np.array([r["votes"] for r in patterns], np.int64)),
                      np.array([r["count"] for r in patterns], float),
                      np.array([-1 if r["bad"] is None else r["bad"] for r in patterns], float))
-    full = [v | _word_votes(sum(words.weights.get(int(x), 0.0) for x in s)) for v, s, _ in sample]
+    values = np.array([sum(words.weights.get(int(x), 0.0) for x in s) for _, s, _ in drawn])
+    full = (np.array([v for v, _, _ in drawn], np.int64) | _word_votes(values)).tolist()
     weak = model.labels.posterior(_bits(np.array(full, np.int64)))
-    model.scorer.fit([np.append(s, np.array(_vote_slots(v), np.int64)) for v, (_, s, _) in zip(full, sample)],
-                     np.array([w if bad < 0 else bad for w, (_, _, bad) in zip(weak, sample)]))
+    model.scorer.fit([np.append(s, np.array(_vote_slots(v), np.int64)) for v, (_, s, _) in zip(full, drawn)],
+                     np.array([w if bad < 0 else bad for w, (_, _, bad) in zip(weak, drawn)]))
     return model
 
 
@@ -263,13 +266,12 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
     model = fit(docs, labels, text, key, insults)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [model.judge(t) for t in batch.column(1).to_pylist()]
-        weak = model.labels.posterior(_bits(np.array([v for v, _ in found], np.int64)))
+        patterns, score = model.judge(batch.column(1).to_pylist())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(weak), pa.array([s for _, s in found], pa.float64()),
-             pa.array([s < THRESHOLD for _, s in found], pa.bool_())], ["doc_id", "weak_score", "score", "kept"])
+            [batch.column(0), pa.array(model.labels.posterior(_bits(patterns))), pa.array(score),
+             pa.array(score < THRESHOLD)], ["doc_id", "weak_score", "score", "kept"])
 
-    return map_batches(_two(docs, text, key), run, "doc_id long, weak_score double, score double, kept boolean")
+    return map_batches(id_and_text(docs, text, key), run, "doc_id long, weak_score double, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
@@ -279,7 +281,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
     rows = docs.select(*[docs[f"`{c}`"] for c in names], docs[f"`{text}`"].cast("string").alias("_t"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        mask = pa.array([model.judge(t)[1] < THRESHOLD for t in batch.column(len(names)).to_pylist()], pa.bool_())
+        mask = pa.array(model.judge(batch.column(len(names)).to_pylist())[1] < THRESHOLD)
         return pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns[:-1]], names)
 
     return map_batches(rows, run, docs.schema)

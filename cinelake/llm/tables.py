@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import os
 import zipfile
-import tempfile
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -28,22 +28,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if not getattr(context, _SHIPPED, False):
-        context.addPyFile(_package_zip())
+        context.addPyFile(_package_zip(spark))
         setattr(context, _SHIPPED, True)
     return spark
 
 
-def _package_zip() -> str:
-    """The package's sources as one zip in the driver's temp folder (Spark copies it)."""
+def _package_zip(spark: SparkSession) -> str:
+    """The package's sources as one zip in the shared folder."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="cinelake-"), "cinelake_src.zip")
-    with zipfile.ZipFile(path, "w") as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for folder, _, names in os.walk(root):
             for name in sorted(names):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    return path
+    folder, name = fresh_path(spark, "package"), "cinelake_src.zip"
+    with SharedFiles(folder).write(name) as file:
+        file.write(packed.getvalue())
+    return f"{folder}/{name}"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +77,18 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+_worker_cache: dict = {}
+
+
+def worker_cache(key, make: Callable):
+    """An object that a worker keeps between batches and tasks. A worker keeps
+    one: another operator's replaces it, so their sizes do not add up."""
+    if key not in _worker_cache:
+        _worker_cache.clear()
+        _worker_cache[key] = make()
+    return _worker_cache[key]
+
+
 def texts(column: pa.Array) -> list[str]:
     """Strings of an Arrow column; null reads as the empty text."""
     return [t or "" for t in column.to_pylist()]
@@ -120,7 +135,3 @@ class SharedFiles:
 def read_bytes(file, offset: int, size: int) -> bytes:
     file.seek(offset)
     return file.read(size)
-
-
-__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SharedFiles", "bucket", "crc_bucket", "free_name", "fresh_path",
-           "map_batches", "prepare", "read", "read_bytes", "staged", "texts"]

@@ -86,6 +86,7 @@ def test_rules_on_odd_texts(spark, odd, none):
     assert Counter(tuple(r)[:6] for r in rows) == want
     assert all(r["base_failed"] == base_failed(tuple(r)[1:6]) for r in rows)
     assert quality_rules.judge(none, labels.where("false")).count() == 0
+    assert quality_rules.keep_good(none, labels.where("false")).count() == 0
     kept = quality_rules.keep_good(odd, labels)
     assert kept.columns == odd.columns
     judged = [r["doc_id"] for r in rows if r["kept"]]
@@ -93,7 +94,7 @@ def test_rules_on_odd_texts(spark, odd, none):
 
 
 def test_text_counts_of_long_and_plain_texts():
-    found = textstats.counts(textstats.Texts([None, "Idiot! you idiot, CLOWN## ab ab"]), textstats.INSULTS)
+    found = textstats.counts(textstats.Texts([None, "Idiot! you idiot, CLOWN## ab ab"]))
     named = dict(zip(textstats.COUNTS, found[1].tolist()))
     assert not found[0].any()
     assert (named["n_insults"], named["n_insult_kinds"], named["n_echo"], named["n_noisy"]) == (3, 2, 1, 1)
@@ -129,6 +130,7 @@ def test_classifier_on_odd_texts(spark, odd, none):
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in odd.collect())
     assert all(0 <= r["score"] <= 1 and r["kept"] == (r["score"] < quality_classifier.THRESHOLD) for r in rows)
     assert quality_classifier.classify(none, labels).count() == 0
+    assert quality_classifier.keep_good(none, labels).count() == 0
     kept = quality_classifier.keep_good(odd, labels)
     assert kept.columns == odd.columns and kept.count() == sum(r["kept"] for r in rows)
 

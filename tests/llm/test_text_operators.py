@@ -131,6 +131,7 @@ def test_near_duplicates_of_odd_texts(spark, odd, none):
     want = Counter((i, f"{p:016x}", min(least[c], default=None)) for (i, _), p, c in zip(rows, prints, classes))
     assert Counter(tuple(r) for r in simhash.near_duplicates(odd).collect()) == want
     assert simhash.near_duplicates(none).count() == 0
+    assert simhash.keep_one(none).count() == 0
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted(
@@ -276,6 +277,7 @@ def test_changed_numbers_names_and_units_are_found(spark):
     assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(docs) - found)
     assert decontaminate.matches(rows.where("false"), items).count() == 0
     assert decontaminate.matches(rows, items.where("false")).count() == 0
+    assert decontaminate.keep_clean(rows.where("false"), items).count() == 0
 
 
 def test_short_items_are_compared_whole(spark):
