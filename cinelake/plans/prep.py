@@ -62,9 +62,7 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     list gives ``imdb_id`` from its "tt..." id. A title listed twice yields
     two rows, as in the reference; ``dedupe_on_title=True`` keeps the
     smallest id per title instead (one aggregate per list, partial before
-    its shuffle), so later counts are not multiplied. Join strategy is
-    Spark's: broadcast when the id lists measure under the broadcast
-    threshold, else sort-merge, with AQE splitting a skewed title."""
+    its shuffle), so later counts are not multiplied."""
     movies = (raw.withColumnRenamed("id", "movie_id")
               .withColumn("boxOffice", parse_money("boxOffice", suffixes, missing))
               .drop(*MOVIE_EXTRA_COLUMNS))
@@ -73,8 +71,17 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     if dedupe_on_title:
         ids = ids.groupBy("__title").agg(F.min("tmdb_id").alias("tmdb_id"))
         names = names.groupBy("__name").agg(F.min("imdb_id").alias("imdb_id"))
-    movies = movies.join(ids, movies.title == ids.__title, "left").drop("__title")
-    return movies.join(names, movies.title == names.__name, "left").drop("__name")
+    return _left_by_title(_left_by_title(movies, ids, "__title", "tmdb_id"), names, "__name", "imdb_id")
+
+
+def _left_by_title(movies: DataFrame, ids: DataFrame, title: str, value: str) -> DataFrame:
+    """Left join on the title as an inner join and the films without a match.
+    Adaptive execution splits either side of an inner join, but only the left
+    side of a left one, and here it is the id list that may hold a title very
+    often."""
+    listed = movies.join(ids, movies["title"] == ids[title]).drop(title)
+    alone = movies.join(ids.select(title).distinct(), movies["title"] == F.col(title), "left_anti")
+    return listed.unionByName(alone.withColumn(value, F.lit(None).cast(ids.schema[value].dataType)))
 
 
 def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet",
