@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -25,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cinelake.llm.pretokens import Splitter, WordTable
-from cinelake.llm.tables import map_batches, prepare, texts
+from cinelake.llm.tables import map_batches, prepare, texts, worker_cache
 
 #: Words and token pairs kept between batches; beyond it a worker forgets them (results are the same).
-WORDS_KEPT, PAIRS_KEPT = 1_000_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 700_000, 400_000
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -155,10 +154,9 @@ class Codec:
         return ",".join(map(self.digits.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    """One codec a worker."""
-    return Codec(path)
+    """The worker's codec."""
+    return worker_cache(("codec", path), lambda: Codec(path))
 
 
 def encode(docs: DataFrame, vocab_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -24,7 +24,6 @@ import json
 import struct
 import uuid
 import zlib
-from functools import lru_cache
 from itertools import accumulate, chain
 
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 
 from cinelake.llm.bpe import WORDS_KEPT
 from cinelake.llm.pretokens import Splitter, WordTable
-from cinelake.llm.tables import SharedFiles, fresh_path, map_batches, prepare, read_bytes, texts
+from cinelake.llm.tables import SharedFiles, fresh_path, map_batches, prepare, read_bytes, texts, worker_cache
 
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEK_FRAME, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -70,10 +69,9 @@ class LibraryEncoder:
         return [ids[a:b].tobytes() + end for a, b in zip(cuts, cuts[1:])]
 
 
-@lru_cache(maxsize=2)
 def library(path: str) -> LibraryEncoder:
-    """One encoder a worker."""
-    return LibraryEncoder(path)
+    """The worker's encoder."""
+    return worker_cache(("library", path), lambda: LibraryEncoder(path))
 
 
 class SeekableWriter:
