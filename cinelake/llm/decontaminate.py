@@ -13,7 +13,7 @@ an item if the remaining windows cover at least ``COVER`` of the item's words
 (all, if it has fewer).
 
 A window that occurs in no item is dropped before the shuffle by a bit map of
-fixed size (``BITS`` bits): it lets some others pass, which the join drops, and loses
+fixed size (8 MB): it lets some others pass, which the join drops, and loses
 none. It is the only thing broadcast. Windows that many documents share are a skewed join key whose
 rows Spark splits, since the join needs no order.
 
@@ -26,7 +26,6 @@ columns are kept whatever their names are.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -38,12 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.pretokens import WordTable, white_words
-from cinelake.llm.tables import free_name, prepare, staged, texts
+from cinelake.llm.tables import BITS, bit_map, free_name, prepare, staged, texts, without, worker_cache
 
 WINDOW, COVER, LEAST, LITERALS = 8, 13, 5, 4
-BITS = 1 << 26
-_BITS_A_ROW = 1 << 15  # of Spark's bitmap functions
-WORDS_KEPT = 500_000
+WORDS_KEPT = 400_000
 
 #: Number words and units.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty "
@@ -82,9 +79,8 @@ def _entry(value: str, flags: int) -> int:
     return xxhash.xxh64_intdigest(value) & ~_FLAGS | flags
 
 
-@lru_cache(maxsize=1)
 def _table() -> WordTable:
-    return WordTable(WORDS_KEPT, np.uint64)
+    return worker_cache("entries", lambda: WordTable(WORDS_KEPT, np.uint64))
 
 
 class Windows:
@@ -176,18 +172,6 @@ def _windows(rows: DataFrame, id_kind: str, sizes: list[int], bits: bytes | None
     return rows.mapInArrow(run, schema)
 
 
-def _bit_map(keys: DataFrame) -> bytes:
-    """Bit map of the keys: at most BITS / 32768 rows of 4096 bytes come to the driver."""
-    place = F.pmod(F.col("key"), F.lit(BITS).cast("long")) + 1  # Spark's bit maps count from 1
-    rows = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
-    out = np.zeros(BITS // 8, np.uint8)
-    for r in rows.collect():
-        start = (r["b"] - 1) * (_BITS_A_ROW // 8)
-        out[start:start + len(r["m"])] = np.frombuffer(bytes(r["m"]), np.uint8)
-    return out.tobytes()
-
-
 def consistent(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> set[int]:
     """Item words covered by windows (place in document, place in item, values
     there, values here, kinds) whose slots agree within their alignment."""
@@ -222,7 +206,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     used = [r["size"] for r in own.select("size").distinct().collect()]  # at most four
     id_kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[f"`{key}`"].alias("id"), docs[f"`{text}`"].cast("string").alias("text"))
-    found = staged(_windows(rows, id_kind, used, _bit_map(own.select("key"))), "document-windows")
+    found = staged(_windows(rows, id_kind, used, bit_map(own, F.col("key"))), "document-windows")
     its = own.select(F.col("id").alias("item_id"), F.col("row").alias("item_row"), F.col("place").alias("at"),
                      F.col("words").alias("item_words"), "size", "key", F.col("vals").alias("item_vals"),
                      F.col("kinds").alias("item_kinds"))
@@ -254,5 +238,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     a text holds one depends on the text alone, so its digest decides."""
     digest = free_name(docs, "_digest")
     rows = docs.withColumn(digest, F.sha2(F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")), 256))
-    held = matches(rows, benchmark, text, digest).select(digest).distinct()
-    return rows.join(staged(held, "contaminated"), digest, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    held = staged(matches(rows, benchmark, text, digest).select(digest).distinct(), "contaminated")
+    return without(rows, held, digest).select(*[F.col(f"`{c}`") for c in docs.columns])

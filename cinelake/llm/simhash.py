@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.components import components
-from cinelake.llm.tables import free_name, prepare, staged, texts
+from cinelake.llm.tables import free_name, prepare, staged, texts, without
 
 PIVOTS_A_KEY, PIVOT_KEYS = 9, 2  # 7 bits for a distance of 0 to 64, 9 in a long
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -146,6 +146,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words_a_s
     """The columns of ``docs``; of each component the row with the smallest doc_id (of equal ones, one)."""
     row, fp = free_name(docs, "_simhash_row"), free_name(docs, "_simhash_fp")
     rows = staged(fingerprints(docs, text, docs.columns, row, fp, words_a_shingle), "simhash-rows")
-    classes = _classes(rows.select(F.col(f"`{key}`").cast("long").alias("id"), row, fp), "id", row, fp)
-    stay = classes.select(F.col("kept").alias(row)).distinct()
-    return rows.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    light = rows.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(row).alias("row"), F.col(fp).alias("print"))
+    classes = _classes(light, "id", "row", "print")
+    dropped = light.join(classes, light["print"] == classes["fp"]).where("row <> kept").select(F.col("row").alias(row))
+    return without(rows, staged(dropped, "near-copies"), row).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,8 +8,10 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.session import fresh_path, tune
@@ -114,6 +116,37 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+#: Bits of the maps that are sent to all tasks (8 MB), and of one row of Spark's bit map functions.
+BITS, _BITS_A_ROW = 1 << 26, 1 << 15
+
+
+def bit_map(rows: DataFrame, key: Column) -> bytes:
+    """Map of the rows' keys (a long) modulo BITS; at most BITS / 32768 rows
+    of 4096 bytes come to the driver."""
+    place = F.pmod(key, F.lit(BITS).cast("long")) + 1  # Spark's bit maps count from 1
+    parts = rows.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in parts.collect():
+        start = (r["b"] - 1) * (_BITS_A_ROW // 8)
+        out[start:start + len(r["m"])] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return out.tobytes()
+
+
+def without(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (never null) is not in ``dropped``. Only
+    rows that a bit map of the dropped keys lets through are shuffled, for the exact
+    anti-join; the others pass where they lie, texts and all."""
+    shared = df.sparkSession.sparkContext.broadcast(bit_map(dropped, F.xxhash64(key)))
+
+    def marked(place: pd.Series) -> pd.Series:
+        bits, at = np.frombuffer(shared.value, np.uint8), place.to_numpy()
+        return pd.Series(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0)
+
+    maybe = F.pandas_udf(marked, "boolean")(F.pmod(F.xxhash64(key), F.lit(BITS).cast("long")))
+    return df.where(~maybe).unionByName(df.where(maybe).join(dropped.select(key), key, "left_anti").select(df.columns))
+
+
 class SharedFiles:
     """Files in the shared work folder from inside a task, by Arrow's file
     systems, so that the folder may be local, on HDFS or in an object store."""
