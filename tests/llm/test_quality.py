@@ -54,7 +54,8 @@ def test_binomial_tail_is_exact(k, n, p):
 
 def labelled_texts(spark, good, bad, loose):
     """good plain texts, bad ones full of symbols, and ``loose`` good ones full of them too."""
-    plain, noisy = "the cat sat on mats " * 3 + "{} {} {}", "### $$ %% ## ** && || << >> {} {} {}"
+    plain, noisy = ("every morning the old baker walked along quiet streets to his shop {} {} {}",
+                    "### $$ %% ## ** && || << >> ++ -- {} {} {}")
     rows = [(i, (plain if i < good else noisy).format(i, i + 1, i + 2), "en" if i % 2 else "fr") for i in range(good + bad + loose)]
     labels = [(i, int(i < good or i >= good + bad), 0) for i in range(good + bad + loose)]
     return (spark.createDataFrame(rows, "doc_id long, text string, lang string"),
@@ -65,8 +66,8 @@ def test_cutoffs_are_adopted_only_when_the_holdout_allows(spark):
     docs, labels = labelled_texts(spark, 2400, 300, 0)
     adopted = quality_rules.cutoffs(quality_rules.stats(docs), labels)
     assert any(rule == "symbols" for rule, _ in adopted["en"]) and adopted["fr"] and not adopted["(other)"]
-    verdict = quality_rules.judge(docs, labels).where("kept").count()
-    assert verdict == 0 or verdict == docs.where("doc_id < 2400").count() or verdict <= 2400
+    kept = quality_rules.judge(docs, labels).where("kept")
+    assert kept.count() == 2400 == kept.where("doc_id < 2400").count()
     few, own = labelled_texts(spark, 60, 20, 0)
     assert not any(quality_rules.cutoffs(quality_rules.stats(few), own).values())
 
