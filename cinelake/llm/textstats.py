@@ -101,8 +101,10 @@ def repeated(words: list, window: int = WINDOW) -> int:
 
 
 def _repeats(texts: Texts) -> np.ndarray:
-    """``repeated`` of every text; only texts in which hashes of windows repeat are counted window by window."""
-    out, n = np.zeros(len(texts.texts), np.int64), len(texts.places) - WINDOW + 1
+    """``repeated`` of every text. Windows with equal hashes are compared word
+    by word; a text in which two differ is counted window by window."""
+    total = len(texts.places)
+    out, n = np.zeros(len(texts.texts), np.int64), total - WINDOW + 1
     if n <= 0:
         return out
     key = texts.owner[:n].astype(np.uint64)
@@ -111,8 +113,17 @@ def _repeats(texts: Texts) -> np.ndarray:
         key ^= key >> np.uint64(29)
     inside = np.flatnonzero(texts.owner[:n] == texts.owner[WINDOW - 1:])
     order = inside[np.argsort(key[inside])]
-    again = order[1:][key[order[1:]] == key[order[:-1]]]
-    for k in np.unique(texts.owner[again]):
+    met = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    one, two = order[:-1][met], order[1:][met]
+    equal = texts.owner[one] == texts.owner[two]
+    for k in range(WINDOW):
+        equal &= texts.places[one + k] == texts.places[two + k]
+    starts = _distinct(np.concatenate([one[equal], two[equal]]))
+    steps = np.zeros(total + 1, np.int64)
+    steps[starts] += 1
+    steps[starts + WINDOW] -= 1
+    out += texts.sums(np.cumsum(steps)[:total] > 0)
+    for k in _distinct(texts.owner[np.concatenate([one[~equal], two[~equal]])]):
         out[k] = repeated(texts.places[texts.firsts[k]:texts.firsts[k + 1]].tolist())
     return out
 
