@@ -27,7 +27,7 @@ from cinelake.llm.pretokens import Splitter, WordTable
 from cinelake.llm.tables import map_batches, prepare, texts, worker_cache
 
 #: Words and token pairs kept between batches; beyond it a worker forgets them (results are the same).
-WORDS_KEPT, PAIRS_KEPT = 700_000, 400_000
+WORDS_KEPT, PAIRS_KEPT = 1_000_000, 400_000
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
