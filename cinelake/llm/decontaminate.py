@@ -4,7 +4,10 @@ Words lose the marks at their ends and their case. Numbers, units and names
 (capitalised words within a sentence) become typed placeholders, their values
 are kept as slots. Windows of ``WINDOW`` canonical words are joined by hash with those
 of the benchmark items, which finds questions whose numbers, names or units were
-changed; a second key keeps names as words, which finds changes of case.
+changed; a second key keeps names as words, which finds changes of case. Both ask
+for ``LITERALS`` words that are no placeholders, since "<number> <unit> <number>"
+stands in any table. A third key keeps all values, for windows that hold a number
+or a unit, and asks for none: verbatim copies meet whatever they consist of.
 
 For each document, item and alignment, the slots of the windows that met must
 be consistent: one value of the item stands for one value in the document, and the other
@@ -104,7 +107,7 @@ class Windows:
         self.plain = plain.astype(np.int8)
 
     def keys(self, size: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each key (names as words, names as placeholders): first entry of the window, key, kinds."""
+        """For each key (names as words, names as placeholders, all as words): first entry of the window, key, kinds."""
         n = len(self.values) - size + 1
         out = []
         if n <= 0:
@@ -112,17 +115,18 @@ class Windows:
         at = np.arange(n)
         text = np.searchsorted(self.firsts, at, side="right") - 1
         whole = at + size <= self.firsts[text + 1]
-        for named, kinds in enumerate((self.plain, self.kinds)):
+        views = ((self.plain, None), (self.kinds, self.kinds == 3), (np.zeros_like(self.plain), self.plain > 0))
+        for number, (kinds, changed) in enumerate(views, 1):
             codes = np.where(kinds > 0, _TYPES[kinds], self.values)
-            key = np.full(n, named + 1, np.uint64)
+            key = np.full(n, number, np.uint64)
             for k in range(size):
                 key = key * _FACTOR + codes[k:k + n]
             key ^= key >> np.uint64(31)
             sums = np.concatenate([[0], np.cumsum(kinds == 0)])
             good = whole & (sums[size:] - sums[:-size] >= min(LITERALS, size - 1))
-            if named:  # the first key has windows without names
-                names = np.concatenate([[0], np.cumsum(kinds == 3)])
-                good &= names[size:] > names[:-size]
+            if changed is not None:  # the first key has windows that are the same by this one
+                sums = np.concatenate([[0], np.cumsum(changed)])
+                good &= sums[size:] > sums[:-size]
             first = np.flatnonzero(good)
             out.append((first, key[first], kinds))
         return out

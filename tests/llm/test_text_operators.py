@@ -284,6 +284,17 @@ def test_short_items_are_compared_whole(spark):
     assert [(r["doc_id"], r["covered"]) for r in decontaminate.matches(rows, items).collect()] == [(1, 5)]
 
 
+def test_copies_made_of_numbers_and_units_are_found(spark):
+    items = {1: "Convert 5 km 300 meters to feet and 7 miles to km", 2: "What is 12 times 7 ?", 3: "3 5 8 13 21 34 55 89",
+             4: "Add 5 kg 7 kg 9 lbs 11 lbs 13 oz 15 oz 17 grams 19 grams"}
+    docs = {k: f"See here. {t} That was it." for k, t in items.items()}
+    docs |= {5: "What is 13 times 7 ?", 6: "3 5 8 13 21 34 55 90", 7: "Add 5 kg 7 kg 9 lbs 12 lbs and 13 oz 15 oz 17 grams"}
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    asked = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = Counter((r["doc_id"], r["item_id"], r["covered"]) for r in decontaminate.matches(rows, asked).collect())
+    assert got == {(1, 1, 12): 1, (2, 2, 5): 1, (3, 3, 8): 1, (4, 4, 17): 1}
+
+
 def test_slots_must_agree_within_an_alignment():
     kinds = np.array([0, 1, 0, 1], np.int8)
     item, same, other = (np.array(v, np.uint64) for v in ([9, 5, 9, 5], [9, 7, 9, 7], [9, 7, 9, 8]))
