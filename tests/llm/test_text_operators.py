@@ -222,6 +222,22 @@ def test_model_is_normalised_and_learns_what_follows_what():
     assert all(after[k].argmax() == (k + 1) % width and after[k].max() > 0.6 for k in range(width))
 
 
+def test_what_the_model_learns_grows_with_the_input(spark):
+    counts = np.array([500_000, 1, 1, 300_000, 7])
+    seen = [np.concatenate(list(lm.visits(counts, 3, turn, 3))) for turn in range(3)]
+    assert sum(map(len, seen)) < counts.sum() + 3 * lm.SAMPLES
+    assert (np.bincount(np.concatenate(seen), minlength=5) >= counts).all()  # every token, rare triples too
+    classes = [lm.Unigram([(f"w{k}", 9) for k in range(2000)], 18_000 + kinds, kinds).other for kinds in (10**4, 10**6, 10**9)]
+    assert classes == [lm.CLASSES, 333, lm.MOST_CLASSES]
+    rows = [(0, 1_000_003)] + [(k, 1 + k % 9) for k in range(1, 3000)]
+    parts = lm.dealt(spark.createDataFrame(rows, "triple long, n long"), 12).collect()
+    shards, again = Counter(), Counter()
+    for r in parts:
+        shards[r["shard"]] += r["n"]
+        again[r["triple"]] += r["n"]
+    assert again == dict(rows) and len(shards) == 12 and max(shards.values()) < 1.05 * min(shards.values())
+
+
 def test_scores_of_odd_texts(spark, odd, none):
     rows = lm.score(odd).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in odd.collect())
