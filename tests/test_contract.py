@@ -49,3 +49,9 @@ def test_bench_prints_one_json_line():
     result = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
     assert result["unit"] == "sec" and result["sf"] == 0.001 and result["failed"] == []
+
+
+def test_bench_times_every_key(monkeypatch):
+    import bench
+    monkeypatch.delenv("BENCH_KEYS", raising=False)
+    assert bench.chosen({"b01": None, "pipeline": None}) == ["b01", "pipeline"]
