@@ -9,10 +9,11 @@ for ``LITERALS`` words that are no placeholders, since "<number> <unit> <number>
 stands in any table. A third key keeps all values, for windows that hold a number
 or a unit, and asks for none: verbatim copies meet whatever they consist of.
 
-For each document, item and alignment, the slots of the windows that met must
-be consistent: one value of the item stands for one value in the document, and the other
+For each document and item, windows are taken together if they lie in one alignment, or
+in several whose places in the document lie within the item's length (words were
+put in or left out). Their slots must be consistent: one value of the item stands for one value in the document, and the other
 way round. Windows that contradict the majority are dropped. A document holds
-an item if the remaining windows cover at least ``COVER`` of the item's words
+an item if the remaining windows of one such place cover at least ``COVER`` of the item's words
 (all, if it has fewer).
 
 A window that occurs in no item is dropped before the shuffle by a bit map of
@@ -176,27 +177,42 @@ def _windows(rows: DataFrame, id_kind: str, sizes: list[int], bits: bytes | None
     return rows.mapInArrow(run, schema)
 
 
-def consistent(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> set[int]:
-    """Item words covered by windows (place in document, place in item, values
-    there, values here, kinds) whose slots agree within their alignment."""
-    covered: set[int] = set()
+def consistent(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]], words: int = 0) -> set[int]:
+    """Most item words covered at one place of the document by windows (place in document,
+    place in item, values there, values here, kinds) whose slots agree: those
+    of one alignment, or of all whose places lie within ``words`` of each other."""
     by_shift = defaultdict(list)
     for row in rows:
         by_shift[row[0] - row[1]].append(row)
-    for met in by_shift.values():
-        there, back = defaultdict(Counter), defaultdict(Counter)
-        slots = []
-        for place, at, doc, item, kinds in met:
-            own = {(int(kinds[k]), int(item[k]), int(doc[k]), place + k) for k in np.flatnonzero(kinds)}
-            slots.append(own)
-        for kind, item, doc, _ in set().union(*slots):
-            there[kind, item][doc] += 1
-            back[kind, doc][item] += 1
-        best = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in there.items()}
-        rest = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in back.items()}
-        for (place, at, _, item, _), own in zip(met, slots):
-            if all(best[kind, a] == b and rest[kind, b] == a for kind, a, b, _ in own):
-                covered.update(range(at, at + len(item)))
+    found = [_agreeing(met) for met in by_shift.values()]
+    if len(by_shift) > 1:
+        rows, end = sorted(rows, key=lambda r: r[:2]), 0
+        for k, row in enumerate(rows):
+            upto = end
+            while upto < len(rows) and rows[upto][0] < row[0] + words:
+                upto += 1
+            if upto > end:  # else part of the span before
+                found.append(_agreeing(rows[k:upto]))
+                end = upto
+    return max(found, key=len, default=set())
+
+
+def _agreeing(met: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> set[int]:
+    """Item words covered by the windows that do not contradict the majority's slots."""
+    covered: set[int] = set()
+    there, back = defaultdict(Counter), defaultdict(Counter)
+    slots = []
+    for place, _, doc, item, kinds in met:
+        own = {(int(kinds[k]), int(item[k]), int(doc[k]), place + k) for k in np.flatnonzero(kinds)}
+        slots.append(own)
+    for kind, item, doc, _ in set().union(*slots):
+        there[kind, item][doc] += 1
+        back[kind, doc][item] += 1
+    best = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in there.items()}
+    rest = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in back.items()}
+    for (_, at, _, item, _), own in zip(met, slots):
+        if all(best[kind, a] == b and rest[kind, b] == a for kind, a, b, _ in own):
+            covered.update(range(at, at + len(item)))
     return covered
 
 
@@ -225,7 +241,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
             group = list(group)
             doc, item, words = group[0][2:5]
             covered = consistent([(r[5], r[6], np.frombuffer(r[7], np.uint64), np.frombuffer(r[8], np.uint64),
-                                   np.frombuffer(r[9], np.int8)) for r in group])
+                                   np.frombuffer(r[9], np.int8)) for r in group], words)
             if len(covered) >= min(COVER, words):
                 out.append((doc, item, len(covered), words))
         if out:

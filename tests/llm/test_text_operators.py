@@ -318,6 +318,19 @@ def test_slots_must_agree_within_an_alignment():
     assert decontaminate.consistent([(10, 0, other, item, kinds)]) == set()
 
 
+def test_windows_far_apart_in_a_document_make_no_leak(spark):
+    words = ITEM.split()
+    one, two, fill = " ".join(words[:9]), " ".join(words[14:23]), " and so on" * 40
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = spark.createDataFrame([(1, one + fill + " " + two), (2, one + " quite soon " + two), (3, one + fill + " " + ITEM)],
+                                 "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.matches(rows, items).collect()) == [2, 3]
+    kinds, item = np.array([0, 1], np.int8), np.array([9, 5], np.uint64)
+    seven, eight = np.array([9, 7], np.uint64), np.array([9, 8], np.uint64)
+    met = [(10, 0, seven, item, kinds), (13, 2, seven, item, kinds), (17, 4, eight, item, kinds)]
+    assert decontaminate.consistent(met, 9) == {0, 1, 2, 3}  # slots over alignments together
+
+
 # -- languages -------------------------------------------------------------------------------------------
 
 
