@@ -164,6 +164,9 @@ class SharedFiles:
     def read(self, name: str) -> pa.NativeFile:
         return self.fs.open_input_file(f"{self.root}/{name}")
 
+    def remove(self, name: str) -> None:
+        self.fs.delete_file(f"{self.root}/{name}")
+
 
 def read_bytes(file, offset: int, size: int) -> bytes:
     file.seek(offset)
