@@ -149,6 +149,36 @@ def semi_join(df: DataFrame, keys_df: DataFrame, left_on: str, right_on: str | N
     return df.withColumn("__key", own).join(keys, F.col("__key") == F.col("__k2"), "left_semi").drop("__key")
 
 
+#: Rows of one key that a task of ``left_join_frequent`` may always take, and the
+#: most keys it salts: a key beyond them has under a 1024th of the rows.
+FREQUENT_ROWS, FREQUENT_KEYS = 10_000, 1024
+
+
+def left_join_frequent(df: DataFrame, listed: DataFrame, left_on: str, right_on: str,
+                       rows_a_task: int = FREQUENT_ROWS) -> DataFrame:
+    """Left join to a list that may hold a key very often (J6); ``right_on`` is
+    dropped. Adaptive execution splits the left side of a left join only.
+
+    One aggregate of the list finds its frequent keys. Their list rows are dealt
+    over salts of about ``rows_a_task`` rows, and a row of ``df`` with such a key
+    is copied to all salts of its key (the list has the key, so a copy that meets no
+    row is dropped, not null-extended). All other rows meet in salt 0 of the same join,
+    which reads ``df`` once."""
+    known = listed.where(F.col(right_on).isNotNull())
+    counts = known.groupBy(F.col(right_on).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+    frequent = top_k(counts.where(F.col("__rows") > rows_a_task), [F.desc("__rows"), "__key"], FREQUENT_KEYS).select(
+        "__key", F.ceil(F.col("__rows") / rows_a_task).cast("int").alias("__salts"))
+    frequent = F.broadcast(frequent)  # FREQUENT_KEYS rows at most
+    own = F.pmod(F.monotonically_increasing_id(), F.coalesce("__salts", F.lit(1))).cast("int")
+    right = known.withColumn("__on", F.col(right_on)).join(frequent, F.col("__on") == F.col("__key"), "left").select(
+        *[c for c in listed.columns if c != right_on], "__on", own.alias("__salt"), F.lit(True).alias("__met"))
+    copies = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
+    left = df.join(frequent, df[left_on] == F.col("__key"), "left").select(
+        *df.columns, F.col("__salts").isNotNull().alias("__copied"), F.explode(copies).alias("__copy"))
+    joined = left.join(right, (left[left_on] == right["__on"]) & (left["__copy"] == right["__salt"]), "left")
+    return joined.where(F.col("__met") | ~F.col("__copied")).drop("__copied", "__copy", "__on", "__salt", "__met")
+
+
 def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per ``key``: the one with the greatest ``order`` tuple (ST12).
 

@@ -149,8 +149,13 @@ def top_share(movies: DataFrame, reviews: DataFrame, min_reviews: int = 100, k:
 
 
 def _ranked_films(movies: DataFrame, counts: DataFrame, by: str, k: int) -> DataFrame:
+    """The ranked films with their attributes. Reviews without a film rank
+    together and are then left out. That test must not reach the reviews of
+    one branch of ``top_ranked`` alone, or the branches differ and are both computed:
+    null-safe equality with known films keeps it here."""
     ranked = top_ranked(counts.select("movie_id", "total_reviews", "positive_review_percentage"), by, k)
-    return (ranked.join(movies.select("movie_id", "director", "title"), "movie_id")
+    films = movies.where(F.col("movie_id").isNotNull()).select(F.col("movie_id").alias("__film"), "director", "title")
+    return (ranked.join(films, ranked["movie_id"].eqNullSafe(F.col("__film")))
             .select("director", "positive_review_percentage", "title", "total_reviews")
             .distinct())
 

@@ -19,7 +19,7 @@ from cinelake.functions.expressions import (
     parse_money,
     year_of,
 )
-from cinelake.operators.relational import semi_join
+from cinelake.operators.relational import left_join_frequent, semi_join
 from cinelake.sources import schemas, zones
 
 # Columns the clean/conform jobs drop (missing names are ignored,
@@ -59,7 +59,8 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     (U3 P4 P5 J6 P2 F5).
 
     Two left joins on the title (J6): the mapper gives ``tmdb_id``, the imdb
-    list gives ``imdb_id`` from its "tt..." id. A title listed twice yields
+    list gives ``imdb_id`` from its "tt..." id. Films are read once, however
+    often a list holds a title (``left_join_frequent``). A title listed twice yields
     two rows, as in the reference; ``dedupe_on_title=True`` keeps the
     smallest id per title instead (one aggregate per list, partial before
     its shuffle), so later counts are not multiplied."""
@@ -71,17 +72,9 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
     if dedupe_on_title:
         ids = ids.groupBy("__title").agg(F.min("tmdb_id").alias("tmdb_id"))
         names = names.groupBy("__name").agg(F.min("imdb_id").alias("imdb_id"))
-    return _left_by_title(_left_by_title(movies, ids, "__title", "tmdb_id"), names, "__name", "imdb_id")
-
-
-def _left_by_title(movies: DataFrame, ids: DataFrame, title: str, value: str) -> DataFrame:
-    """Left join on the title as an inner join and the films without a match.
-    Adaptive execution splits either side of an inner join, but only the left
-    side of a left one, and here it is the id list that may hold a title very
-    often."""
-    listed = movies.join(ids, movies["title"] == ids[title]).drop(title)
-    alone = movies.join(ids.select(title).distinct(), movies["title"] == F.col(title), "left_anti")
-    return listed.unionByName(alone.withColumn(value, F.lit(None).cast(ids.schema[value].dataType)))
+        return (movies.join(ids, movies["title"] == ids["__title"], "left").drop("__title")
+                .join(names, movies["title"] == names["__name"], "left").drop("__name"))
+    return left_join_frequent(left_join_frequent(movies, ids, "title", "__title"), names, "title", "__name")
 
 
 def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet",

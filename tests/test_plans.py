@@ -1,6 +1,8 @@
 """Physical-plan properties the scale design relies on (checked on the
 optimised plan, so a change that loses one fails here, not on a cluster)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -135,3 +137,42 @@ def test_prepared_dimension_is_not_reshuffled(spark):
     # events side; unprepared, the dimension side is shuffled too.
     assert plan.count("ENSURE_REQUIREMENTS") == 2
     assert joined.count("ENSURE_REQUIREMENTS") == 3
+
+
+def _final(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("key", ["b06_top_reviewed", "b06_top_share"])
+def test_rank_with_ties_reads_the_reviews_once(spark, tmp_path, key, broadcast):
+    """The cut value and the ranked rows come from one aggregate's exchange."""
+    from cinelake import catalog
+    movies, reviews = catalog.write_zone(spark, SF, str(tmp_path))
+    query = lambda: catalog.BATCH_PLANS[key](spark.read.parquet(movies), spark.read.parquet(reviews))
+    if broadcast:
+        plan = _final(query())
+    else:
+        with _NoBroadcast(spark):
+            plan = _final(query())
+    assert len(re.findall(r"FileScan parquet \[[^]]*scoreSentiment", plan)) == 1 and "ReusedExchange" in plan
+    assert "SinglePartition" not in plan  # the k best values come from TakeOrderedAndProject
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_conformed_movies_are_read_once(spark, tmp_path, broadcast):
+    from cinelake.plans import prep
+    from cinelake.sources import fixtures as fx
+    from cinelake.sources import schemas, zones
+    tables = {"movies": (fx.raw_movies, schemas.RAW_MOVIES), "mapper": (fx.mapper, schemas.MAPPER),
+              "movies_imdb": (fx.imdb, schemas.IMDB)}
+    zones.land({n: view(spark, SF) for n, (view, _) in tables.items()}, str(tmp_path), "csv")
+    read = lambda n: zones.read_table(spark, f"{tmp_path}/{n}", "csv", tables[n][1])
+    query = lambda: prep.conform_movies(read("movies"), read("mapper"), read("movies_imdb"))
+    if broadcast:
+        plan = _final(query())
+    else:
+        with _NoBroadcast(spark):
+            plan = _final(query())
+    assert len(re.findall(r"FileScan csv \[[^]]*boxOffice", plan)) == 1

@@ -82,3 +82,31 @@ def test_latest_by_key(spark):
 def test_dedupe_by_keeps_max(spark):
     df = spark.createDataFrame([("t", 3), ("t", 9), ("u", 1)], "title string, total_reviews int")
     assert sorted(map(tuple, R.dedupe_by(df, "title", "total_reviews").collect())) == [("t", 9), ("u", 1)]
+
+
+@pytest.mark.parametrize("rows_a_task", [10, 1000, 10 ** 9])
+def test_left_join_with_a_key_listed_very_often(spark, rows_a_task):
+    """One title listed 100,000 times (the same row each time), others a few times or
+    never; null keys on both sides; equal to the plain left join."""
+    films = spark.createDataFrame([(1, "hot"), (2, "hot"), (3, "twice"), (4, "none"), (5, None), (5, None)], "id int, title string")
+    listed = spark.range(100_000, numPartitions=4).selectExpr("'hot' as name", "cast(7 as long) as ref").unionByName(
+        spark.createDataFrame([("twice", 8), ("twice", 9), ("else", 1), (None, 2)], "name string, ref long"))
+    got = R.left_join_frequent(films, listed, "title", "name", rows_a_task)
+    want = films.join(listed, films["title"] == listed["name"], "left").drop("name")
+    assert got.columns == want.columns == ["id", "title", "ref"]
+    count = lambda df: sorted(map(tuple, df.groupBy("id", "title", "ref").count().collect()), key=repr)
+    assert count(got) == count(want) and got.count() == 200_005
+
+
+def test_a_frequent_key_is_dealt_over_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        films = spark.createDataFrame([(1, "hot")], "id int, title string")
+        listed = spark.range(20_000, numPartitions=4).selectExpr("'hot' as name", "id as ref")
+        joined = R.left_join_frequent(films, listed, "title", "name", 1000)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 20_000 and max(r["count"] for r in sizes) < 12_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
