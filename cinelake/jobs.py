@@ -60,12 +60,13 @@ DEFAULT_TOPIC = "reviews-topic"
 # B9 writes two reports (top writers by POSITIVE and by NEGATIVE) from one pivot.
 B09_REPORTS = {"batch_query_9_positive": "POSITIVE", "batch_query_9_negative": "NEGATIVE"}
 
+# Stream questions: plan, document id, group columns beside the window.
 STREAM = {
-    "t1": (lambda ev, mv: windows.film_counts(ev), None),
-    "t2": (windows.genre_language_rating, "genre_language"),
-    "t3": (windows.director_counts, "director_name"),
-    "t4": (windows.writer_ratings, "writer_name"),
-    "t5": (windows.rating_vs_audience, "window_title"),
+    "t1": (lambda ev, mv: windows.film_counts(ev), None, ("movieId", "title")),
+    "t2": (windows.genre_language_rating, "genre_language", ("genre", "language")),
+    "t3": (windows.director_counts, "director_name", ("director_name",)),
+    "t4": (windows.writer_ratings, "writer_name", ("writer_name",)),
+    "t5": (windows.rating_vs_audience, "window_title", ("title",)),
 }
 
 
@@ -149,12 +150,12 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
     movies = _source(spark, args.movies, args.format, schemas.MOVIES)
     if args.dimension_partitions:
         movies = windows.prepare_movies(movies, args.dimension_partitions)
-    build, doc_kind = STREAM[args.question]
+    build, doc_kind, keys = STREAM[args.question]
     hot = windows.HotFilms(tuple(args.hot_film)) if args.hot_film and args.question != "t1" else None
     result = build(events, movies, hot=hot) if hot else build(events, movies)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    with_ids = windows.with_doc_id(result, doc_kind) if (doc_kind and not args.append) else None
-    started = io.save_all(result, args.out, with_ids, preview=args.show, trigger=trigger,
+    doc_id = (lambda df: windows.with_doc_id(df, doc_kind)) if doc_kind and not args.append else None
+    started = io.save_all(result, args.out, keys, doc_id, preview=args.show, trigger=trigger,
                           index_format=args.index_format, index_options=_options(args.index_option),
                           id_option=args.index_id_option)
     io.run_all(started)
@@ -215,7 +216,6 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--format", default="parquet")
     s.add_argument("--out", required=True, help="root for history, documents and checkpoints")
     s.add_argument("--append", action="store_true", help="append closed windows instead of upserting by id")
-    s.add_argument("--doc-ids", action="store_true", help="upsert by id (the default where a question has ids)")
     s.add_argument("--index-format", help="connector that takes the documents instead of a folder")
     s.add_argument("--index-option", action="append")
     s.add_argument("--index-id-option", help="the connector's option that names the id column")

@@ -109,8 +109,8 @@ def run_sinks(spark: SparkSession, sf_dir: str, build: Builder, doc_id: str, nam
     replay = Replay(spark, sf_dir, name)
     replay.publish()
     result = build(replay.events(), replay.movies)
-    io.run_all(io.save_all(result, replay.out, with_doc_id(result, doc_id)))
-    history = spark.read.parquet(f"{replay.out}/history").withColumn("sink", F.lit("history"))
+    io.run_all(io.save_all(result, replay.out, [doc_id], lambda df: with_doc_id(df, doc_id)))
+    history = spark.read.parquet(f"{replay.out}/history").drop("batch_id").withColumn("sink", F.lit("history"))
     latest = io.latest_documents(spark, f"{replay.out}/documents").drop("batch_id", "window_end", "doc_id")
     return flatten_window(history.unionByName(latest.withColumn("sink", F.lit("documents"))))
 

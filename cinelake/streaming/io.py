@@ -2,22 +2,23 @@
 
 A "topic" is either a broker (``format="kafka"`` plus its options; the
 connector jar must be on the classpath) or a folder of key/value parquet
-files, which is what tests and the registered queries use. Every sink takes
-its own checkpoint folder; the upsert sink is idempotent per batch id, so a
-restarted query that replays a batch rewrites the same output.
+files, which is what tests and the registered queries use. Every query has
+its own checkpoint folder, and every sink is idempotent per batch id: a
+restarted query that replays a batch leaves the same output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cinelake.operators.relational import latest_by_key
 from cinelake.sources.schemas import MESSAGE
+from cinelake.streaming.documents import DocumentStore, Folder, Versions, WindowHistory, batch_watermark, compute
 
 
 @dataclass
@@ -75,13 +76,10 @@ def console(df: DataFrame, mode: str = "update", trigger: Mapping | None = None,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def upsert_batches(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer for keyed upserts (S14, ST12).
-
-    Each micro-batch overwrites its own ``batch_id=N`` partition (dynamic
-    partition overwrite), so replaying a batch after a failure rewrites it
-    instead of appending twice. ``latest_documents`` reads the current value
-    per document id."""
+def batch_folders(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of rows without ids: each micro-batch overwrites its own
+    ``batch_id=N`` partition, so replaying a batch after a failure rewrites it
+    instead of appending twice."""
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -91,108 +89,98 @@ def upsert_batches(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int]
 
 def append_batches(df: DataFrame, path: str, checkpoint: str,
                    trigger: Mapping | None = None) -> StreamingQuery:
-    """Closed windows appended without document ids (S13): same per-batch
-    partition writer, so a replayed batch replaces its own rows."""
-    return (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(upsert_batches(path)).trigger(**(trigger or {"availableNow": True})).start())
-
-
-def upsert(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
-           trigger: Mapping | None = None) -> StreamingQuery:
-    """Keyed upsert sink: ``df`` must carry ``doc_id``."""
-    return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(upsert_batches(path)).trigger(**(trigger or {"availableNow": True})).start())
-
-
-def index(df: DataFrame, checkpoint: str, fmt: str, options: Mapping[str, str] | None = None,
-          id_option: str | None = None, mode: str = "update", trigger: Mapping | None = None) -> StreamingQuery:
-    """Stream results to a search index or any other batch connector (S13,
-    S14): each micro-batch is written by ``fmt`` and its ``options`` (nodes,
-    credentials, resource). With ``id_option`` (the connector's option that
-    names the id column) rows are upserted by ``doc_id``, so a replayed batch
-    rewrites its documents; without it closed rows should be appended
-    (``mode="append"``)."""
-    given = {**(options or {}), **({id_option: "doc_id"} if id_option else {})}
+    """Closed windows appended without document ids."""
+    return _each_batch(df, "append", checkpoint, batch_folders(path), trigger)
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.format(fmt).options(**given).mode("append").save()
 
+def _each_batch(df: DataFrame, mode: str, checkpoint: str, write: Callable[[DataFrame, int], None],
+                trigger: Mapping | None) -> StreamingQuery:
     return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
             .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
 
 
-SNAPSHOTS = "_snapshot"  # under an upsert folder; "_" keeps it out of history reads
+def upsert(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
+           trigger: Mapping | None = None, order: Sequence[str] = ("window_end", "batch_id")) -> StreamingQuery:
+    """Keyed upsert sink (S14, ST12): ``df`` must carry ``doc_id``. The folder is a
+    ``DocumentStore``."""
+    return _each_batch(df, mode, checkpoint, DocumentStore(df.sparkSession, path, order).merge, trigger)
 
 
-def _snapshot_ids(spark: SparkSession, path: str) -> list[int]:
-    """Batch ids up to which whole snapshots exist: those whose job committed
-    (a lost job leaves no _SUCCESS)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{SNAPSHOTS}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = [st.getPath() for st in fs.listStatus(folder)]
-    whole = [p.getName() for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(n.split("=", 1)[1]) for n in whole if n.startswith("upto="))
+def latest_documents(spark: SparkSession, path: str, order: Sequence[str] = ("window_end", "batch_id"),
+                     key: str = "doc_id") -> DataFrame:
+    """Current value per document of an upsert folder: greatest (window end, batch id)."""
+    found = DocumentStore(spark, path, order, key).read()
+    if found is None:
+        raise ValueError(f"no batch has been committed to {path}")
+    return found
 
 
-def _with_window_end(df: DataFrame) -> DataFrame:
-    if "window" in df.columns and "window_end" not in df.columns:
-        return df.withColumn("window_end", F.col("window.end"))
-    return df
+def index_writer(fmt: str, options: Mapping[str, str] | None, id_option: str | None) -> Callable[[DataFrame, int], None]:
+    given = {**(options or {}), **({id_option: "doc_id"} if id_option else {})}
 
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.format(fmt).options(**given).mode("append").save()
+    return write
 
-def latest_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("window_end", "batch_id"),
-                     key: str = "doc_id") -> DataFrame:
-    """Current value per document: greatest (window end, batch id). Reads the
-    newest compacted snapshot and only the batches written after it."""
-    history = _with_window_end(spark.read.parquet(path))
-    done = _snapshot_ids(spark, path)
-    if done:
-        snapshot = _with_window_end(spark.read.parquet(f"{path}/{SNAPSHOTS}/upto={done[-1]}"))
-        history = history.filter(F.col("batch_id") > done[-1]).unionByName(snapshot)
-    return latest_by_key(history, key, list(order))
-
-
-def compact_documents(spark: SparkSession, path: str, order: tuple[str, ...] = ("window_end", "batch_id"),
-                      key: str = "doc_id") -> int | None:
-    """Fold the upsert history into a snapshot of the latest row per document
-    (``_snapshot/upto=N``, N the newest batch id), so later reads scan the
-    snapshot plus newer batches instead of the whole history. Rewriting the
-    same N replaces it, so a retried compaction is harmless. Batch folders are
-    left in place (retention is the operator's call). Returns N."""
-    newest = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return None
-    current = latest_documents(spark, path, order, key).filter(F.col("batch_id") <= newest)
-    current.write.mode("overwrite").parquet(f"{path}/{SNAPSHOTS}/upto={newest}")
-    return int(newest)
-
-
-def save_all(df: DataFrame, root: str, doc_id_df: DataFrame | None = None, preview: bool = False,
-             trigger: Mapping | None = None, index_format: str | None = None,
+
+def index(df: DataFrame, checkpoint: str, fmt: str, options: Mapping[str, str] | None = None,
+          id_option: str | None = None, mode: str = "update", trigger: Mapping | None = None) -> StreamingQuery:
+    """Stream results to a search index or any other batch connector (S13,
+    S14): each micro-batch is written by ``fmt`` and its ``options`` (nodes,
+    credentials, resource). A ledger beside the checkpoint (``<checkpoint>_ledger``) names the batches whose write
+    has returned; one that Spark replays is not written again. Only a failure
+    between the connector's last row and the ledger's commit can repeat rows: with ``id_option`` (the
+    connector's option that names the id column) they are upserted by ``doc_id`` and
+    even that changes nothing."""
+    ledger = Versions(df.sparkSession, f"{checkpoint.rstrip('/')}_ledger")
+    return _each_batch(df, mode, checkpoint, once(ledger, index_writer(fmt, options, id_option)), trigger)
+
+
+def once(ledger: Versions, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """``write`` for batches that the ledger does not name, which it names then."""
+    def guarded(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > ledger.last():
+            write(batch, batch_id)
+            ledger.commit(batch_id)
+        else:
+            compute(batch)
+    return guarded
+
+
+def save_all(df: DataFrame, root: str, keys: Sequence[str], doc_id: Callable[[DataFrame], DataFrame] | None = None,
+             preview: bool = False, trigger: Mapping | None = None, index_format: str | None = None,
              index_options: Mapping[str, str] | None = None, id_option: str | None = None) -> list[StreamingQuery]:
-    """The reference's three sinks on one result (ST14): optional console
-    preview (update), the index, and the Parquet history (append). The index
-    is a connector if ``index_format`` is given, else a folder of documents;
-    it gets a keyed upsert of running values when ``doc_id_df`` (the result
-    with a ``doc_id`` column) is given, else closed windows. One checkpoint
-    each."""
-    started = []
-    if preview:
-        started.append(console(df, "update", trigger, f"{root}/checkpoints/console"))
-    at = f"{root}/checkpoints/documents"
-    if index_format and doc_id_df is not None:
-        started.append(index(doc_id_df, at, index_format, index_options, id_option, "update", trigger))
-    elif index_format:
-        started.append(index(df, at, index_format, index_options, None, "append", trigger))
-    elif doc_id_df is not None:
-        started.append(upsert(doc_id_df, f"{root}/documents", at, trigger=trigger))
+    """The reference's three sinks on one result (ST14), from one query: source,
+    join and state are computed once. ``keys`` are the result's group columns beside the window.
+
+    The query runs in update mode. Each micro-batch is written to the shared folder once and then
+    goes to every sink: the optional preview, the history of closed windows
+    (``<root>/history``), and the documents: running values by id where ``doc_id`` adds that
+    column, else closed windows; into a connector if
+    ``index_format`` is given, else into ``<root>/documents``. Each sink has its own commit record for
+    a batch, so after a failure between two sinks the replayed batch reaches only those it had not reached."""
+    spark, checkpoint = df.sparkSession, f"{root}/checkpoints/results"
+    windows = WindowHistory(spark, f"{root}/history", f"{root}/_open", keys)
+    if index_format:
+        ledger = Versions(spark, f"{root}/checkpoints/index_ledger")
+        documents = once(ledger, index_writer(index_format, index_options, id_option if doc_id else None))
+    elif doc_id:
+        documents = DocumentStore(spark, f"{root}/documents").merge
     else:
-        started.append(append_batches(df, f"{root}/documents", at, trigger))
-    started.append(append_files(df, f"{root}/history", f"{root}/checkpoints/history", trigger=trigger))
-    return started
+        documents = batch_folders(f"{root}/documents")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        aside = f"{root}/_batches"
+        name = f"batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        batch.write.parquet(f"{aside}/{name}")
+        updates = spark.read.schema(batch.schema).parquet(f"{aside}/{name}")
+        if preview:
+            updates.show(truncate=False)
+        closed = windows.advance(updates, batch_id, batch_watermark(spark, checkpoint, batch_id))
+        documents(doc_id(updates) if doc_id else closed, batch_id)
+        Folder(spark, aside).remove(name)
+
+    return [_each_batch(df, "update", checkpoint, write, trigger)]
 
 
 def run_all(queries: list[StreamingQuery], poll_seconds: float = 0.5) -> None:

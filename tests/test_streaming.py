@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cinelake.sources import fixtures as fx
 from cinelake import replay
 from cinelake.streaming import io, messages, windows
+from cinelake.streaming.documents import DocumentStore
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,16 +80,48 @@ def test_restart_without_new_data_changes_nothing(spark):
     assert sorted(map(tuple, spark.read.parquet(r.out).collect())) == rows
 
 
+def _docs(spark, store):
+    return sorted((r.doc_id, r.v) for r in store.read().collect())
+
+
 def test_upsert_batch_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "docs")
-    write = io.upsert_batches(path)
+    store = DocumentStore(spark, str(tmp_path / "docs"), order=("batch_id",))
     batch = spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int")
-    write(batch, 0)
-    write(batch, 0)  # replayed after a failure
-    write(spark.createDataFrame([("a", 5)], "doc_id string, v int"), 1)
-    assert spark.read.parquet(path).count() == 3
-    latest = io.latest_documents(spark, path, order=("batch_id",))
-    assert sorted((r.doc_id, r.v) for r in latest.collect()) == [("a", 5), ("b", 2)]
+    store.merge(batch, 0)
+    store.merge(spark.createDataFrame([("a", 9)], "doc_id string, v int"), 0)  # committed: a replay changes nothing
+    assert _docs(spark, store) == [("a", 1), ("b", 2)]
+    store.merge(spark.createDataFrame([("a", 5)], "doc_id string, v int"), 1)
+    store.merge(spark.createDataFrame([], "doc_id string, v int"), 2)
+    assert _docs(spark, store) == [("a", 5), ("b", 2)]
+    assert [tuple(r) for r in io.latest_documents(spark, store.path, ("batch_id",)).select("doc_id", "v").orderBy("v").collect()] == [
+        ("b", 2), ("a", 5)]
+
+
+def test_document_store_stays_bounded(spark, tmp_path):
+    """Files do not grow with the number of batches; values are those of plain upserts."""
+    store = DocumentStore(spark, str(tmp_path / "docs"), order=("batch_id",), buckets=4)
+    want, files = {}, []
+    for n in range(6):
+        rows = [(f"d{k}", 100 * n + k) for k in range(n, n + 20)]
+        want.update(rows)
+        store.merge(spark.createDataFrame(rows, "doc_id string, v int"), n)
+        assert dict(_docs(spark, store)) == want
+        files.append(len(list(tmp_path.glob("docs/**/part-*.parquet"))))
+    assert max(files[1:]) <= 2 * 4 and len(list(tmp_path.glob("docs/_commits/0*"))) == 2
+
+
+def test_a_batch_lost_half_way_leaves_the_last_commit(spark, tmp_path, monkeypatch):
+    store = DocumentStore(spark, str(tmp_path / "docs"), order=("batch_id",), buckets=2)
+    store.merge(spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int"), 0)
+    late = spark.createDataFrame([("a", 3), ("c", 4)], "doc_id string, v int")
+    with monkeypatch.context() as m:
+        m.setattr(store.versions, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.merge(late, 1)
+    assert _docs(spark, store) == [("a", 1), ("b", 2)]
+    store.merge(late, 1)
+    assert _docs(spark, store) == [("a", 3), ("b", 2), ("c", 4)]
+    assert len(list(tmp_path.glob("docs/v=*"))) <= 2  # what the lost batch wrote is removed
 
 
 def test_unrated_group_counts_zero(spark):
@@ -110,10 +143,57 @@ def test_save_all_three_sinks(spark, tmp_path):
     r.publish()
     result = windows.director_counts(r.events(), r.movies)
     root = str(tmp_path / "t3")
-    io.run_all(io.save_all(result, root, doc_id_df=windows.with_doc_id(result, "director_name")))
+    started = io.save_all(result, root, ["director_name"], lambda df: windows.with_doc_id(df, "director_name"))
+    io.run_all(started)
+    assert len(started) == 1 and len(started[0].lastProgress["sources"]) == 1
     history = spark.read.parquet(f"{root}/history").count()
     docs = io.latest_documents(spark, f"{root}/documents").count()
     assert history > 0 and 0 < docs <= history
+    assert not list(tmp_path.glob("t3/_batches/*"))
+
+
+def _save(spark, r, root, fail=None):
+    result = windows.director_counts(r.events(), r.movies)
+    if fail is None:
+        io.run_all(io.save_all(result, root, ["director_name"], lambda df: windows.with_doc_id(df, "director_name")))
+    else:
+        with pytest.raises(Exception, match="sink is gone"):
+            io.run_all(io.save_all(result, root, ["director_name"], fail))
+
+
+def _saved(spark, root):
+    history = windows.flatten_window(spark.read.parquet(f"{root}/history").drop("batch_id"))
+    docs = windows.flatten_window(io.latest_documents(spark, f"{root}/documents").drop("batch_id", "window_end"))
+    return [sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr) for df in (history, docs)]
+
+
+def test_restart_after_a_failure_between_two_sinks(spark, tmp_path):
+    """The batch has reached the history when its second sink fails; after restarts the
+    sinks hold what an undisturbed run leaves, and what the append mode writes."""
+    first, second = replay.halves(spark, SF)
+    calm, broken = replay.Replay(spark, SF, "calm"), replay.Replay(spark, SF, "broken")
+    for r, root in ((calm, str(tmp_path / "calm")), (broken, str(tmp_path / "broken"))):
+        for where in (first, second):
+            r.publish(where)
+            if r is broken:
+                _save(spark, r, root, lambda df: (_ for _ in ()).throw(RuntimeError("sink is gone")))
+            _save(spark, r, root)
+    assert _saved(spark, str(tmp_path / "calm")) == _saved(spark, str(tmp_path / "broken"))
+    static = _static_closed(spark, windows.director_counts, 60)
+    assert _saved(spark, str(tmp_path / "calm"))[0] == sorted(map(tuple, static.select(sorted(static.columns)).collect()), key=repr)
+
+
+def test_a_replayed_batch_adds_no_row_to_an_index_without_ids(spark, tmp_path):
+    r = replay.Replay(spark, SF, "ledger")
+    r.publish()
+    run = lambda: io.run_all([io.index(windows.director_counts(r.events(), r.movies), str(tmp_path / "c"), "parquet",
+                                       {"path": str(tmp_path / "index")}, mode="append")])
+    run()
+    rows = spark.read.parquet(str(tmp_path / "index")).count()
+    for commit in sorted((tmp_path / "c" / "commits").glob("[0-9]*"))[-2:] + sorted((tmp_path / "c" / "commits").glob(".[0-9]*"))[-2:]:
+        commit.unlink()  # as if the driver was lost after the connector's write
+    run()
+    assert rows > 0 and spark.read.parquet(str(tmp_path / "index")).count() == rows
 
 
 def test_send_time_stamp(spark):
@@ -216,30 +296,3 @@ def test_index_sink_upserts_by_id_with_connector_options(spark, tmp_path):
     io.run_all([io.index(result, str(tmp_path / "c"), "parquet", {"path": str(tmp_path / "index")})])
     got = spark.read.parquet(str(tmp_path / "index"))
     assert got.where("doc_id is null").count() == 0 and got.count() > 0
-
-
-def test_half_written_snapshot_is_not_used(spark, tmp_path):
-    path = str(tmp_path / "docs")
-    write = io.upsert_batches(path)
-    write(spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int"), 0)
-    write(spark.createDataFrame([("a", 3)], "doc_id string, v int"), 1)
-    lost = tmp_path / "docs" / io.SNAPSHOTS / "upto=1"
-    lost.mkdir(parents=True)  # a job lost before it committed
-    latest = io.latest_documents(spark, path, order=("batch_id",))
-    assert sorted((r.doc_id, r.v) for r in latest.collect()) == [("a", 3), ("b", 2)]
-    assert io.compact_documents(spark, path, order=("batch_id",)) == 1
-    assert sorted((r.doc_id, r.v) for r in io.latest_documents(spark, path, order=("batch_id",)).collect()) == [("a", 3), ("b", 2)]
-
-
-def test_compacted_upsert_reads_match(spark, tmp_path):
-    path = str(tmp_path / "docs")
-    write = io.upsert_batches(path)
-    write(spark.createDataFrame([("a", 1), ("b", 2)], "doc_id string, v int"), 0)
-    write(spark.createDataFrame([("a", 3)], "doc_id string, v int"), 1)
-    assert io.compact_documents(spark, path, order=("batch_id",)) == 1
-    assert io.compact_documents(spark, path, order=("batch_id",)) == 1  # retried: same snapshot
-    write(spark.createDataFrame([("b", 4), ("c", 5)], "doc_id string, v int"), 2)
-    latest = io.latest_documents(spark, path, order=("batch_id",))
-    assert sorted((r.doc_id, r.v) for r in latest.collect()) == [("a", 3), ("b", 4), ("c", 5)]
-    # history readers do not see the snapshot folder
-    assert spark.read.parquet(path).count() == 5
