@@ -8,6 +8,8 @@ a written transform zone (``write_zone``), as a deployment's jobs do.
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cinelake import params as P
 from cinelake import replay
-from cinelake.plans import batch, curated, prep
+from cinelake.plans import batch, curated, prep, sketches
 from cinelake.session import fresh_path, tune
 from cinelake.sources import fixtures as fx
 from cinelake.sources import schemas, zones
@@ -81,6 +83,16 @@ def write_zone(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
     return movies, reviews
 
 
+def _sketched(spark: SparkSession, d: str) -> DataFrame:
+    """B2 from a written table of sketches alone."""
+    path = fresh_path(spark, "sketches")
+    sketches.write_rotten_sketches(*_mr(spark, d), path)
+    return sketches.rotten_genres(spark.read.parquet(path))
+
+
+BATCH["b02_rotten_genres_sketch"] = _sketched
+
+
 # Raw tables: fixture view, declared schema.
 RAW = {
     "movies": (fx.raw_movies, schemas.RAW_MOVIES), "reviews": (fx.raw_reviews, schemas.RAW_REVIEWS),
@@ -162,6 +174,15 @@ def _zone_years(spark: SparkSession, d: str) -> DataFrame:
     return picked.groupBy("creationDate", "scoreSentiment").agg(F.count(F.lit(1)).alias("reviews"))
 
 
+def _rejected(spark: SparkSession, d: str) -> DataFrame:
+    """The quarantine that the E3 job leaves beside the zone."""
+    root = _land(spark, d, "mapper", "movies_imdb")
+    zones.land({"movies": fx.flawed_movies(spark, d)}, root, "csv")
+    prep.run_conform_movies(spark, root, f"{root}-zone", quarantine=f"{root}-quarantine")
+    return zones.read_table(spark, f"{root}-quarantine").select(
+        F.get_json_object("row", "$.id").alias("id"), "column", "value")
+
+
 ETL: dict[str, Query] = {
     "e01_land_raw_movies": _landed("movies"),
     **{f"e01_land_raw_{name}": _landed(name) for name in RAW if name != "movies"},
@@ -174,6 +195,7 @@ ETL: dict[str, Query] = {
     "e08_chain_top_genre_per_year": _chain("b01_top_genre_per_year"),
     "e09_chain_certified_titles": _chain("b08_certified_titles"),
     "e10_send_time_messages": _sent_now,
+    "e11_rejected_values": _rejected,
 }
 
 
@@ -194,9 +216,19 @@ def _two_sinks(spark: SparkSession, d: str) -> DataFrame:
         spark.read.parquet(f"{root}/index").withColumn("sink", F.lit("index")))
 
 
+def _previewed(spark: SparkSession, d: str) -> DataFrame:
+    """What the preview of a result prints (S11), as text columns."""
+    result = BATCH["b08_certified_titles"](spark, d)
+    with contextlib.redirect_stdout(io.StringIO()) as shown:
+        zones.preview(result)
+    return spark.createDataFrame(replay.printed(shown.getvalue(), result.columns),
+                                 ", ".join(f"{c} string" for c in result.columns))
+
+
 CURATED: dict[str, Query] = {
     "c01_curated_json": _curated,
     "c02_two_sinks": _two_sinks,
+    "c03_preview": _previewed,
 }
 
 
@@ -238,6 +270,22 @@ def _sinks(spark: SparkSession, d: str) -> DataFrame:
     return replay.run_sinks(spark, d, windows.director_counts, "director_name", "t12")
 
 
+def _live_state(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    first, second = replay.halves(spark, d)
+    return replay.run_live_state(spark, d, lambda ev, mv: windows.film_counts(ev), "t13", slices=(first, second, first))
+
+
+def _diverted(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return replay.run_diverted(spark, d, "t14")
+
+
+def _live_preview(spark: SparkSession, d: str) -> DataFrame:
+    tune(spark)
+    return replay.run_previewed(spark, d, windows.director_counts, ["director_name"], "t15")
+
+
 STREAM: dict[str, Query] = {
     "t01_film_counts": _stream(lambda ev, mv: windows.film_counts(ev), "t01"),
     "t02_genre_language_rating": _stream(windows.genre_language_rating, "t02"),
@@ -251,6 +299,9 @@ STREAM: dict[str, Query] = {
     "t10_latest_by_writer": _upsert(windows.writer_ratings, "writer_name", "t10"),
     "t11_appended_batches": _appended,
     "t12_three_sinks": _sinks,
+    "t13_live_state": _live_state,
+    "t14_dead_letters": _diverted,
+    "t15_live_preview": _live_preview,
 }
 
 

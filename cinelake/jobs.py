@@ -6,6 +6,7 @@
     spark-submit -m cinelake.jobs flatten --raw RAW --out DATA/streaming/reviews
     spark-submit -m cinelake.jobs publish --flat DATA/streaming/reviews --movies T/movies
                                             --topic DIR|--kafka-servers H --kafka-topic T
+    spark-submit -m cinelake.jobs divert --topic DIR --events DIR --dead-letters T --checkpoint C
     spark-submit -m cinelake.jobs stream t2 --topic DIR|--kafka-servers H --subscribe T
                                             --movies T/movies --out O [--append]
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cinelake.plans import batch, curated, prep
 from cinelake.session import tune
 from cinelake.sources import schemas, zones
-from cinelake.streaming import io, messages, windows
+from cinelake.streaming import hot, io, messages, windows
 
 BatchFn = Callable[[DataFrame, DataFrame, argparse.Namespace], dict[str, DataFrame]]
 
@@ -140,26 +141,42 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     io.publish(messages.encode(known, stamp_send_time=not args.event_time, partitions=args.partitions), _topic(args))
 
 
+def run_divert(spark: SparkSession, args: argparse.Namespace) -> list:
+    """Messages that hold no event, with the reason, to a table; the others on to a folder topic."""
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
+    started = [io.divert(io.subscribe(spark, _topic(args)), args.events, args.dead_letters, args.checkpoint, trigger)]
+    io.run_all(started)
+    return started
+
+
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> list:
     topic = _topic(args)
     limit = {}
     if args.max_per_trigger:
         name = "maxOffsetsPerTrigger" if topic.fmt == "kafka" else "maxFilesPerTrigger"
         limit[name] = str(args.max_per_trigger)
-    events = messages.decode(io.subscribe(spark, topic, limit))
     movies = _source(spark, args.movies, args.format, schemas.MOVIES)
     if args.dimension_partitions:
         movies = windows.prepare_movies(movies, args.dimension_partitions)
     build, doc_kind, keys = STREAM[args.question]
-    hot = windows.HotFilms(tuple(args.hot_film)) if args.hot_film and args.question != "t1" else None
-    result = build(events, movies, hot=hot) if hot else build(events, movies)
+    if args.doc_ids and not doc_kind:
+        raise ValueError(f"{args.question} has no document ids")
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
     doc_id = (lambda df: windows.with_doc_id(df, doc_kind)) if doc_kind and not args.append else None
-    started = io.save_all(result, args.out, keys, doc_id, preview=args.show, trigger=trigger,
-                          index_format=args.index_format, index_options=_options(args.index_option),
-                          id_option=args.index_id_option)
-    io.run_all(started)
-    return started
+    watch = hot.HotFilmWatch(spark, f"{args.out}/checkpoints/hot_films", args.hot_share, known=args.hot_film or ())
+
+    def start(salted: windows.HotFilms | None) -> list:
+        events = watch.watched(messages.decode(io.subscribe(spark, topic, limit)))
+        result = build(events, movies) if args.question == "t1" else build(events, movies, hot=salted)
+        return io.save_all(result, args.out, keys, doc_id, preview=args.show, trigger=trigger,
+                           index_format=args.index_format, index_options=_options(args.index_option),
+                           id_option=args.index_id_option)
+
+    if args.question == "t1":  # joins nothing
+        started = start(None)
+        io.run_all(started)
+        return started
+    return hot.run_watched(start, watch)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -177,6 +194,8 @@ def parser() -> argparse.ArgumentParser:
         if name == "clean-reviews":
             s.add_argument("--extra-columns", choices=("error", "keep", "drop"), default="error",
                            help="what becomes of raw columns that are not declared")
+        if name != "flatten":
+            s.add_argument("--quarantine", help="table for values that their declared type cannot hold")
         if name == "conform-movies":
             s.add_argument("--extra-columns", choices=("error", "keep", "drop"), default="error",
                            help="what becomes of raw columns that are not declared")
@@ -207,6 +226,16 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--event-time", action="store_true", help="send the row's own time instead of the send time")
     w.add_argument("--partitions", type=int, help="spread the rows over so many tasks first")
 
+    d = sub.add_parser("divert", help="messages that hold no event to a table, the others to a folder topic")
+    d.add_argument("--topic", help="folder of key/value parquet files")
+    d.add_argument("--kafka-servers")
+    d.add_argument("--subscribe", default=DEFAULT_TOPIC)
+    d.add_argument("--events", required=True, help="folder topic that jobs stream can read")
+    d.add_argument("--dead-letters", required=True)
+    d.add_argument("--checkpoint", required=True)
+    d.add_argument("--once", action="store_true")
+    d.add_argument("--every", default="30 seconds")
+
     s = sub.add_parser("stream", help="one stream question (T1-T5)")
     s.add_argument("question", choices=sorted(STREAM))
     s.add_argument("--topic", help="folder of key/value parquet files")
@@ -215,12 +244,15 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--movies", required=True)
     s.add_argument("--format", default="parquet")
     s.add_argument("--out", required=True, help="root for history, documents and checkpoints")
-    s.add_argument("--append", action="store_true", help="append closed windows instead of upserting by id")
+    ids = s.add_mutually_exclusive_group()
+    ids.add_argument("--append", action="store_true", help="append closed windows instead of upserting by id")
+    ids.add_argument("--doc-ids", action="store_true", help="upsert by id (the default where a question has ids)")
     s.add_argument("--index-format", help="connector that takes the documents instead of a folder")
     s.add_argument("--index-option", action="append")
     s.add_argument("--index-id-option", help="the connector's option that names the id column")
     s.add_argument("--hot-film", type=int, action="append",
-                   help="imdb id of a film with very many events: its join is salted")
+                   help="imdb id of a film known to have very many events (others are found in the stream)")
+    s.add_argument("--hot-share", type=float, default=0.01, help="share of the events that makes a film hot")
     s.add_argument("--once", action="store_true")
     s.add_argument("--every", default="30 seconds")
     s.add_argument("--show", action="store_true")
@@ -240,16 +272,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         sources = _options(args.source)
         zones.land({n: zones.read_table(spark, p, "csv") for n, p in sources.items()}, args.raw)
     elif args.command == "clean-reviews":
-        prep.run_clean_reviews(spark, args.raw, args.out, extra=args.extra_columns)
+        prep.run_clean_reviews(spark, args.raw, args.out, extra=args.extra_columns, quarantine=args.quarantine)
     elif args.command == "conform-movies":
         prep.run_conform_movies(spark, args.raw, args.out, dedupe_on_title=args.dedupe_on_title,
-                                extra=args.extra_columns).show()
+                                extra=args.extra_columns, quarantine=args.quarantine).show()
     elif args.command == "flatten":
         prep.run_flatten_stream_input(spark, args.raw, args.out)
     elif args.command == "publish":
         run_publish(spark, args)
     elif args.command == "batch":
         run_batch(spark, args)
+    elif args.command == "divert":
+        run_divert(spark, args)
     elif args.command == "stream":
         run_stream(spark, args)
 

@@ -175,6 +175,9 @@ BATCH["b07_genre_scores"] = _genre_scores("string_split(genre, ',')")
 BATCH["b07_genre_scores_clean"] = _genre_scores(
     rf"list_filter(list_transform({_split('genre')}, lambda x: trim(x)), lambda x: x <> '')")
 
+# Sketches of so few films are exact.
+BATCH["b02_rotten_genres_sketch"] = BATCH["b02_rotten_genres"]
+
 BATCH["b08_certified_films"] = _with(MOVIES, REVIEWS, CERTIFIED) + """
 SELECT c.movie_id, c.positive_reviews, c.top_critic_reviews, c.total_reviews, m.* EXCLUDE (movie_id)
 FROM certified c JOIN movies m ON c.movie_id = m.movie_id"""
@@ -339,6 +342,11 @@ SELECT CAST(userId AS VARCHAR) || '_' || CAST(movieId AS VARCHAR) || '_'
 FROM flat f WHERE EXISTS (SELECT 1 FROM movies m WHERE m.imdb_id IS NOT DISTINCT FROM f.imdbId)""",
 }
 
+ETL["e11_rejected_values"] = _with(MOVIES_TEXT, RAW_MOVIES) + """
+SELECT id, 'audienceScore' AS "column", 'n/a' AS value FROM raw_movies WHERE CAST(id AS BIGINT) % 9 = 0
+UNION ALL SELECT id, 'tomatoMeter', '9 of 10' FROM raw_movies WHERE CAST(id AS BIGINT) % 12 = 0
+UNION ALL SELECT id, 'releaseDateTheaters', '2020-02-31' FROM raw_movies WHERE CAST(id AS BIGINT) % 15 = 0"""
+
 # Streams --------------------------------------------------------------------
 # Event time travels as whole seconds. Windows align to the epoch; a sliding
 # window of size s and slide d starts at bucket(d) - k*d for k < s/d. Append
@@ -450,6 +458,18 @@ SELECT writer_name AS doc_id, {_window_cols('2 minutes')}, writer_name, review_c
 
 
 STREAM["t11_appended_batches"] = STREAM["t03_director_counts"]
+# After the replay the state holds the windows that the watermark has not passed.
+STREAM["t13_live_state"] = T01.replace(f"WHERE {_closed('1 minute', '1 minute')}", f"WHERE NOT ({_closed('1 minute', '1 minute')})")
+STREAM["t14_dead_letters"] = """
+SELECT CASE event_id % 50 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'no event time' WHEN 2 THEN 'no event time' ELSE 'event' END
+  AS reason, count(*) AS messages FROM events GROUP BY ALL"""
+# The first rows of the one batch, as text; cells are printed without outer spaces.
+STREAM["t15_live_preview"] = _with(MOVIES, EVENTS, f"""
+j AS (SELECT {_bucket('1 minute')} AS ws, unnest(string_split(m.director, ',')) AS director_name
+      FROM ev JOIN movies m ON ev.imdbId = m.imdb_id),
+c AS (SELECT ws, director_name, count(*) AS count FROM j GROUP BY ws, director_name ORDER BY ws, director_name LIMIT 20)""") + """
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL '1 minute', '%Y-%m-%d %H:%M:%S') AS window_end,
+  trim(director_name) AS director_name, CAST(count AS VARCHAR) AS count FROM c"""
 STREAM["t12_three_sinks"] = f"""
 SELECT window_start, window_end, director_name, count, 'history' AS sink FROM ({STREAM["t03_director_counts"]})
 UNION ALL
@@ -459,6 +479,8 @@ CURATED = {
     "c01_curated_json": BATCH["b01_top_genre_per_year"],
     "c02_two_sinks": f"""
 SELECT *, unnest(['json', 'index']) AS sink FROM ({BATCH["b09_writer_positive"]})""",
+    "c03_preview": f"""
+SELECT trim(title) AS title, CAST(total_reviews AS VARCHAR) AS total_reviews FROM ({BATCH["b08_certified_titles"]})""",
 }
 
 

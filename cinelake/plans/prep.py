@@ -27,6 +27,8 @@ from cinelake.sources import schemas, zones
 REVIEW_TEXT_COLUMNS = ("criticName", "reviewText", "reviewUrl", "publicatioName", "reviewState")
 MOVIE_EXTRA_COLUMNS = ("rating", "ratingContents", "distributor", "soundMix")
 
+REJECTS = "__rejects"  # values of a raw row that its declared types cannot hold
+
 
 # E2 -------------------------------------------------------------------------
 def clean_reviews(raw: DataFrame, key: str = "reviewId") -> DataFrame:
@@ -45,10 +47,14 @@ def clean_reviews(raw: DataFrame, key: str = "reviewId") -> DataFrame:
 
 
 def run_clean_reviews(spark: SparkSession, raw_path: str, out_path: str, fmt: str = "parquet",
-                      extra: str = "error") -> None:
-    """Raw reviews -> transform zone, partitioned by review year."""
-    raw = zones.read_table(spark, raw_path, "csv", schemas.RAW_REVIEWS, extra=extra, optional=("reviewId",))
+                      extra: str = "error", quarantine: str | None = None) -> int:
+    """Raw reviews -> transform zone, partitioned by review year (S7). Returns the
+    number of values that no declared type could hold; they go to ``quarantine``."""
+    raw = zones.read_table(spark, raw_path, "csv", schemas.RAW_REVIEWS, extra=extra, optional=("reviewId",),
+                           rejects=REJECTS)
+    raw, rejected, seen = zones.split_rejects(raw, REJECTS)
     zones.write_table(clean_reviews(raw), out_path, fmt, partition_by=["creationDate"])
+    return zones.write_quarantine(rejected, seen, quarantine)
 
 
 # E3 -------------------------------------------------------------------------
@@ -78,13 +84,16 @@ def conform_movies(raw: DataFrame, mapper: DataFrame, imdb: DataFrame,
 
 
 def run_conform_movies(spark: SparkSession, raw_root: str, out_path: str, fmt: str = "parquet",
-                       dedupe_on_title: bool = False, extra: str = "error") -> DataFrame:
+                       dedupe_on_title: bool = False, extra: str = "error", quarantine: str | None = None) -> DataFrame:
     """Raw movies + id lists -> transform-zone movies; returns the coverage
-    report (E4) computed from the written table, not a second pass."""
-    raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES, extra=extra)
+    report (E4) computed from the written table, not a second pass. Movie values that no
+    declared type can hold go to ``quarantine``."""
+    raw = zones.read_table(spark, f"{raw_root}/movies", "csv", schemas.RAW_MOVIES, extra=extra, rejects=REJECTS)
+    raw, rejected, seen = zones.split_rejects(raw, REJECTS)
     mapper = zones.read_table(spark, f"{raw_root}/mapper", "csv", schemas.MAPPER, extra="drop")
     imdb = zones.read_table(spark, f"{raw_root}/movies_imdb", "csv", schemas.IMDB, extra="drop")
     zones.write_table(conform_movies(raw, mapper, imdb, dedupe_on_title=dedupe_on_title), out_path, fmt)
+    zones.write_quarantine(rejected, seen, quarantine)
     return id_coverage(zones.read_table(spark, out_path, fmt))
 
 

@@ -10,6 +10,8 @@ late-data (ST9) and upsert checks use several slices).
 
 from __future__ import annotations
 
+import contextlib
+import io as text
 import time
 from collections.abc import Callable, Sequence
 
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from cinelake.session import fresh_path
 from cinelake.sources import fixtures as fx
 from cinelake.streaming import io
-from cinelake.streaming.messages import decode, encode
+from cinelake.streaming.messages import PAYLOAD_FIELDS, decode, encode
 from cinelake.streaming.windows import EVENT_TIME, flatten_window, with_doc_id
 
 #: Seconds spent publishing so far (the bench reports them apart).
@@ -122,3 +124,56 @@ def run_appended(spark: SparkSession, sf_dir: str, build: Builder, name: str) ->
     replay.publish()
     io.run_all([io.append_batches(build(replay.events(), replay.movies), replay.out, replay.checkpoint)])
     return flatten_window(spark.read.parquet(replay.out).drop("batch_id"))
+
+
+def run_live_state(spark: SparkSession, sf_dir: str, build: Builder, name: str,
+                   slices: Sequence[Column | None] = (None,)) -> DataFrame:
+    """Publish and drain the slices; what the state store then holds (ST9): one row
+    a live group, keys and values flattened."""
+    replay = Replay(spark, sf_dir, name)
+    for where in slices:
+        replay.publish(where)
+        replay.drain(build)
+    state = spark.read.format("statestore").load(replay.checkpoint)
+    return flatten_window(state.select("key.*", "value.*"))
+
+
+def flawed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review events as messages, every 50th cut off, the next one with a time that
+    cannot be read, the one after without a time."""
+    events = fx.stream_reviews(spark, sf_dir)
+    turn = F.col("event_id") % 50
+    text = F.col("value").cast("string")
+    cut = encode(events.where(turn == 0)).withColumn("value", F.encode(F.substring(text, 1, 20), "UTF-8"))
+    soon = encode(events.where(turn == 1)).withColumn(
+        "value", F.encode(F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'), "UTF-8"))
+    timeless = encode(events.where(turn == 2), fields=[f for f in PAYLOAD_FIELDS if f != EVENT_TIME])
+    return encode(events.where(turn > 2)).unionByName(cut).unionByName(soon).unionByName(timeless)
+
+
+def run_diverted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Messages by what became of them: dead letters by reason, events by the topic they went on to."""
+    replay = Replay(spark, sf_dir, name)
+    io.publish(flawed_messages(spark, sf_dir), replay.topic)
+    events, dead = f"{replay.out}/events", f"{replay.out}/dead"
+    io.run_all([io.divert(io.subscribe(spark, replay.topic), events, dead, replay.checkpoint)])
+    passed = decode(spark.read.option("recursiveFileLookup", "true").parquet(events)).where(F.col(EVENT_TIME).isNotNull())
+    return spark.read.parquet(dead).groupBy("reason").agg(F.count(F.lit(1)).alias("messages")).unionByName(
+        passed.agg(F.lit("event").alias("reason"), F.count(F.lit(1)).alias("messages")))
+
+
+def printed(text: str, columns: Sequence[str]) -> list[tuple[str, ...]]:
+    """Cells of printed tables, headers and borders left out."""
+    rows = [tuple(cell.strip() for cell in line.strip("|").split("|")) for line in text.splitlines() if line.startswith("|")]
+    return [r for r in rows if r != tuple(columns)]
+
+
+def run_previewed(spark: SparkSession, sf_dir: str, build: Builder, keys: Sequence[str], name: str) -> DataFrame:
+    """What the preview sink of a stream has printed (S12), as text columns."""
+    replay = Replay(spark, sf_dir, name)
+    replay.publish()
+    result = build(replay.events(), replay.movies)
+    columns = flatten_window(result).columns
+    with contextlib.redirect_stdout(text.StringIO()) as shown:
+        io.run_all(io.save_all(result, replay.out, keys, preview=True))
+    return spark.createDataFrame(printed(shown.getvalue(), columns), ", ".join(f"{c} string" for c in columns))

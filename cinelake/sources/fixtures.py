@@ -182,3 +182,15 @@ def stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Film "), k).alias("title"),
         F.when(F.col("event_type") != "error", (F.col("event_id") % 11).cast("double") / 2).alias("rating"),
     )
+
+
+def flawed_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw movies with values that their declared types cannot hold: numbers in words,
+    fractions that are no number, dates of no calendar. Blank and missing values are no such values."""
+    key = F.col("id").cast("long")
+    return raw_movies(spark, sf_dir).withColumns({
+        "audienceScore": F.when(key % 9 == 0, F.lit("n/a")).when(key % 9 == 1, F.lit(" "))
+                          .otherwise(_s(F.col("audienceScore"))),
+        "tomatoMeter": F.when(key % 12 == 0, F.lit("9 of 10")).otherwise(_s(F.col("tomatoMeter"))),
+        "releaseDateTheaters": F.when(key % 15 == 0, F.lit("2020-02-31")).otherwise(_s(F.col("releaseDateTheaters"))),
+    })

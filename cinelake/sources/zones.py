@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType, TimestampType
 
@@ -23,7 +23,7 @@ _CSV = {"header": "true", "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ss
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: StructType | None = None, options: Mapping[str, str] | None = None,
-               extra: str = "error", optional: Sequence[str] = ()) -> DataFrame:
+               extra: str = "error", optional: Sequence[str] = (), rejects: str | None = None) -> DataFrame:
     """Scan a zone table (S1 S2 S3; P1 projections follow in the plans).
     Partition directories (``creationDate=2020``) become a column and filters
     on it prune directories.
@@ -33,7 +33,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     that the header lacks is an error unless it is ``optional`` (it is then
     left out). ``extra`` says what becomes of undeclared columns: "error",
     "keep" (as text) or "drop". Files of one folder whose headers differ are
-    an error."""
+    an error. A value that its declared type cannot hold becomes null; ``rejects``
+    names a further column that lists such values of the row (see ``split_rejects``)."""
     reader = spark.read.format(fmt)
     given = {**(_CSV if fmt in _TEXT_FORMATS else {}), **(options or {})}
     for k, v in given.items():
@@ -44,10 +45,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     text = StructType([StructField(f.name, StringType() if f.name in {x.name for x in schema or found} else f.dataType)
                        for f in found])
     table = reader.option("enforceSchema", "false").schema(text).load(path)
-    return table if schema is None else _by_name(table, schema, extra, optional)
+    return table if schema is None else _by_name(table, schema, extra, optional, rejects)
 
 
-def _by_name(table: DataFrame, schema: StructType, extra: str, optional: Sequence[str]) -> DataFrame:
+def _by_name(table: DataFrame, schema: StructType, extra: str, optional: Sequence[str],
+             rejects: str | None) -> DataFrame:
     """Text columns of a CSV table as the declared columns."""
     names = [f.name for f in schema]
     missing = [n for n in names if n not in table.columns and n not in optional]
@@ -55,7 +57,39 @@ def _by_name(table: DataFrame, schema: StructType, extra: str, optional: Sequenc
     if missing or (unknown and extra == "error"):
         raise ValueError(f"CSV header: missing columns {missing}, undeclared columns {unknown}; found {table.columns}")
     declared = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema if f.name in table.columns]
-    return table.select(*declared, *[F.col(f"`{n}`") for n in unknown if extra == "keep"])
+    lost = [_rejected(table, schema).alias(rejects)] if rejects else []
+    return table.select(*declared, *[F.col(f"`{n}`") for n in unknown if extra == "keep"], *lost)
+
+
+_REJECTS = "array<struct<row:string,column:string,value:string>>"
+
+
+def _rejected(table: DataFrame, schema: StructType) -> Column:
+    """The row's values that do not fit: the whole row as JSON, column, text."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]))
+    found = [F.when((F.trim(text) != "") & _typed(text, f.dataType).isNull(),
+                    F.struct(row.alias("row"), F.lit(f.name).alias("column"), text.alias("value")))
+             for f in schema if f.name in table.columns and not isinstance(f.dataType, StringType)
+             for text in [F.col(f"`{f.name}`")]]
+    return F.filter(F.array(*found), lambda r: r.isNotNull()) if found else F.lit(None).cast(_REJECTS)
+
+
+def split_rejects(table: DataFrame, rejects: str) -> tuple[DataFrame, DataFrame, Observation]:
+    """A table read with ``rejects``: the clean table, its quarantine rows (row, column,
+    value), and an observation whose ``rejected`` counts the latter while the table is written, so that
+    the quarantine, a second pass, is written only where there is something to write."""
+    seen = Observation()
+    clean = table.observe(seen, F.coalesce(F.sum(F.size(rejects)), F.lit(0)).alias("rejected")).drop(rejects)
+    return clean, table.select(F.explode(rejects).alias("r")).select("r.*"), seen
+
+
+def write_quarantine(rejected: DataFrame, seen: Observation, path: str | None) -> int:
+    """After the clean table is written: the quarantine at ``path`` (replaced, also by an empty one). Returns the
+    number of rejected values."""
+    count = int(seen.get["rejected"])
+    if path is not None:
+        write_table(rejected if count else rejected.limit(0), path)
+    return count
 
 
 def _typed(text: Column, kind: DataType) -> Column:

@@ -17,8 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cinelake.sources import zones
 from cinelake.sources.schemas import MESSAGE
 from cinelake.streaming.documents import DocumentStore, Folder, Versions, WindowHistory, batch_watermark, compute
+from cinelake.streaming.messages import triage
+from cinelake.streaming.windows import flatten_window
 
 
 @dataclass
@@ -50,13 +53,34 @@ def subscribe(spark: SparkSession, topic: Topic, options: Mapping[str, str] | No
     """Streaming read of the topic: columns key, value (binary)."""
     reader = spark.readStream.format(topic.fmt)
     if topic.fmt == "parquet":
-        reader = reader.schema(MESSAGE)
+        reader = reader.schema(MESSAGE).option("recursiveFileLookup", "true")
     for k, v in {**topic.options, **topic.read_options, **(options or {})}.items():
         reader = reader.option(k, v)
     df = reader.load(topic.path) if topic.path else reader.load()
     return df.select("key", "value")
 
 
+def divert(messages: DataFrame, events: str, dead_letters: str, checkpoint: str,
+           trigger: Mapping | None = None) -> StreamingQuery:
+    """Splits a topic in one query (ST1 F15): messages that hold an event go on to the folder topic
+    ``events``, the others with their reason to the table ``dead_letters``. Both
+    writes of a micro-batch come from one decoded copy; a replayed batch leaves them as they are."""
+    spark, aside = messages.sparkSession, f"{checkpoint.rstrip('/')}_batches"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        name = f"batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        sorted_out = triage(batch)
+        sorted_out.write.parquet(f"{aside}/{name}")
+        copy = spark.read.schema(sorted_out.schema).parquet(f"{aside}/{name}")
+        batch_folders(dead_letters)(copy.where("reason is not null"), batch_id)
+        there = f"{events}/batch={batch_id}"
+        if "_SUCCESS" not in Folder(spark, there).names():  # else downstream may have read its files
+            copy.where("reason is null").select("key", "value").write.mode("overwrite").parquet(there)
+        Folder(spark, aside).remove(name)
+
+    return _each_batch(messages, "append", checkpoint, write, trigger)
+
+
 # Sinks ------------------------------------------------------------------------
 
 def append_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -175,7 +199,7 @@ def save_all(df: DataFrame, root: str, keys: Sequence[str], doc_id: Callable[[Da
         batch.write.parquet(f"{aside}/{name}")
         updates = spark.read.schema(batch.schema).parquet(f"{aside}/{name}")
         if preview:
-            updates.show(truncate=False)
+            zones.preview(flatten_window(updates.orderBy("window", *keys)))
         closed = windows.advance(updates, batch_id, batch_watermark(spark, checkpoint, batch_id))
         documents(doc_id(updates) if doc_id else closed, batch_id)
         Folder(spark, aside).remove(name)

@@ -51,3 +51,18 @@ def decode(messages: DataFrame, schema: StructType = REVIEW_EVENT, keep_key: boo
     parsed = F.from_json(F.col("value").cast("string"), schema, {"timestampFormat": WIRE_TIME_FORMAT})
     cols = [F.col("key").cast("string").alias("key")] if keep_key else []
     return messages.select(*cols, parsed.alias("m")).select(*([("key")] if keep_key else []), "m.*")
+
+
+# Why a message is a dead letter.
+UNDECODABLE, NO_TIME = "undecodable", "no event time"
+
+
+def triage(messages: DataFrame, schema: StructType = REVIEW_EVENT, time_col: str = "timestamp") -> DataFrame:
+    """Every message with a ``reason``: null for an event that a question can use, else why
+    not: its value is no JSON object, or it has no event time that can be read."""
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, schema, {"timestampFormat": WIRE_TIME_FORMAT})
+    untimed = F.coalesce(parsed.getField(time_col).isNull(), F.lit(True))
+    object_ = F.from_json(text, "map<string,string>").isNotNull()
+    return messages.select("key", "value", F.when(untimed & object_, F.lit(NO_TIME))
+                           .when(untimed, F.lit(UNDECODABLE)).alias("reason"))

@@ -9,6 +9,7 @@ from cinelake.sources import fixtures as fx
 from cinelake import replay
 from cinelake.streaming import io, messages, windows
 from cinelake.streaming.documents import DocumentStore
+from cinelake.streaming.hot import HotFilmWatch, run_watched
 
 SF = "/root/testdata/sf0.001"
 
@@ -296,3 +297,90 @@ def test_index_sink_upserts_by_id_with_connector_options(spark, tmp_path):
     io.run_all([io.index(result, str(tmp_path / "c"), "parquet", {"path": str(tmp_path / "index")})])
     got = spark.read.parquet(str(tmp_path / "index"))
     assert got.where("doc_id is null").count() == 0 and got.count() > 0
+
+
+# -- hot films found in the stream ------------------------------------------------------
+
+def test_counters_fade_and_stay_bounded(spark, tmp_path):
+    watch = HotFilmWatch(spark, str(tmp_path / "hot"), share=0.1)
+    watch.add(0, 1000, {1: 900, **{k: 1 for k in range(100, 200)}})
+    assert watch.hot().ids == (1,) and len(watch.counts) <= watch.slots
+    for n in range(1, 9):
+        watch.add(n, 1000, {2: 500})
+    assert watch.hot().ids == (2,)  # film 1 has faded
+    again = HotFilmWatch(spark, str(tmp_path / "hot"), share=0.1)
+    assert again.hot() == watch.hot() and again.seen == 8 and again.counts == watch.counts
+    assert HotFilmWatch(spark, known=[7]).hot().ids == (7,) and HotFilmWatch(spark).hot() is None
+
+
+def _hot_events(spark, n, hot):
+    """Events of one minute: a third of them one film's, if hot."""
+    base = dt.datetime(2024, 1, 1, 0, n)
+    rows = [(k, 7 if hot and k % 3 == 0 else k % 60, 1.0 + k % 4, base + dt.timedelta(seconds=k % 60)) for k in range(300)]
+    return spark.createDataFrame(rows, "userId int, imdbId int, rating float, timestamp timestamp").selectExpr(
+        "userId", "imdbId as movieId", "rating", "concat('Film ', imdbId) as title", "imdbId", "timestamp")
+
+
+def test_a_film_that_turns_hot_is_salted_from_the_next_batch_on(spark, tmp_path):
+    """No film is named by hand; the result is that of the batch computation."""
+    movies, topic, root = fx.movies(spark, SF), io.Topic(str(tmp_path / "topic")), str(tmp_path / "out")
+    used = []
+    for n in range(5):
+        io.publish(messages.encode(_hot_events(spark, n, n >= 2)), topic)
+        watch = HotFilmWatch(spark, f"{root}/hot", share=0.15, salts=4)
+
+        def start(salted):
+            used.append((n, salted.ids if salted else ()))
+            result = windows.director_counts(watch.watched(messages.decode(io.subscribe(spark, topic))), movies, hot=salted)
+            return io.save_all(result, root, ["director_name"], lambda df: windows.with_doc_id(df, "director_name"))
+
+        run_watched(start, watch)
+    assert [i for n, i in used if n <= 2][:3] == [(), (), ()] and used[-1] == (4, (7,))
+    events = messages.decode(spark.read.parquet(topic.path))
+    cut = events.agg(F.max("timestamp")).first()[0] - dt.timedelta(seconds=60)
+    static = windows.flatten_window(windows.director_counts(events, movies).filter(F.col("window.end") <= F.lit(cut)))
+    assert _saved(spark, root)[0] == sorted(map(tuple, static.select(sorted(static.columns)).collect()), key=repr)
+
+
+def test_a_running_query_is_restarted_with_new_salts(spark, tmp_path):
+    movies, topic, root = fx.movies(spark, SF), io.Topic(str(tmp_path / "topic")), str(tmp_path / "out")
+    for n in range(4):
+        io.publish(messages.encode(_hot_events(spark, n, True)).coalesce(1), topic)
+    watch, used = HotFilmWatch(spark, f"{root}/hot", share=0.15, salts=4), []
+
+    def start(salted):
+        used.append(salted)
+        events = messages.decode(io.subscribe(spark, topic, {"maxFilesPerTrigger": "1"}))
+        return io.save_all(windows.director_counts(watch.watched(events), movies, hot=salted), root, ["director_name"])
+
+    run_watched(start, watch)
+    assert used[0] is None and used[-1].ids == (7,) or len(used) == 1  # one start if the stream ended before the first look
+    history = spark.read.parquet(f"{root}/history")
+    events = messages.decode(spark.read.parquet(topic.path))
+    cut = events.agg(F.max("timestamp")).first()[0] - dt.timedelta(seconds=60)
+    want = windows.director_counts(events, movies).filter(F.col("window.end") <= F.lit(cut))
+    assert sorted(map(tuple, history.select(*want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+# -- dead letters ----------------------------------------------------------------------------
+
+def test_every_message_is_sorted(spark, tmp_path):
+    rows = [(b"k", b'{"userId": 1, "timestamp": "2024-01-01 10:00:00"}'), (b"k", b"not json"), (b"k", None), (None, b""),
+            (b"k", b'{"userId": "x", "timestamp": "soon"}'), (b"k", b'{"userId": 1}'), (b"k", b"[1, 2]"), (b"k", b'{"userId": 1')]
+    got = [r.reason for r in messages.triage(spark.createDataFrame(rows, "key binary, value binary")).collect()]
+    assert got == [None, "undecodable", "undecodable", "undecodable", "no event time", "no event time", "undecodable", "undecodable"]
+
+
+def test_diverted_events_can_be_read_as_a_topic(spark, tmp_path):
+    r = replay.Replay(spark, SF, "divert")
+    io.publish(replay.flawed_messages(spark, SF), r.topic)
+    events, dead, checkpoint = (str(tmp_path / n) for n in ("events", "dead", "checkpoint"))
+    for _ in range(2):  # the second run finds nothing new
+        io.run_all([io.divert(io.subscribe(spark, r.topic), events, dead, checkpoint)])
+    total = fx.stream_reviews(spark, SF).count()
+    good = messages.decode(spark.read.option("recursiveFileLookup", "true").parquet(events))
+    assert spark.read.parquet(dead).count() + good.count() == total and spark.read.parquet(dead).count() >= 3 * (total // 50)
+    assert good.where("timestamp is null").count() == 0
+    result = windows.film_counts(messages.decode(io.subscribe(spark, io.Topic(events))))
+    io.run_all([io.append_files(result, str(tmp_path / "out"), str(tmp_path / "c2"))])
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0

@@ -211,3 +211,39 @@ def test_conform_movies_dedupe_on_title(spark):
     assert movies.count() == fx.raw_movies(spark, SF).count()
     row = movies.filter(F.col("movie_id") == "30").first()
     assert row.tmdb_id == 100030  # the smaller of its two mapper ids
+
+
+def test_rejected_values_go_to_the_quarantine(spark, tmp_path):
+    text = "id,title,genre,director,writer,originalLanguage,releaseDateTheaters,boxOffice,audienceScore,tomatoMeter,rating," \
+           "ratingContents,distributor,soundMix\n"
+    rows = ["1,A,,,,,2020-01-01,$1.5M,50,7,,,,", "2,B,,,,,soon,$1M,n/a,,,,,", "3,C,,,,,, ,12.0, ,,,,"]
+    (tmp_path / "movies").mkdir()
+    (tmp_path / "movies" / "m.csv").write_text(text + "\n".join(rows) + "\n")
+    for name, header in (("mapper", "title,movie_id\nA,7\n"), ("movies_imdb", "id,name\ntt0000009,A\n")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.csv").write_text(header)
+    prep.run_conform_movies(spark, str(tmp_path), str(tmp_path / "zone"), quarantine=str(tmp_path / "quarantine"))
+    got = {(r.column, r.value, "\"id\":\"2\"" in r.row) for r in spark.read.parquet(str(tmp_path / "quarantine")).collect()}
+    assert got == {("releaseDateTheaters", "soon", True), ("audienceScore", "n/a", True)}
+    zone = {r.movie_id: r for r in zones.read_table(spark, str(tmp_path / "zone")).collect()}
+    assert zone["2"].audienceScore is None and zone["3"].audienceScore == 12 and "__rejects" not in zone["1"].asDict()
+    (tmp_path / "movies" / "m.csv").write_text(text + rows[0] + "\n")  # nothing wrong: the quarantine is replaced by an empty one
+    prep.run_conform_movies(spark, str(tmp_path), str(tmp_path / "zone"), quarantine=str(tmp_path / "quarantine"))
+    assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 0
+
+
+def test_sketches_merge_over_years(spark, tmp_path):
+    """20,000 films a genre over three years: within 2 %; a year that is written again replaces itself."""
+    from cinelake.plans import sketches
+    movies = spark.range(20_000).selectExpr("id as movie_id", "if(id % 2 = 0, 'Drama, Noir', 'Drama') as genre")
+    reviews = spark.range(60_000).selectExpr("id % 20000 as movie_id", "cast(2000 + id % 3 as int) as creationDate",
+                                             "if(id % 10 = 0, 'POSITIVE', 'NEGATIVE') as scoreSentiment")
+    path = str(tmp_path / "sketches")
+    sketches.write_rotten_sketches(movies, reviews, path)
+    sketches.write_rotten_sketches(movies, reviews.where("creationDate = 2001"), path)
+    got = {r.genre: r.total_rotten_movies for r in sketches.rotten_genres(spark.read.parquet(path)).collect()}
+    films = reviews.where("scoreSentiment = 'NEGATIVE'").select("movie_id").distinct()
+    want = {"Drama": films.count(), "Noir": films.where("movie_id % 2 = 0").count()}
+    assert got.keys() == want.keys() and all(abs(got[g] / want[g] - 1) < 0.02 for g in want)
+    plan = sketches.rotten_genres(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
