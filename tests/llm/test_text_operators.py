@@ -415,3 +415,21 @@ def test_pipeline_stages_act_on_what_is_left(spark):
 def test_pipeline_runs_as_a_query(spark):
     import corpus_pipeline
     assert corpus_pipeline.run(spark, SF001).count() > 0
+
+
+def test_models_are_averaged_in_a_tree(spark, monkeypatch):
+    """Averages of averages weigh every shard by its tokens, whatever the fan-in."""
+    draw = np.random.default_rng(5)
+    parts = [(k, int(draw.integers(1, 100)), draw.normal(0, 1, 7).astype(np.float32).tobytes()) for k in range(70)]
+    whole, n = lm._average(parts)
+    rows = spark.createDataFrame([(s // 9, n, p) for s, n, p in parts], lm._TRAINED).repartition(3, "shard").sortWithinPartitions("shard")
+    made = [(r["shard"], r["n"], bytes(r["params"])) for r in rows.mapInArrow(lm._averaged, lm._TRAINED).collect()]
+    again, m = lm._average(made)
+    assert len(made) == 8 and m == n and np.allclose(again, whole, atol=1e-5)
+    rows = [(k, 5) for k in range(500)]
+    counted = spark.createDataFrame(rows, "triple long, n long")
+    base = lm.Unigram([(f"w{k}", 9) for k in range(7)], 2500, 7)
+    wide = lm.fit(counted, base)
+    monkeypatch.setattr(lm, "FAN_IN", 4)
+    deep = lm.fit(counted, base)
+    assert all(np.allclose(wide.params[k], deep.params[k], atol=1e-4) for k in wide.params)
