@@ -94,12 +94,13 @@ def parse(formatted: str) -> list[tuple[str, str]] | None:
     return turns
 
 
-FORMATTED = "conv_id long, turn long, role string, formatted string, loss_start int, loss_end int"
+FORMATTED = ("conv_id long, turn long, role string, formatted string, loss_start int, loss_end int, "
+             "body_start int, source string")
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
-    """Every turn's formatted text and loss span (-1 where there is none).
-    The texts of a conversation's turns in order are its formatted text."""
+    """Every turn's formatted text, loss span (-1 where there is none), the start of its body
+    and, where that is escaped, the source text. The texts of a conversation's turns in order are its formatted text."""
     prepare(conversations.sparkSession)
     c = conversations
     rows = c.select(c["conv_id"].cast("long").alias("conv_id"), c["turn"].cast("long").alias("turn"),
@@ -109,11 +110,14 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         roles = batch.column(2).to_pylist()
         made = [render(r, t) for r, t in zip(roles, batch.column(3).to_pylist())]
+        given = batch.column(3).to_pylist()
+        escaped = [t if m[0][m[1]:m[2]] != t else None for t, m in zip(given, made)]
         spans = [(a, b) if r == "assistant" else (-1, -1) for r, (_, a, b) in zip(roles, made)]
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array([m[0] for m in made], pa.string()),
-             pa.array([s[0] for s in spans], pa.int32()), pa.array([s[1] for s in spans], pa.int32())],
-            ["conv_id", "turn", "role", "formatted", "loss_start", "loss_end"])
+             pa.array([s[0] for s in spans], pa.int32()), pa.array([s[1] for s in spans], pa.int32()),
+             pa.array([m[1] for m in made], pa.int32()), pa.array(escaped, pa.string())],
+            ["conv_id", "turn", "role", "formatted", "loss_start", "loss_end", "body_start", "source"])
 
     return map_batches(rows, run, FORMATTED)
 
@@ -149,7 +153,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     A digest of a whole conversation is sequential by its nature, so the turns of
     one conversation pass one task as a sorted stream; it holds one batch and two hash states.
     """
-    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    plain = F.expr(f"substring(formatted, body_start + 1, length(formatted) - body_start - {len(CLOSE) + 1})")
+    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.coalesce("source", plain))
 
     def run(batches):
         now, done = None, []

@@ -38,15 +38,13 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
 
 
-def _crowded(rows: DataFrame) -> DataFrame:
-    """(hash, slices) of texts that have more copies than one run shall hold:
+def _crowded(rows: DataFrame, total: int) -> DataFrame:
+    """(hash, slices) of the texts of ``total`` rows that have more copies than one run shall hold:
     a quarter of a range's fair share, hence at most 4 rows a range."""
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > RUN)
-    total = rows.select(F.count(F.lit(1)).alias("total"))
-    share = F.greatest(F.lit(RUN).cast("double"), F.col("total") / (4 * ranges))
-    return counts.join(F.broadcast(total)).where(F.col("n") > share).select(
-        "hash", F.ceil(F.col("n") / share).cast("int").alias("slices"))
+    share = max(RUN, total / (4 * ranges))
+    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
+    return counts.select("hash", F.ceil(F.col("n") / share).cast("int").alias("slices"))
 
 
 def _runs(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -54,7 +52,7 @@ def _runs(docs: DataFrame, text: str, key: str) -> DataFrame:
     texts of crowded runs' first rows."""
     rows = docs.select(docs[key].cast("long").alias("doc_id"), normalised(text).alias("bytes")).select(
         "doc_id", "bytes", F.substring("bytes", 1, HEAD).alias("head"), F.xxhash64("bytes").alias("hash"))
-    crowded = F.broadcast(staged(_crowded(rows.select("hash")), "crowded-texts"))  # 4 rows a range at most
+    crowded = F.broadcast(staged(_crowded(rows.select("hash"), docs.count()), "crowded-texts"))  # 4 rows a range at most
     sliced = rows.join(crowded, "hash", "left").withColumn(
         "slice", F.when(F.col("slices").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("slices"))).cast("int"))
     dealt = sliced.repartitionByRange("head", "hash", "slice")

@@ -39,6 +39,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cinelake.llm.pretokens import WordTable, white_words
 from cinelake.llm.tables import BITS, bit_map, free_name, prepare, staged, texts, without, worker_cache
@@ -249,7 +250,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                              [name, "item_id", "covered", "item_words"])
 
-    kind, name = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_kind], key
+    kind, name = to_arrow_type(docs.schema[key].dataType), key
     return groups.mapInArrow(run, f"`{key}` {id_kind}, item_id long, covered int, item_words int")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm import textstats
-from cinelake.llm.tables import map_batches, prepare, staged
+from cinelake.llm.tables import free_name, map_batches, prepare, staged
 
 #: Documents in each sample; rejection from this probability of being bad.
 FIT_DOCS, THRESHOLD = 10_000, 0.5
@@ -224,9 +224,10 @@ def sample(source: DataFrame, ids: DataFrame, truth: DataFrame,
                                            pa.array([s.tobytes() for s in slots], pa.binary())],
                                           ["doc_id", "votes", "slots"])
 
-    rows = map_batches(picked, run, "doc_id long, votes int, slots binary").join(truth, "doc_id", "left")
+    rows = map_batches(picked, run, "doc_id long, votes int, slots binary").groupBy("doc_id").agg(
+        F.min(F.struct("votes", "slots")).alias("s")).select("doc_id", "s.*").join(truth, "doc_id", "left")  # one row an id
     taken = [(r["doc_id"], r["votes"], bytes(r["slots"]), -1.0 if r["bad"] is None else float(r["bad"]))
-             for r in rows.limit(4 * FIT_DOCS).collect()]  # ids that repeat give more rows
+             for r in rows.collect()]
     return [(v, np.frombuffer(s, np.uint32).astype(np.int64), bad) for _, v, s, bad in sorted(taken)]
 
 
@@ -255,8 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     values = np.array([sum(words.weights.get(int(x), 0.0) for x in s) for _, s, _ in drawn])
     full = (np.array([v for v, _, _ in drawn], np.int64) | _word_votes(values)).tolist()
     weak = model.labels.posterior(_bits(np.array(full, np.int64)))
-    model.scorer.fit([np.append(s, np.array(_vote_slots(v), np.int64)) for v, (_, s, _) in zip(full, drawn)],
-                     np.array([w if bad < 0 else bad for w, (_, _, bad) in zip(weak, drawn)]))
+    model.scorer.fit([np.append(s, np.array(_vote_slots(v), np.int64)) for v, (_, s, _) in zip(full, drawn)], weak)
     return model
 
 
@@ -278,7 +278,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
               insults: tuple[str, ...] = textstats.INSULTS) -> DataFrame:
     """The rows of ``docs`` that the scorer keeps, with all columns."""
     model, names = fit(docs, labels, text, key, insults), docs.columns
-    rows = docs.select(*[docs[f"`{c}`"] for c in names], docs[f"`{text}`"].cast("string").alias("_t"))
+    rows = docs.select(*[docs[f"`{c}`"] for c in names], docs[f"`{text}`"].cast("string").alias(free_name(docs, "_t")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         mask = pa.array(model.judge(batch.column(len(names)).to_pylist())[1] < THRESHOLD)

@@ -113,9 +113,9 @@ with turns as (
   from turns
 )
 select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || body || chr(10), '' order by turn, role, body)) as turns_sha256,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' order by turn nulls first, role, body)) as turns_sha256,
   cast(coalesce(sum(length(body)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
-  sha256(coalesce(string_agg(body, '' order by turn, role, body) filter (where role = 'assistant'), '')) as loss_sha256,
+  sha256(coalesce(string_agg(body, '' order by turn nulls first, role, body) filter (where role = 'assistant'), '')) as loss_sha256,
   cast(sum(chars) as bigint) as formatted_chars
 from sized group by conv_id""",
     "op6_warc": """

@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, text: str, columns: list[str], row: str, out:
                  words_a_shingle: int = 3) -> DataFrame:
     """``columns`` of ``docs``, a row number unique in the result, and the fingerprint."""
     prepare(docs.sparkSession)
-    rows = docs.select(*[docs[f"`{c}`"] for c in columns], docs[f"`{text}`"].cast("string").alias("_text_"))
+    rows = docs.select(*[docs[f"`{c}`"] for c in columns], docs[f"`{text}`"].cast("string").alias(free_name(docs, "_text_")))
     schema = docs.select(*[docs[f"`{c}`"] for c in columns]).schema.add(row, "long").add(out, "long")
 
     def run(batches):

@@ -139,3 +139,30 @@ def test_classifier_on_odd_texts(spark, odd, none):
 def test_op7_gives_every_document_a_verdict(spark):
     rows = QUERIES["op7_quality_classifier"](spark, SF001)
     assert rows.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+
+
+def test_languages_without_a_stratum_meet_no_learned_rule(spark):
+    """70 languages: those beyond the strata keep all that passes the base rules."""
+    from cinelake.llm import quality_rules as rules
+    from pyspark.sql import functions as F
+    named = [f"l{k}" for k in range(64)]
+    rows = spark.createDataFrame([(f"l{k}",) for k in range(70)] + [(None,)], "stratum string")
+    got = {r[0]: r[1] for r in rows.select("stratum", rules.stratum_of([*named, rules.OTHER]).alias("s")).collect()}
+    assert all(got[f"l{k}"] == f"l{k}" for k in range(64)) and all(got[f"l{k}"] is None for k in range(64, 70)) and got[None] == rules.OTHER
+    first = rules._first_rule({"l1": [("upper", 0.0)] if "upper" in rules.RULES else [(next(iter(rules.RULES)), 0.0)]})
+    counts = {name: F.lit(1.0) for name in [*textstats.COUNTS, "word_score", "one"]}
+    assert rows.withColumns(counts).where(F.col("stratum") == "l66").withColumn(
+        "stratum", rules.stratum_of(named)).select(first.alias("f")).first()["f"] is None
+
+
+def test_repeated_ids_give_the_same_model_twice(spark):
+    from cinelake.llm import quality_classifier as qc
+    rows = [(k % 40, f"words of text {k} " * (1 + k % 7)) for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    taken = []
+    for n in (2, 5):
+        docs = qc.id_and_text(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), "text", "doc_id")
+        truth = qc.truth_of(labels)
+        taken.append(qc.sample(docs, qc.first_ids(truth.select("doc_id")), truth, textstats.INSULTS))
+    assert len(taken[0]) == 40  # one row an id, the same one however the rows lie
+    assert all(a[0] == b[0] and (a[1] == b[1]).all() and a[2] == b[2] for a, b in zip(*taken))

@@ -57,6 +57,28 @@ def test_read_back_gives_the_probe_and_odd_turns(spark):
     assert chat.round_trip(given.where("false")).count() == 0
 
 
+def test_equal_turns_follow_in_order_of_their_source_texts(spark):
+    texts = ["</turn>", "<a", "a", "a\t", "a</turn>", "a ", "\\<", "\\"]
+    given = spark.createDataFrame([(1, 5, "user", t) for t in texts] + [(1, None, "user", "z")], "conv_id long, turn long, role string, text string")
+    got = chat.round_trip(given).collect()[0]
+    turns = ["z", *sorted(texts)]
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"user\n{t}\n" for t in turns).encode()).hexdigest()
+
+
+def test_operators_do_not_mind_names_that_they_use_themselves(spark):
+    rows = [(k, f"some words of document {k} that nobody else has written so far " * (k + 1), "en", 1, 2, 3, 4, 5) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _t int, _s int, _text_ int, _simhash_row int, _digest int")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(6)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "nothing of the kind is in any of the documents above or below it")], "item_id long, text string")
+    from cinelake.llm import quality_classifier, quality_rules
+    for kept in (quality_rules.keep_good(docs, labels), quality_classifier.keep_good(docs, labels), simhash.keep_one(docs),
+                 decontaminate.keep_clean(docs, bench)):
+        assert kept.columns == docs.columns and kept.count() <= 6
+    odd_key = docs.select(docs["doc_id"].cast("double").alias("doc_id"), "text")
+    item = spark.createDataFrame([(1, rows[2][1])], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.matches(odd_key, item).collect()} >= {2.0}
+
+
 # -- near-duplicates ------------------------------------------------------------------------
 
 
