@@ -149,13 +149,14 @@ def test_conform_movies_fanout_and_ids(spark):
 
 
 def test_title_joins_leave_no_side_unsplit(spark):
-    """A title that an id list holds very often: no left join, so either side can be split."""
+    """A title that an id list holds very often: its rows are dealt over salts (that they land in
+    several tasks: test_a_frequent_key_is_dealt_over_tasks), as a left join splits its left side only."""
     movies = spark.createDataFrame([(1, "A", "$1M"), (2, "B", None), (3, None, None)], "id long, title string, boxOffice string")
-    mapper = spark.range(5000).selectExpr("'A' AS title", "id AS movie_id")
+    mapper = spark.range(25_000).selectExpr("'A' AS title", "id AS movie_id")
     imdb = spark.createDataFrame([("tt0000007", "B"), (None, "A")], "id string, name string")
     out = prep.conform_movies(movies, mapper, imdb)
-    assert "LeftOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert out.where("title = 'A'").count() == 5000 and out.where("title = 'A' and imdb_id is null").count() == 5000
+    assert "__salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.where("title = 'A'").count() == 25_000 and out.where("title = 'A' and imdb_id is null").count() == 25_000
     rest = {r.movie_id: (r.tmdb_id, r.imdb_id) for r in out.where("movie_id <> 1").collect()}
     assert rest == {2: (None, 7), 3: (None, None)}
 
