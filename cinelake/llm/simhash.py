@@ -1,17 +1,18 @@
 """SimHash near-duplicates over pivot distance tables.
 
-Fingerprints of w-word shingles link at ``max_bits`` (2) or fewer differing
-bits. The pivot table holds, for a fingerprint, its Hamming distances to many
-reference fingerprints (the pivots). A link moves no coordinate by more than
-2. To discard the other pairs without forming them, every distinct fingerprint
-enters the rows of itself and of its 64 one-bit moves into the table, and
-rows with the same coordinates meet: two fingerprints within 2 bits share
-the row of a midpoint, and two that differ by more than 2 in some coordinate
-share none. Survivors are verified by their Hamming distance to the least
-fingerprint of their row. Where that fails, since different midpoints share all
-coordinates, the row is dealt again by the midpoint itself, where any two are
-within 2 bits. A midpoint has at most 65 neighbours, so no row is large,
-however many copies there are, and nothing is capped.
+Fingerprints of w-word shingles link at ``max_bits`` or fewer differing bits.
+The pivot table holds, for a distinct fingerprint, its Hamming distances to
+many reference fingerprints (the pivots). Candidates share ``j`` of
+``max_bits + j`` bands of bits, as two within ``max_bits`` must. No link moves a
+coordinate by more than ``max_bits``, so pairs whose maximum coordinate
+difference is larger are discarded, and the survivors are verified by their own distance.
+
+Blocks (fingerprints with the same bands) are counted first, by partial
+aggregates. Those of more than ``BLOCK`` fingerprints form no pairs: their
+fingerprints go to the next level, with more and narrower bands, so that more bits are shared.
+A linked pair shares a block at every level; it is found at the first one at which a
+shared block is small. On the last level a block cannot hold more
+fingerprints than the bits outside its bands allow (256 for 2 bits, 4096 for 3, the most), so nothing is capped.
 
 Exact copies are one fingerprint before the table, and the links between fingerprints
 are contracted by ``components``.
@@ -24,24 +25,26 @@ gives none. Further columns are kept (``keep_one``) whatever their names are.
 
 from __future__ import annotations
 
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.components import components
 from cinelake.llm.tables import free_name, prepare, staged, texts, without
 
-PIVOTS_A_KEY, PIVOT_KEYS = 9, 2  # 7 bits for a distance of 0 to 64, 9 in a long
+MAX_BITS, MOST_BITS, PIVOTS = 2, 3, 16
+#: Fingerprints of a block that are paired, and the shared bands of each level.
+BLOCK, LEVELS = 256, (2, 4, 8, 16)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _CHUNK = 1 << 16
 
 
-def pivots(count: int = PIVOTS_A_KEY * PIVOT_KEYS, seed: int = 42) -> list[int]:
+def pivots(count: int = PIVOTS, seed: int = 42) -> list[int]:
     """Reference fingerprints: XXH64 of their numbers, as signed longs."""
     return [_signed(xxhash.xxh64_intdigest(f"pivot {i}".encode(), seed)) for i in range(count)]
 
@@ -86,46 +89,63 @@ def fingerprints(docs: DataFrame, text: str, columns: list[str], row: str, out:
     return rows.mapInArrow(run, schema)
 
 
-def _coordinates(value: Column, refs: list[int]) -> list[Column]:
-    """The pivot distances of a fingerprint, packed 9 to a long."""
-    keys = []
-    for k in range(0, len(refs), PIVOTS_A_KEY):
-        key = F.lit(0).cast("long")
-        for ref in refs[k:k + PIVOTS_A_KEY]:
-            key = F.shiftleft(key, 7).bitwiseOR(F.bit_count(value.bitwiseXOR(F.lit(ref).cast("long"))).cast("long"))
-        keys.append(key)
-    return keys
+def masks(max_bits: int, shared: int) -> list[int]:
+    """Every choice of ``shared`` of ``max_bits + shared`` bands, as a mask of its bits."""
+    count = max_bits + shared
+    if not 0 <= max_bits <= MOST_BITS:
+        raise ValueError(f"max_bits must lie between 0 and {MOST_BITS}")
+    ends = [64 * k // count for k in range(count + 1)]
+    bands = [(1 << b) - (1 << a) for a, b in zip(ends, ends[1:])]
+    return [_signed(sum(chosen)) for chosen in combinations(bands, shared)]
+
+
+def pivot_table(prints: DataFrame, refs: list[int]) -> DataFrame:
+    """(fp, distances): the Hamming distances of each fingerprint to the pivots."""
+    return prints.select("fp", F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(r).cast("long"))).cast("byte")
+                                         for r in refs]).alias("distances"))
+
+
+def candidates(table: DataFrame, max_bits: int = MAX_BITS, pivot_count: int = PIVOTS,
+               block: int = BLOCK, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """(fp, other, gap): pairs of the pivot table that share a small block, fp < other,
+    and their maximum coordinate difference. A pair may stand in several blocks."""
+    found = None
+    for shared in levels:
+        keyed = table.select("fp", "distances", F.posexplode(F.array(
+            *[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks(max_bits, shared)])).alias("part", "bands"))
+        sizes = keyed.groupBy("part", "bands").agg(F.count(F.lit(1)).alias("n"))
+        sizes = staged(sizes.where("n > 1"), "pivot-blocks")
+        last = shared == levels[-1]
+        few = sizes if last else sizes.where(F.col("n") <= block)
+        met = staged(keyed.join(few.drop("n"), ["part", "bands"]), "pivot-rows")
+        other = met.select("part", "bands", F.col("fp").alias("other"), F.col("distances").alias("others"))
+        gap = F.array_max(F.array(*[F.abs(F.col("distances")[i] - F.col("others")[i]) for i in range(pivot_count)]))
+        pairs = met.join(other, ["part", "bands"]).where("fp < other").select("fp", "other", gap.alias("gap"))
+        found = pairs if found is None else found.unionByName(pairs)
+        many = sizes.where(F.col("n") > block).drop("n")
+        if last or many.isEmpty():
+            return found
+        table = staged(keyed.join(many, ["part", "bands"]).select("fp", "distances").distinct(), "pivot-dense")
+    return found
+
+
+def links(prints: DataFrame, max_bits: int = MAX_BITS, refs: list[int] | None = None,
+          block: int = BLOCK) -> DataFrame:
+    """(fp, other): all pairs of the fingerprints (column ``fp``, distinct)
+    that differ in ``max_bits`` or fewer bits, fp < other."""
+    refs = pivots() if refs is None else refs
+    pairs = candidates(staged(pivot_table(prints, refs), "pivot-table"), max_bits, len(refs), block)
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
+    return pairs.where(F.col("gap") <= max_bits).where(near).select("fp", "other").distinct()
 
 
-def links(prints: DataFrame, refs: list[int] | None = None) -> DataFrame:
-    """(fp, other): links that connect just the fingerprints (column ``fp``,
-    distinct) that chains of links of 2 or fewer bits connect."""
-    refs = pivots() if refs is None else refs
-    moves = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in
-                                                    [0, *(1 << i for i in range(64))]])).alias("move"))
-    keys = [f"k{i}" for i in range(len(_coordinates(F.lit(0), refs)))]
-    middle = F.col("fp").bitwiseXOR(F.col("move"))
-    table = moves.select("fp", "move", *[c.alias(k) for k, c in zip(keys, _coordinates(middle, refs))])
-    rows = table.groupBy(*keys).agg(F.collect_list(F.struct("fp", "move")).alias("met"))
-    rows = staged(rows.where(F.size("met") > 1).select(
-        F.expr("array_min(transform(met, m -> m.fp))").alias("hub"), "met"), "pivot-rows")
-    near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= 2
-    verified = F.forall("met", lambda m: near(m["fp"], F.col("hub")))
-    plain = rows.where(verified).select(F.explode("met.fp").alias("fp"), F.col("hub").alias("other"))
-    rest = rows.where(~verified).select(F.explode("met").alias("m"))
-    middles = rest.select(F.col("m.fp").alias("fp"), F.col("m.fp").bitwiseXOR(F.col("m.move")).alias("z"))
-    hubs = middles.groupBy("z").agg(F.min("fp").alias("other"), F.collect_set("fp").alias("fps"))
-    split = hubs.select(F.explode("fps").alias("fp"), "other")
-    return plain.unionByName(split).where(F.col("fp") != F.col("other")).distinct()
-
-
-def _classes(rows: DataFrame, key: str, row: str, fp: str) -> DataFrame:
+def _classes(rows: DataFrame, key: str, row: str, fp: str, max_bits: int) -> DataFrame:
     """(fp, component_id, kept): of every distinct fingerprint, its component's
     smallest doc_id and the row number of its first document."""
     known = F.col(key).isNull().alias("late")
     own = staged(rows.groupBy(F.col(fp).alias("fp")).agg(
         F.min(F.struct(known, F.col(key).alias("id"), F.col(row).alias("row"))).alias("first")), "fingerprints")
-    roots = staged(components(links(own.select("fp")), "fp", "other"), "roots")
+    roots = staged(components(links(own.select("fp"), max_bits), "fp", "other"), "roots")
     linked = own.join(roots, own["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     firsts = linked.groupBy("root").agg(F.min("first").alias("least"))
@@ -133,20 +153,22 @@ def _classes(rows: DataFrame, key: str, row: str, fp: str) -> DataFrame:
                                               F.col("least.row").alias("kept"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words_a_shingle: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words_a_shingle: int = 3,
+                    max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
     source = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     rows = staged(fingerprints(source, "text", ["doc_id"], "row", "fp", words_a_shingle), "simhash")
-    classes = _classes(rows, "doc_id", "row", "fp")
+    classes = _classes(rows, "doc_id", "row", "fp", max_bits)
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words_a_shingle: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words_a_shingle: int = 3,
+             max_bits: int = MAX_BITS) -> DataFrame:
     """The columns of ``docs``; of each component the row with the smallest doc_id (of equal ones, one)."""
     row, fp = free_name(docs, "_simhash_row"), free_name(docs, "_simhash_fp")
     rows = staged(fingerprints(docs, text, docs.columns, row, fp, words_a_shingle), "simhash-rows")
     light = rows.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(row).alias("row"), F.col(fp).alias("print"))
-    classes = _classes(light, "id", "row", "print")
+    classes = _classes(light, "id", "row", "print", max_bits)
     dropped = light.join(classes, light["print"] == classes["fp"]).where("row <> kept").select(F.col("row").alias(row))
     return without(rows, staged(dropped, "near-copies"), row).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -112,11 +112,11 @@ def test_op5_on_documents(spark):
     assert {r[0]: (r[1], r[2]) for r in QUERIES["op5_simhash"](spark, SF01).collect()} == want
 
 
-@pytest.mark.parametrize("refs", [18, 1])
-def test_links_connect_what_brute_force_connects(spark, refs):
-    """Dense groups, long chains, and one pivot only, where rows hold many midpoints."""
-    draw = random.Random(refs)
-    prints = {draw.getrandbits(64) for _ in range(60)} | {0}
+@pytest.mark.parametrize("bits, block, refs", [(2, 256, 16), (2, 2, 16), (3, 8, 16), (1, 4, 1), (0, 256, 16)])
+def test_links_are_all_that_brute_force_finds(spark, bits, block, refs):
+    """Dense groups, long chains, all values of nine bits; small blocks pass every level."""
+    draw = random.Random(block)
+    prints = {draw.getrandbits(64) for _ in range(60)} | {0, *range(1 << 40, 1 << 49, 1 << 40)}
     for start in list(prints)[:12]:
         value = start
         for _ in range(25):
@@ -124,15 +124,33 @@ def test_links_connect_what_brute_force_connects(spark, refs):
             if draw.random() < 0.7:
                 value ^= 1 << draw.randrange(64)
             prints.add(value)
-    prints = sorted(prints)
-    rows = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
-    links = simhash.links(rows, simhash.pivots(9)[:refs])
-    roots = {r["node"]: r["root"] for r in components.components(links, "fp", "other").collect()}
-    groups = defaultdict(set)
-    for k, c in enumerate(brute_classes(prints)):
-        groups[c].add(simhash._signed(prints[k]))
-    for group in groups.values():
-        assert {roots.get(p, p) for p in group} == {min(group)}
+    values = np.array(sorted(prints), np.uint64)
+    want = {tuple(sorted((simhash._signed(int(values[k])), simhash._signed(int(v))))) for k in range(len(values))
+            for v in values[k + 1:][np.bitwise_count(values[k + 1:] ^ values[k]) <= bits]}
+    rows = spark.createDataFrame([(simhash._signed(int(p)),) for p in values], "fp long")
+    got = [tuple(r) for r in simhash.links(rows, bits, simhash.pivots(refs), block).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and bool(want) == (bits > 0)
+
+
+def test_pivots_discard_no_link_and_most_other_pairs(spark):
+    draw = random.Random(3)
+    base = draw.getrandbits(32)
+    prints = [simhash._signed(base << 32 | draw.getrandbits(32)) for _ in range(200)]
+    table = simhash.pivot_table(spark.createDataFrame([(p,) for p in set(prints)], "fp long"), simhash.pivots())
+    pairs = simhash.candidates(table).distinct().collect()
+    assert len(pairs) == len(set(prints)) * (len(set(prints)) - 1) // 2  # one block, the first 32 bits
+    assert all(r["gap"] <= 2 for r in pairs if ((r["fp"] ^ r["other"]) & (1 << 64) - 1).bit_count() <= 2)
+    assert sum(r["gap"] > 2 for r in pairs) > 0.9 * len(pairs)
+
+
+def test_max_bits_widens_the_groups(spark):
+    texts = [" ".join(f"w{k}" for k in range(n, n + 400)) for n in range(0, 40, 2)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for bits in (1, 3):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(rows, max_bits=bits).collect()}
+        assert got == dict(enumerate(brute_classes([brute_print(t) for t in texts], bits)))
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(rows, max_bits=4)
 
 
 def test_components_of_long_paths_stars_and_loops(spark):
