@@ -14,15 +14,17 @@ in several whose places in the document lie within the item's length (words were
 put in or left out). Their slots must be consistent: one value of the item stands for one value in the document, and the other
 way round. Windows that contradict the majority are dropped. A document holds
 an item if the remaining windows of one such place cover at least ``COVER`` of the item's words
-(all, if it has fewer).
+and as many of the document's. Items of fewer words are compared whole, by one window of their length;
+below ``LEAST`` words, where any text would hold them, with whole lines and whole texts.
 
 A window that occurs in no item is dropped before the shuffle by a bit map of
 fixed size (8 MB): it lets some others pass, which the join drops, and loses
-none. It is the only thing broadcast. Windows that many documents share are a skewed join key whose
-rows Spark splits, since the join needs no order.
+none. It is the only thing broadcast. Of the others, those go on that together with the windows
+around them, up to the longest item's length, cover ``COVER`` words of the document: a
+phrase that many items and many documents share, but which is no leak, is never joined. Windows
+that many documents share are a skewed join key whose rows Spark splits, since the join needs no order.
 
-Defined results: null texts have no words; items of fewer than ``WINDOW`` words
-are compared whole if they have ``LEAST`` words, and cannot be told from plain text below that;
+Defined results: null texts have no words; items without words are in no document;
 repeated rows and items each give their rows; empty tables give none; further
 columns are kept whatever their names are.
 """
@@ -64,6 +66,8 @@ _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘…–—¿¡"
 _KIND, _CAPITAL, _ENDS, _FLAGS = 3, 4, 8, 15
 _TYPES = np.array([0, *(xxhash.xxh64_intdigest(f"<{k}>") for k in ("number", "unit", "name"))], np.uint64)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_WHOLE = np.uint64(0x5851F42D4C957F2D)  # tells windows of items that are compared whole
+_WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 
 
 def _entries(word: str) -> list[int]:
@@ -137,8 +141,23 @@ class Windows:
 _WINDOWS = "row long, place int, words int, size int, key long, vals binary, kinds binary"
 
 
-def _windows(rows: DataFrame, id_kind: str, sizes: list[int], bits: bytes | None) -> DataFrame:
-    """Windows of (id, text) rows; with ``bits``, those that may be in the benchmark."""
+def _reaching(starts: np.ndarray, text: np.ndarray, span: int) -> np.ndarray:
+    """Which windows (sorted distinct starts) lie among windows that start within
+    ``span`` words of each other and cover ``COVER`` words."""
+    place = starts + text * (span + WINDOW)  # texts far apart
+    covered = np.cumsum(np.minimum(np.diff(place, prepend=place[0]), WINDOW))
+    end = np.searchsorted(place, place + span)  # the first start beyond
+    good = WINDOW + covered[end - 1] - covered >= COVER
+    marks = np.zeros(len(place) + 1, np.int64)
+    np.add.at(marks, np.flatnonzero(good), 1)
+    np.add.at(marks, end[good], -1)
+    return np.cumsum(marks[:-1]) > 0
+
+
+def _windows(rows: DataFrame, id_kind: str, modes: list[tuple[int, bool]], bits: bytes | None,
+             span: int = 0) -> DataFrame:
+    """Windows of (id, text) rows, by modes (size, whole items); with ``bits``, those that
+    may be in the benchmark, and for items that are not compared whole may cover enough of it."""
     schema = f"id {id_kind}, {_WINDOWS}"
 
     def run(batches):
@@ -147,26 +166,34 @@ def _windows(rows: DataFrame, id_kind: str, sizes: list[int], bits: bytes | None
         for batch in batches:
             found = Windows(texts(batch.column(1)))
             counts = np.diff(found.firsts)
+            text_of = lambda first: np.searchsorted(found.firsts, first, side="right") - 1
             columns: list[list] = [[] for _ in range(8)]
-            for size in sizes:
+            for size, whole in modes:
+                met = []
                 for first, key, kinds in found.keys(size):
-                    if bit_map is None:  # the benchmark's own: its short items whole, others by windows
-                        text = np.searchsorted(found.firsts, first, side="right") - 1
-                        ok = (counts[text] == size) | (size == WINDOW) & (counts[text] > size)
+                    key = key ^ _WHOLE if whole else key
+                    if bit_map is None:  # the benchmark's own
+                        ok = counts[text_of(first)] == size if whole else counts[text_of(first)] >= COVER
                     else:
                         bit = (key % np.uint64(BITS)).astype(np.int64)
                         ok = bit_map[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
-                    first, key = first[ok], key[ok]
-                    text = np.searchsorted(found.firsts, first, side="right") - 1
-                    span = first[:, None] + np.arange(size)
+                    met.append((first[ok], key[ok], kinds))
+                if bit_map is not None and not whole and any(len(first) for first, _, _ in met):
+                    starts = np.unique(np.concatenate([first for first, _, _ in met]))
+                    starts = starts[_reaching(starts, text_of(starts), span)]
+                    oks = [np.isin(first, starts) for first, _, _ in met]
+                    met = [(first[ok], key[ok], kinds) for ok, (first, key, kinds) in zip(oks, met)]
+                for first, key, kinds in met:
+                    text = text_of(first)
+                    at = first[:, None] + np.arange(size)
                     columns[0] += text.tolist()
                     columns[1] += (number + text).tolist()
                     columns[2] += (first - found.firsts[text]).tolist()
                     columns[3] += counts[text].tolist()
                     columns[4] += [size] * len(first)
                     columns[5] += key.astype(np.int64).tolist()
-                    columns[6] += [v.tobytes() for v in found.values[span]]
-                    columns[7] += [k.tobytes() for k in kinds[span]]
+                    columns[6] += [v.tobytes() for v in found.values[at]]
+                    columns[7] += [k.tobytes() for k in kinds[at]]
             number += batch.num_rows
             if columns[0]:
                 kinds_of = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -178,10 +205,39 @@ def _windows(rows: DataFrame, id_kind: str, sizes: list[int], bits: bytes | None
     return rows.mapInArrow(run, schema)
 
 
+def short_key(text: str) -> bytes | None:
+    """The words of a text with 1 to ``LEAST`` - 1 of them, else none."""
+    found: list[int] = []
+    for word in _WORD.finditer(text):
+        found += [e & ~_FLAGS for e in _entries(word[0])]
+        if len(found) >= LEAST:
+            return None
+    return np.array(found, np.uint64).tobytes() if found else None
+
+
+def _short(rows: DataFrame, id_kind: str, lines: bool) -> DataFrame:
+    """(id, vals) of short texts among (id, text) rows; with ``lines``, of the
+    distinct short lines too."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for k, text in enumerate(texts(batch.column(1))):
+                parts = {*text.split("\n"), text} if lines else {text}
+                out += [(k, v) for v in {short_key(p) for p in parts} - {None}]
+            if out:
+                vals = [v for _, v in out]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array([k for k, _ in out], pa.int64())),
+                     pa.array(vals, pa.binary())], ["id", "vals"])
+
+    return rows.mapInArrow(run, f"id {id_kind}, vals binary")
+
+
 def consistent(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]], words: int = 0) -> set[int]:
     """Most item words covered at one place of the document by windows (place in document,
     place in item, values there, values here, kinds) whose slots agree: those
-    of one alignment, or of all whose places lie within ``words`` of each other."""
+    of one alignment, or of all whose places lie within ``words`` of each other. Where fewer
+    words of the document cover them, those."""
     by_shift = defaultdict(list)
     for row in rows:
         by_shift[row[0] - row[1]].append(row)
@@ -199,8 +255,10 @@ def consistent(rows: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]],
 
 
 def _agreeing(met: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) -> set[int]:
-    """Item words covered by the windows that do not contradict the majority's slots."""
+    """Item words covered by the windows that do not contradict the majority's slots,
+    or the document's words that do so, if they are fewer."""
     covered: set[int] = set()
+    covering: set[int] = set()
     there, back = defaultdict(Counter), defaultdict(Counter)
     slots = []
     for place, _, doc, item, kinds in met:
@@ -211,10 +269,11 @@ def _agreeing(met: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]) ->
         back[kind, doc][item] += 1
     best = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in there.items()}
     rest = {k: max(c.items(), key=lambda x: (x[1], x[0]))[0] for k, c in back.items()}
-    for (_, at, _, item, _), own in zip(met, slots):
+    for (place, at, _, item, _), own in zip(met, slots):
         if all(best[kind, a] == b and rest[kind, b] == a for kind, a, b, _ in own):
             covered.update(range(at, at + len(item)))
-    return covered
+            covering.update(range(place, place + len(item)))
+    return min(covered, covering, key=len)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id",
@@ -222,12 +281,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
     """(key, item_id, covered, item_words) of documents that hold an item."""
     prepare(docs.sparkSession)
     items = benchmark.select(benchmark[item_key].cast("long").alias("id"), benchmark[item_text].cast("string").alias("text"))
-    sizes = [*range(LEAST, WINDOW), WINDOW]
-    own = staged(_windows(items, "long", sizes, None), "benchmark-windows")
-    used = [r["size"] for r in own.select("size").distinct().collect()]  # at most four
+    own = staged(_windows(items, "long", [*((n, True) for n in range(LEAST, COVER)), (WINDOW, False)], None),
+                 "benchmark-windows")
+    kinds_of = own.groupBy("size", (F.col("words") < COVER).alias("whole")).agg(F.max("words").alias("most")).collect()
+    used = [(r["size"], r["whole"]) for r in kinds_of]  # at most nine
+    span = max((r["most"] for r in kinds_of), default=0)
     id_kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[f"`{key}`"].alias("id"), docs[f"`{text}`"].cast("string").alias("text"))
-    found = staged(_windows(rows, id_kind, used, bit_map(own, F.col("key"))), "document-windows")
+    found = staged(_windows(rows, id_kind, used, bit_map(own, F.col("key")), span), "document-windows")
     its = own.select(F.col("id").alias("item_id"), F.col("row").alias("item_row"), F.col("place").alias("at"),
                      F.col("words").alias("item_words"), "size", "key", F.col("vals").alias("item_vals"),
                      F.col("kinds").alias("item_kinds"))
@@ -251,7 +312,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
                                              [name, "item_id", "covered", "item_words"])
 
     kind, name = to_arrow_type(docs.schema[key].dataType), key
-    return groups.mapInArrow(run, f"`{key}` {id_kind}, item_id long, covered int, item_words int")
+    held = groups.mapInArrow(run, f"`{key}` {id_kind}, item_id long, covered int, item_words int")
+    few = staged(_short(items, "long", False), "benchmark-short").withColumnRenamed("id", "item_id")
+    if few.isEmpty():  # no line can equal one
+        return held
+    words = (F.length("vals") / 8).cast("int")
+    return held.unionByName(_short(rows, id_kind, True).join(few, "vals").select(
+        F.col("id").alias(key), "item_id", words.alias("covered"), words.alias("item_words")))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

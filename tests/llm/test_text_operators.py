@@ -340,6 +340,58 @@ def test_short_items_are_compared_whole(spark):
     assert [(r["doc_id"], r["covered"]) for r in decontaminate.matches(rows, items).collect()] == [(1, 5)]
 
 
+def test_items_below_five_words_are_found_as_whole_lines(spark):
+    items = spark.createDataFrame([(1, "What is two plus"), (2, "Hello"), (3, "?!"), (4, "Hello")], "item_id long, text string")
+    docs = [(1, "first\nwhat is  two plus?\nlast"), (2, "what is two plus three"), (3, "HELLO!"), (4, "hello there"),
+            (5, "x\nhello\nhello"), (6, None), (7, ""), (1, "- hello -")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = Counter(tuple(r) for r in decontaminate.matches(rows, items).collect())
+    assert got == Counter([(1, 1, 4, 4), *((d, i, 1, 1) for d in (3, 5, 1) for i in (2, 4))])
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(rows, items).collect()) == [2, 4, 6, 7]
+
+
+@pytest.mark.parametrize("count", [5, 8, 9, 12, 13])
+def test_items_of_any_length_are_found(spark, count):
+    item = " ".join(f"word{chr(97 + k)}x" for k in range(count))
+    long = "filler text " * 30_000
+    docs = [(1, f"so {item} then"), (2, " ".join(item.split()[:-1])), (3, long + item + " " + long), (4, long)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, item), (2, ITEM)], "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.matches(rows, asked).collect()) == [(1, 1, count, count), (3, 1, count, count)]
+
+
+def test_a_phrase_that_is_no_leak_is_not_joined(spark, monkeypatch):
+    """300 items and 300 documents share twelve words; only one document holds an item."""
+    phrase = "all of the answers to these questions must be written in ink"
+    items = [(k, f"item{k} is opened by its own words and says {phrase} before it ends with q{k}x z{k}y") for k in range(300)]
+    docs = [(k, f"page {chr(97 + k % 26)}{k}g says so: {phrase}, and goes on with p{k}h") for k in range(300)] + [(999, items[7][1])]
+    staged, sizes = decontaminate.staged, {}
+
+    def counted(df, name):
+        sizes[name] = (out := staged(df, name)).count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "staged", counted)
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert (999, 7) in {(r["doc_id"], r["item_id"]) for r in got} and {r["doc_id"] for r in got} == {999}
+    assert sizes["document-windows"] < 50  # those of document 999
+
+
+def test_reaching_windows_by_brute_force():
+    draw = random.Random(5)
+    for _ in range(200):
+        span = draw.randrange(13, 40)
+        starts = sorted(draw.sample(range(120), draw.randrange(1, 14)))
+        text = np.array([s // 60 for s in starts])
+        want = []
+        for k, s in enumerate(starts):
+            near = [[t for j, t in enumerate(starts) if text[j] == text[k] and p <= t < p + span]
+                    for i, p in enumerate(starts) if text[i] == text[k] and p <= s < p + span]
+            want.append(any(len({w for t in met for w in range(t, t + 8)}) >= 13 for met in near))
+        assert decontaminate._reaching(np.array(starts), text, span).tolist() == want
+
+
 def test_copies_made_of_numbers_and_units_are_found(spark):
     items = {1: "Convert 5 km 300 meters to feet and 7 miles to km", 2: "What is 12 times 7 ?", 3: "3 5 8 13 21 34 55 89",
              4: "Add 5 kg 7 kg 9 lbs 11 lbs 13 oz 15 oz 17 grams 19 grams"}
