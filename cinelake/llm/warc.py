@@ -12,6 +12,10 @@ many pages share is no large group, and its pages are a skewed join key that
 Spark splits. Every attempt of a task writes a file of its own name; the
 manifest names those of successful attempts.
 
+No two records share a record id: that of a response, which revisits name, is made of
+its page_id and payload where no other row has both; all others are made of the file's name and
+the record's number, and revisits of such a response name it by page_id and digest only.
+
 Defined results: null html is the empty payload; null urls become
 ``urn:page:<id>``; pages that share the smallest page_id of their payload are
 all responses; a null page_id revisits the smallest id, and is a response where there is
@@ -50,22 +54,28 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _name(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page {page_id}')}>"
+def _name(text: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, text)}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """A response record, or a revisit record if ``refers_to`` is given."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
+           only: bool = True, place: str = "") -> bytes:
+    """A response record, or a revisit record if ``refers_to`` is given. ``only``: no other
+    row has the response's page_id and payload; ``place``: a text no other record has."""
+    digest = payload_digest(payload)
+    own = _name(f"page {page_id} {digest}" if only and refers_to is None else f"place {place}")
     head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
     block = head if refers_to is not None else head + payload
     target = quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url else f"urn:page:{page_id}"
-    fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _name(page_id)),
+    fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", own),
               ("WARC-Date", DATE), ("WARC-Target-URI", target),
-              ("WARC-Payload-Digest", "sha1:" + payload_digest(payload))]
+              ("WARC-Payload-Digest", "sha1:" + digest)]
     if page_id is not None:
         fields.append(("Page-ID", page_id))
     if refers_to is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _name(refers_to)), ("Refers-To-Page-ID", refers_to)]
+        fields += [("WARC-Profile", PROFILE), ("Refers-To-Page-ID", refers_to)]
+        if only:
+            fields.append(("WARC-Refers-To", _name(f"page {refers_to} {digest}")))
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -155,19 +165,24 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> list[str]:
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"),
                         payload.alias("payload")).withColumn("digest", F.sha1("payload")) \
         .withColumn("size", F.length("payload"))
-    first = rows.groupBy("digest", "size").agg(F.min("page_id").alias("least"))
+    same = rows.groupBy("digest", "size", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    first = same.groupBy("digest", "size").agg(F.min("page_id").alias("least"),
+                                               F.min_by("n", "page_id").eqNullSafe(1).alias("only"))
     again = (F.col("size") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("least"))
     typed = rows.join(first, ["digest", "size"]).select("page_id", "url", "payload",
-                                                        F.when(again, F.col("least")).alias("refers_to"))
+                                                        F.when(again, F.col("least")).alias("refers_to"),
+                                                        # below the least size all are responses
+                                                        (F.col("only") & (F.col("size") >= least_bytes)).alias("only"))
 
     def run(batches):
-        writer, name = None, ""
+        writer, name, number = None, "", 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if writer is None:
                     name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.zst"
                     writer = Writer(SharedFiles(folder).write(name))
-                writer.add(record(*row))
+                writer.add(record(*row, f"{name} {number}"))
+                number += 1
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([name])], ["file"])

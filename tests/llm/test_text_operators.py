@@ -203,6 +203,24 @@ def test_archives_of_odd_pages(spark):
     assert warc.round_trip(given.where("false")).count() == 0
 
 
+def test_no_two_records_share_an_id(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "a"), (3, "c"), (4, "c"), (4, "c"), (None, "d"), (None, "d"), (None, "c")]
+    given = spark.createDataFrame([(i, f"http://x/{i}", t) for i, t in rows], "page_id long, url string, html string")
+    for least in (0, 10):
+        folder = fresh_path(spark, "warc-ids")
+        heads = []
+        for name in warc.write(given.repartition(3), folder, least):
+            with SharedFiles(folder).read(name) as file:
+                heads += [warc._fields(r.partition(b"\r\n\r\n")[0]) for r in warc.records(file)]
+        ids = [h["WARC-Record-ID"] for h in heads]
+        assert len(ids) == len(rows) == len(set(ids))
+        named = {h["WARC-Record-ID"]: h for h in heads}
+        links = [(h, named[h["WARC-Refers-To"]]) for h in heads if "WARC-Refers-To" in h]
+        assert len(links) == (3 if least == 0 else 0)  # of page 3; that of page 1 stands twice
+        assert all(r["WARC-Type"] == "response" and r["Page-ID"] == "3" for _, r in links)
+        assert all(h["WARC-Payload-Digest"] == r["WARC-Payload-Digest"] for h, r in links)
+
+
 def test_an_archive_is_a_dictionary_and_frames_that_read_alone(spark):
     zstandard = pytest.importorskip("zstandard")
     folder = fresh_path(spark, "archive")
