@@ -1,6 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose the marks at their ends and their case. Numbers, units and names
+Words lose the marks at their ends and their case. Numbers, units (both by shape and in
+words of English, German, French and Spanish) and names
 (capitalised words within a sentence) become typed placeholders, their values
 are kept as slots. Windows of ``WINDOW`` canonical words are joined by hash with those
 of the benchmark items, which finds questions whose numbers, names or units were
@@ -49,14 +50,31 @@ from cinelake.llm.tables import BITS, bit_map, free_name, prepare, staged, texts
 WINDOW, COVER, LEAST, LITERALS = 8, 13, 5, 4
 WORDS_KEPT = 400_000
 
-#: Number words and units.
-NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty "
-                         "fifty hundred thousand million billion dozen".split())
-UNITS = frozenset("mm cm km kg mg lb lbs oz ml kb mb gb hz khz mhz kw kwh mph kmh meter meters metre metres "
-                  "kilometer kilometers kilometre kilometres centimeter centimeters mile miles inch inches foot feet yard "
-                  "yards gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres gallon "
-                  "gallons second seconds minute minutes hour hours day days week weeks month months year years "
-                  "dollar dollars euro euros cent cents percent degree degrees watt watts volt volts".split())
+#: Number words of four languages. Words that are articles or other common words too are left out.
+NUMBER_WORDS = frozenset(
+    "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand "
+    "million billion dozen "
+    "null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig dreißig vierzig fünfzig hundert tausend "
+    "millionen milliarde milliarden dutzend "
+    "zéro deux trois quatre cinq sept huit neuf dix onze douze vingt trente quarante cinquante mille milliard douzaine "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez doce veinte treinta cuarenta cincuenta cien ciento mil "
+    "millón millones docena".split())
+
+#: Units of four languages, without the plurals that ``is_unit`` knows by rule.
+UNITS = frozenset(
+    "mm cm km kg mg lb oz ml kb mb gb hz khz mhz kw kwh mph kmh meter metre kilometer kilometre centimeter mile inch "
+    "foot feet yard gram kilogram pound ounce liter litre gallon second minute hour day week month year dollar euro "
+    "cent percent degree watt volt "
+    "zentimeter gramm kilogramm pfund sekunde stunde tag tage woche monat monate jahr jahre grad prozent meile "
+    "mètre kilomètre centimètre gramme kilogramme livre seconde heure jour semaine mois année degré "
+    "metro kilómetro centímetro gramo kilogramo litro segundo minuto hora día semana año grado milla".split())
+
+
+def is_unit(word: str) -> bool:
+    """A listed unit, or its plural in -s, -es or, after an e, -n."""
+    return word in UNITS or word[-1:] == "s" and (word[:-1] in UNITS or word[-2:] == "es" and word[:-2] in UNITS) \
+        or word[-2:] == "en" and word[:-1] in UNITS
+
 
 _NUMBER = regex.compile(r"[+-]?\d[\d.,:/]*")
 _GLUED = regex.compile(r"([+-]?\d[\d.,]*)(\p{L}+)")
@@ -78,9 +96,9 @@ def _entries(word: str) -> list[int]:
     flags = (_CAPITAL if bare[0].isupper() else 0) | (_ENDS if word[-1] in ".!?:;" else 0)
     value = bare.lower()
     glued = _GLUED.fullmatch(value)
-    if glued and glued[2] in UNITS:
+    if glued and is_unit(glued[2]):
         return [_entry(glued[1], 1), _entry(glued[2], 2 | flags & _ENDS)]
-    kind = 1 if _NUMBER.fullmatch(value) or value in NUMBER_WORDS else 2 if value in UNITS else 0
+    kind = 1 if _NUMBER.fullmatch(value) or value in NUMBER_WORDS else 2 if is_unit(value) else 0
     return [_entry(value, kind | flags)]
 
 

@@ -352,6 +352,28 @@ def test_changed_numbers_names_and_units_are_found(spark):
     assert decontaminate.keep_clean(rows.where("false"), items).count() == 0
 
 
+@pytest.mark.parametrize("item, changed", [
+    ("Wie viele Kilometer fährt ein Auto in drei Stunden wenn es für hundert Meter immer genau vier Sekunden braucht",
+     dict(Kilometer="Meilen", drei="sieben", hundert="fünfzig", vier="zwei")),
+    ("Combien de litres faut-il pour remplir en trois heures une piscine dont chaque mètre demande deux jours de travail",
+     dict(trois="douze", deux="cinq", heures="semaines")),
+    ("Cuántos kilómetros recorre en dos horas un tren que pasa por cada pueblo de la costa cinco minutos antes",
+     dict(dos="ocho", cinco="veinte", horas="días"))], ids=["de", "fr", "es"])
+def test_changed_values_are_found_in_other_languages(spark, item, changed):
+    docs = [(1, f"Vorab. {swap(item, **changed)} Fin."), (2, swap(item, **{w: "xyz" for w in item.split()[4::3]}))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert changed.keys() <= set(item.split())
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.matches(rows, asked).collect()] == [(1, 1)]
+
+
+def test_units_in_singular_and_plural():
+    for word in "day days inch inches stunde stunden jahre jahren meilen mois jours años lbs kms".split():
+        assert decontaminate.is_unit(word)
+    for word in ["", "s", "es", "en", "yearn", "grade", "an", "mes", "seconded", "this"]:
+        assert not decontaminate.is_unit(word)
+
+
 def test_short_items_are_compared_whole(spark):
     items = spark.createDataFrame([(2, "why is the sky blue")], "item_id long, text string")
     rows = spark.createDataFrame([(1, "tell me why is the sky blue today"), (2, "why is the sea blue")], "doc_id long, text string")
