@@ -116,11 +116,11 @@ class SparseScorer:
     def fit(self, rows: list[np.ndarray], targets: np.ndarray, epochs: int = 4, rate: float = 0.5,
             penalty: float = 2.0) -> SparseScorer:
         """rows: distinct slots of a document; targets: probability of being bad.
-        The order is fixed by a seed."""
+        The order is fixed by a seed. Slots stay at 32 bits, as this runs in the driver."""
         if not rows:
             return self
-        slots, flat = np.unique(np.concatenate([*rows, np.zeros(1, np.int64)]), return_inverse=True)
-        places = np.split(flat[:-1], np.cumsum([len(r) for r in rows])[:-1])
+        slots = np.unique(np.concatenate([*rows, np.zeros(1, np.uint32)]))
+        places = [np.searchsorted(slots, r).astype(np.int32) for r in rows]
         pull, size, draw = np.zeros(len(slots)), np.zeros(len(slots)), np.random.default_rng(7)
         share = float(np.clip(np.mean(targets), 0.01, 0.99))
         bias, steps = float(np.log(share / (1 - share))), 1.0
@@ -171,8 +171,9 @@ def _word_votes(values: np.ndarray) -> np.ndarray:
                np.zeros(len(values), np.int64))
 
 
-def _vote_slots(pattern: int) -> list[int]:
-    return [s for k, s in enumerate(VOTE_SLOTS) if pattern >> k & 1]
+def _with_votes(slots: np.ndarray, pattern: int) -> np.ndarray:
+    """A document's slots of words and votes."""
+    return np.append(slots, np.array([s for k, s in enumerate(VOTE_SLOTS) if pattern >> k & 1], np.uint32))
 
 
 class Classifier:
@@ -212,7 +213,8 @@ def first_ids(ids: DataFrame) -> DataFrame:
 def sample(source: DataFrame, ids: DataFrame, truth: DataFrame,
            insults: tuple[str, ...]) -> list[tuple[int, np.ndarray, float]]:
     """(count votes, word slots, bad or -1) of the (doc_id, text) rows with
-    the given ids; these are a few times FIT_DOCS at most, hence the broadcast."""
+    the given ids; these are a few times FIT_DOCS at most, hence the broadcast.
+    The slots are views of one Arrow table, so the driver holds them once."""
     picked = source.join(F.broadcast(ids), "doc_id", "left_semi")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -226,9 +228,12 @@ def sample(source: DataFrame, ids: DataFrame, truth: DataFrame,
 
     rows = map_batches(picked, run, "doc_id long, votes int, slots binary").groupBy("doc_id").agg(
         F.min(F.struct("votes", "slots")).alias("s")).select("doc_id", "s.*").join(truth, "doc_id", "left")  # one row an id
-    taken = [(r["doc_id"], r["votes"], bytes(r["slots"]), -1.0 if r["bad"] is None else float(r["bad"]))
-             for r in rows.collect()]
-    return [(v, np.frombuffer(s, np.uint32).astype(np.int64), bad) for _, v, s, bad in sorted(taken)]
+    taken = rows.toArrow()
+    order = np.argsort(taken.column("doc_id").to_numpy(), kind="stable")
+    found, slots, bad = (taken.column(c) for c in ("votes", "slots", "bad"))
+    found, bad = found.to_pylist(), bad.to_pylist()
+    slots = [np.frombuffer(s.as_buffer(), np.uint32) for s in slots]
+    return [(found[k], slots[k], -1.0 if bad[k] is None else float(bad[k])) for k in order]
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
@@ -238,8 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     source, truth = id_and_text(docs, text, key), staged(truth_of(labels), "truth")
     every = source.where("doc_id is not null").select("doc_id")
     drawn = sample(source, first_ids(truth.select("doc_id")).unionByName(first_ids(every)).distinct(), truth, insults)
-    known = [(np.append(s, np.array(_vote_slots(v), np.int64)), bad) for v, s, bad in drawn if bad >= 0]
-    fitted = SparseScorer().fit([s for s, _ in known], np.array([bad for _, bad in known]))
+    fitted = SparseScorer().fit([_with_votes(s, v) for v, s, bad in drawn if bad >= 0],
+                                np.array([bad for _, _, bad in drawn if bad >= 0]))
     vote_slots = set(VOTE_SLOTS)
     words = SparseScorer({s: w for s, w in fitted.weights.items() if s not in vote_slots})
     model = Classifier(words, LabelModel(len(ALL_LABELLERS)), SparseScorer(), insults)
@@ -256,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     values = np.array([sum(words.weights.get(int(x), 0.0) for x in s) for _, s, _ in drawn])
     full = (np.array([v for v, _, _ in drawn], np.int64) | _word_votes(values)).tolist()
     weak = model.labels.posterior(_bits(np.array(full, np.int64)))
-    model.scorer.fit([np.append(s, np.array(_vote_slots(v), np.int64)) for v, (_, s, _) in zip(full, drawn)], weak)
+    model.scorer.fit([_with_votes(s, v) for v, (_, s, _) in zip(full, drawn)], weak)
     return model
 
 

@@ -166,3 +166,21 @@ def test_repeated_ids_give_the_same_model_twice(spark):
         taken.append(qc.sample(docs, qc.first_ids(truth.select("doc_id")), truth, textstats.INSULTS))
     assert len(taken[0]) == 40  # one row an id, the same one however the rows lie
     assert all(a[0] == b[0] and (a[1] == b[1]).all() and a[2] == b[2] for a, b in zip(*taken))
+
+
+def test_the_scorer_is_fitted_in_little_memory(spark):
+    """The fit runs in the driver: a few times the sample's 32-bit slots, and the sample itself once."""
+    import tracemalloc
+    draw = np.random.default_rng(2)
+    rows = [np.unique(draw.integers(0, 50_000, 10_000, dtype=np.uint32)) for _ in range(200)]
+    tracemalloc.start()
+    try:
+        quality_classifier.SparseScorer().fit(rows, np.arange(200) % 2, epochs=1)
+        assert tracemalloc.get_traced_memory()[1] < 20 * sum(map(len, rows))
+    finally:
+        tracemalloc.stop()
+    docs = spark.createDataFrame([(k, f"words of text {k}") for k in range(9)], "doc_id long, text string")
+    truth = quality_classifier.truth_of(spark.createDataFrame([(k, 1, 0) for k in range(5)], "doc_id long, quality int, toxic int"))
+    taken = quality_classifier.sample(docs, docs.select("doc_id"), truth, textstats.INSULTS)
+    assert [bad for _, _, bad in taken] == [0.0] * 5 + [-1.0] * 4
+    assert all(s.dtype == np.uint32 and len(s) == 4 and s.base is not None for _, s, _ in taken)
