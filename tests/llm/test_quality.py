@@ -184,3 +184,24 @@ def test_the_scorer_is_fitted_in_little_memory(spark):
     taken = quality_classifier.sample(docs, docs.select("doc_id"), truth, textstats.INSULTS)
     assert [bad for _, _, bad in taken] == [0.0] * 5 + [-1.0] * 4
     assert all(s.dtype == np.uint32 and len(s) == 4 and s.base is not None for _, s, _ in taken)
+
+
+def test_every_labelled_language_is_a_stratum(spark):
+    """70 languages and null: those with fewest labels have learned rules too."""
+    from pyspark.sql import functions as F
+    names = [f"l{k}" for k in range(70)] + [None]
+    counts = {c: F.lit(0).cast("long") for c in textstats.COUNTS} | {"n_words": F.lit(100).cast("long"), "word_score": F.lit(0.0)}
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "k int, stratum string").join(
+        spark.range(1600).withColumnRenamed("id", "i")).where("i < 1500 or k < 64").withColumn(
+        "doc_id", F.col("k") * 1600 + F.col("i")).withColumns(counts).withColumn(
+        "n_symbols", F.when(F.col("i") < 100, 90).otherwise(0).cast("long"))
+    labels = rows.select("doc_id", (F.col("i") >= 100).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    adopted = quality_rules.cutoffs(rows, labels)
+    assert adopted.keys() == {n or "(other)" for n in names}
+    assert all([rule for rule, _ in sequence] == ["symbols"] for sequence in adopted.values())
+    mixed = spark.createDataFrame([(n, 90) for n in names] + [(n, 0) for n in names] + [("unseen", 90)],
+                                  "stratum string, n_symbols long")
+    told = quality_rules._with_rules(mixed.withColumns({c: v for c, v in counts.items() if c != "n_symbols"}),
+                                     quality_rules.learned(rows, labels))
+    left = told.where(quality_rules._place().isNull()).select("stratum", "n_symbols").collect()
+    assert Counter(map(tuple, left)) == Counter([(n, 0) for n in names] + [("unseen", 90)])
