@@ -13,9 +13,10 @@ shards of equal token counts (``SHARDS``, or more of at most ``SHARD_TOKENS``) a
 trained by a task each, and their parameters are averaged (``FAN_IN`` at once) after each of ``ROUNDS``
 rounds. The rounds together visit every training token once, small shards
 more often. Classes grow as the square root of the counted
-vocabulary, from ``CLASSES`` up to ``MOST_CLASSES``, whose context tables take
-67 MB in a worker. Scores use the exact softmax:
-normalisers of all contexts come from batched matrix products.
+vocabulary, from ``CLASSES`` on, without a bound. Scores use the exact softmax:
+normalisers of contexts come from batched matrix products, once a worker for
+those of the ``MOST_CLASSES`` first classes and the class of all others, whose
+tables take 67 MB; other contexts are normalised when a batch has them.
 
 Counts cover all training documents. The ``HEAD`` most frequent tokens travel
 to the tasks, the only thing sent there whole; counts of the others are joined by word.
@@ -42,6 +43,8 @@ from cinelake.llm.tables import bucket, map_batches, prepare, staged, texts, wor
 
 CLASSES, MOST_CLASSES, HEAD, SIZE = 255, 700, 1 << 17, 16
 SHARDS, ROUNDS, STEPS, SAMPLES, NOISE = 12, 3, 20, 4096, 16
+#: Scores that are normalised at once.
+SCORES = 4096 * (MOST_CLASSES + 1)
 #: Classes whose noise is taken in expectation, and those drawn a step for the others.
 FIXED, DRAWN = 64, 48
 #: Tokens that a shard holds at most, by which count a triple is dealt out to all shards, shards that are averaged at once.
@@ -123,18 +126,40 @@ class LogBilinear:
                 p[k] -= rate / (1 + turn) * g / np.sqrt(sums[k])
         return self
 
-    def normalisers(self, block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-        """Vectors of all contexts (one * classes + two) and the logs of their softmax sums, block by block."""
-        n = len(self.noise)
-        vectors, logs = np.empty((n * n, self.params["q"].shape[1]), np.float32), np.empty(n * n)
-        for k in range(0, n * n, block):
-            at = np.arange(k, min(k + block, n * n))
-            vectors[at] = self.context(at // n, at % n)
+    def normalisers(self, block: int = 4096, side: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors of all contexts of the first ``side`` classes (one * side + two; all
+        classes if not given) and the logs of their softmax sums, block by block."""
+        n = side or len(self.noise)
+        return self.normalised(np.arange(n * n), n, block)
+
+    def normalised(self, codes: np.ndarray, width: int, block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors and logs of the softmax sums of contexts, as one * width + two."""
+        block = max(1, min(block, SCORES // len(self.noise)))
+        vectors, logs = np.empty((len(codes), self.params["q"].shape[1]), np.float32), np.empty(len(codes))
+        for k in range(0, len(codes), block):
+            at, own = slice(k, k + block), codes[k:k + block]
+            vectors[at] = self.context(own // width, own % width)
             scores = vectors[at] @ self.params["q"].T + self.params["b"]
             top = scores.max(1)
             logs[at] = top + np.log(np.exp(scores - top[:, None]).sum(1))
         return vectors, logs
 
+    def looked_up(self, tables: tuple[np.ndarray, np.ndarray], one: np.ndarray,
+                  two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors and logs of contexts, from the tables of the first classes or made here, each context once."""
+        vectors, logs = tables
+        side, width = math.isqrt(len(logs)), len(self.noise)
+        far = np.flatnonzero((one >= side) | (two >= side))
+        if not len(far):
+            return vectors[one * side + two], logs[one * side + two]
+        at = one * side + two
+        at[far] = 0
+        vectors, logs = vectors[at], logs[at]
+        codes, places = np.unique(one[far] * width + two[far], return_inverse=True)
+        own_vectors, own_logs = self.normalised(codes, width)
+        vectors[far], logs[far] = own_vectors[places], own_logs[places]
+        return vectors, logs
+
     def packed(self) -> bytes:
         return np.concatenate([v.ravel() for v in self.params.values()]).astype(np.float32).tobytes()
 
@@ -189,7 +214,9 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 class Unigram:
-    """Counts of the most frequent tokens and the base model's sizes."""
+    """Counts of the most frequent tokens and the base model's sizes. Classes in
+    order: the first tokens by frequency (MOST_CLASSES at most), all others
+    (``other``), the further tokens with a class of their own."""
 
     def __init__(self, head: list[tuple[str, int]], total: int, kinds: int):
         self.place = {w: k for k, (w, _) in enumerate(head)}
@@ -197,17 +224,19 @@ class Unigram:
         self.total, self.kinds = total, kinds
         self.whole = total + 0.5 * (kinds + 1)
         self.logs = np.log10((self.counts + 0.5) / self.whole)
-        classes = min(max(CLASSES, min(MOST_CLASSES, math.isqrt(kinds) // 3)), len(head))
-        self.other = classes  # the class of all other tokens
-        shares = (self.counts[:classes] + 0.5) / self.whole
+        self.own = min(max(CLASSES, math.isqrt(kinds) // 3), len(head))  # tokens with a class of their own
+        self.other = min(MOST_CLASSES, self.own)  # the class of all other tokens
+        self.width = self.own + 1
+        shares = (self.counts[:self.own] + 0.5) / self.whole
         rest = 1 - shares.sum()
-        self.shares = np.append(shares, rest if rest > 1e-12 else 1e-12)
+        self.shares = np.insert(shares, self.other, rest if rest > 1e-12 else 1e-12)
         self.end = min(self.place.get(END, self.other), self.other)
 
     def classify(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Head place (or len(head)) of distinct tokens, and classes of all."""
         head = np.fromiter((self.place.get(w, len(self.place)) for w in tokens.words), np.int64, len(tokens.words))
-        return head, np.minimum(head, self.other)[tokens.places]
+        classes = np.where(head < self.other, head, np.where(head < self.own, head + 1, self.other))
+        return head, classes[tokens.places]
 
     def contexts(self, tokens: Tokens, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes two and one places before each token; before a text, its end."""
@@ -221,15 +250,15 @@ class Unigram:
 
 
 def unigram(counts: DataFrame) -> Unigram:
-    """From staged counts; the head is HEAD rows at most."""
+    """From staged counts; the head is HEAD rows, or a row for each class where these are more."""
     sums = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
+    head = counts.orderBy(F.desc("n"), "word").limit(max(HEAD, math.isqrt(sums["kinds"]) // 3)).toArrow()
     return Unigram(list(zip(head.column("word").to_pylist(), head.column("n").to_pylist())), sums["total"] or 0, sums["kinds"])
 
 
 def triples(rows: DataFrame, base: Unigram) -> DataFrame:
     """(triple, n): counts of three classes in a row, packed in one number."""
-    width = base.other + 1
+    width = base.width
     shared = rows.sparkSession.sparkContext.broadcast(base)  # HEAD tokens
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -284,7 +313,7 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(counted: DataFrame, base: Unigram) -> LogBilinear:
     """Rounds of training, a task each shard of the staged triples, parameters averaged by tokens."""
-    model, width = LogBilinear(base.shares), base.other + 1
+    model, width = LogBilinear(base.shares), base.width
     number = max(SHARDS, -(-base.total // SHARD_TOKENS))
     shards = staged(dealt(counted, number), "triples").repartitionById(number, F.col("shard")).sortWithinPartitions("triple")
     for turn in range(ROUNDS):
@@ -312,9 +341,9 @@ def fit(counted: DataFrame, base: Unigram) -> LogBilinear:
 # -- scores -----------------------------------------------------------------------------------
 
 def _tables(shared) -> tuple:
-    """Context vectors and normalisers, once a worker and model."""
-    _, model, name = shared.value
-    return worker_cache(name, model.normalisers)
+    """Context vectors and normalisers of the first classes, once a worker and model."""
+    base, model, name = shared.value
+    return worker_cache(name, lambda: model.normalisers(side=base.other + 1))
 
 
 _PARTS = ("row long, doc_id long, n_tokens long, n_known long, base double, model double, word string, times int")
@@ -326,16 +355,16 @@ def _partial(rows: DataFrame, shared) -> DataFrame:
     def run(batches):
         number = TaskContext.get().partitionId() << 33
         base, model, _ = shared.value
-        vectors, logs = _tables(shared)
-        width, out, bias = base.other + 1, model.params["q"], model.params["b"]
-        rest = np.log10(base.shares[-1])
+        tables = _tables(shared)
+        out, bias = model.params["q"], model.params["b"]
+        rest = np.log10(base.shares[base.other])
         for batch in batches:
             tokens = Tokens(texts(batch.column(1)))
             n = batch.num_rows
             head, classes = base.classify(tokens)
             one, two = base.contexts(tokens, classes)
-            context = one * width + two
-            found = np.einsum("td,td->t", vectors[context], out[classes]) + bias[classes] - logs[context]
+            vectors, logs = model.looked_up(tables, one, two)
+            found = np.einsum("td,td->t", vectors, out[classes]) + bias[classes] - logs
             place = head[tokens.places]
             inside = place < len(base.place)
             own = np.where(inside, base.logs[place], 0.0)

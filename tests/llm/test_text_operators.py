@@ -296,6 +296,30 @@ def test_what_the_model_learns_grows_with_the_input(spark):
     assert again == dict(rows) and len(shards) == 12 and max(shards.values()) < 1.05 * min(shards.values())
 
 
+def test_classes_beyond_the_tables_are_as_exact(spark, monkeypatch):
+    """More tokens than the context tables have classes for: the same probabilities as by whole tables."""
+    head = [(f"w{k}", 1000 - k) for k in range(900)]
+    base = lm.Unigram(head, sum(n for _, n in head) + 10**7, 10**7)
+    assert base.other == lm.MOST_CLASSES and base.width == 901 and base.shares.sum() == pytest.approx(1)
+    tokens = lm.Tokens([" ".join(f"w{k}" for k in range(0, 1000, 7)), "w899 w0 w899 w700 w5"])
+    place, classes = base.classify(tokens)
+    named = dict(zip(tokens.words, place))
+    assert all(named[f"w{k}"] == min(k, 900) for k in range(0, 1000, 7))
+    assert classes[-6:].tolist() == [900, 0, 900, 701, 5, base.other]  # the end is not in this head
+    assert base.shares[900] == pytest.approx((101 + 0.5) / base.whole)
+    model = lm.LogBilinear(base.shares)
+    one, two = base.contexts(tokens, classes)
+    vectors, logs = model.looked_up(model.normalisers(side=base.other + 1), one, two)
+    assert ((one > base.other) | (two > base.other)).any()
+    scores = model.context(one, two) @ model.params["q"].T + model.params["b"]
+    assert np.allclose(vectors, model.context(one, two), atol=1e-6) and np.allclose(logs, np.log(np.exp(scores).sum(1)), atol=1e-5)
+    rows = [(i, f"the cat {i % 9} sat on mat {i % 5} and {'then slept' if i % 2 else 'ran off'}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lm, "MOST_CLASSES", 5)
+    got = lm.score(docs).collect()
+    assert len(got) == 60 and all(r["score"] > r["base_score"] for r in got if r["held_out"])
+
+
 def test_scores_of_odd_texts(spark, odd, none):
     rows = lm.score(odd).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in odd.collect())
